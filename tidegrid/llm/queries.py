@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .packing import pack_documents
+from .quality_rules import judge
 from .suffix_dedup import removal_report
 
 
@@ -13,13 +15,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "documents"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_suffix_dedup": op6_suffix_dedup,
+        "op7_quality_rules": op7_quality_rules,
+        "op8_best_fit_packing": op8_best_fit_packing,
     }
 
 
