@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard_join import near_duplicates
 from .packing import pack_documents
 from .quality_rules import judge
 from .suffix_dedup import removal_report
@@ -33,11 +34,16 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), _vocabulary())
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_best_fit_packing": op8_best_fit_packing,
+        "op9_jaccard_join": op9_jaccard_join,
     }
 
 
