@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import hmm, warc
 from .jaccard_join import near_duplicates
 from .packing import pack_documents
 from .quality_rules import judge
@@ -22,6 +24,19 @@ def _vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _remainder(column: str, divisor: int):
+    """Of the CRC-32 of an id's text."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
+
+
+def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op5_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(_table(spark, sf_dir, "documents"), _remainder("doc_id", 7) == 2)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_report(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +55,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_warc_revisits": op3_warc_revisits,
+        "op5_hidden_markov_scores": op5_hidden_markov_scores,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_best_fit_packing": op8_best_fit_packing,
@@ -48,4 +65,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return ORACLE
+
+
+ORACLE: dict[str, str] = {
+    "op3_warc_revisits": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages WHERE page_id IS NOT NULL
+        ), kept AS (
+            SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest, max(page_id) OVER (PARTITION BY payload) AS last FROM p
+        )
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM kept
+    """,
+}
