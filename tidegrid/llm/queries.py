@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hmm, warc
+from . import crf_quality, hmm, warc
 from .jaccard_join import near_duplicates
 from .packing import pack_documents
 from .quality_rules import judge
@@ -29,6 +29,11 @@ def _remainder(column: str, divisor: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = lambda column: _remainder(column, 4) == 2
+    return crf_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out)
+
+
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -55,6 +60,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_crf_quality": op1_crf_quality,
         "op3_warc_revisits": op3_warc_revisits,
         "op5_hidden_markov_scores": op5_hidden_markov_scores,
         "op6_suffix_dedup": op6_suffix_dedup,
