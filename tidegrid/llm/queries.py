@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import crf_quality, hmm, warc
+from .decontaminate import find_items
 from .jaccard_join import near_duplicates
 from .packing import pack_documents
 from .quality_rules import judge
 from .suffix_dedup import removal_report
+from .training_order import order_report
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +40,10 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_report(_table(spark, sf_dir, "documents"), key=20240611)
+
+
 def op5_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_texts(_table(spark, sf_dir, "documents"), _remainder("doc_id", 7) == 2)
 
@@ -58,15 +64,21 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_crf_quality": op1_crf_quality,
         "op3_warc_revisits": op3_warc_revisits,
+        "op4_training_order": op4_training_order,
         "op5_hidden_markov_scores": op5_hidden_markov_scores,
         "op6_suffix_dedup": op6_suffix_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_jaccard_join": op9_jaccard_join,
+        "op10_decontamination": op10_decontamination,
     }
 
 
