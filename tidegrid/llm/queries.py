@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf_quality, hmm, warc
+from . import crf_quality, hmm, license_scan, warc
 from .decontaminate import find_items
 from .jaccard_join import near_duplicates
 from .packing import pack_documents
@@ -36,6 +36,13 @@ def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the table has no paths: a tree of source, language and hundred, with a licence file in each directory
+    name = F.when(F.col("doc_id") % 100 == 0, F.lit("LICENSE")).otherwise(F.concat(F.lit("doc"), F.col("doc_id").cast("string")))
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), name)
+    return license_scan.scan(_table(spark, sf_dir, "documents"), path)
+
+
 def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -71,6 +78,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_crf_quality": op1_crf_quality,
+        "op2_license_scan": op2_license_scan,
         "op3_warc_revisits": op3_warc_revisits,
         "op4_training_order": op4_training_order,
         "op5_hidden_markov_scores": op5_hidden_markov_scores,
@@ -79,9 +87,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_decontamination": op10_decontamination,
+        "pipeline": pipeline,
     }
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def oracle_sql() -> dict[str, str]:
     return ORACLE
 
@@ -98,4 +113,65 @@ ORACLE: dict[str, str] = {
                CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
         FROM kept
     """,
+    "op7_quality_rules": """
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+        ), w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t-\r]+'), lambda x: x <> '') AS words,
+                   list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^ \t-\r]')) AS lines
+            FROM d
+        ), p AS (
+            SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i, len(words) AS n FROM w
+        ), g AS (
+            SELECT doc_id, i, n, word || ' ' || string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING) AS gram FROM p
+        ), twice AS (
+            SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap
+            FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM g WHERE i <= n - 7) WHERE times > 1
+        ), r AS (
+            SELECT doc_id, sum(least(8, coalesce(gap, 8))) AS n_repeat_words FROM twice GROUP BY doc_id
+        ), c AS (
+            SELECT d.doc_id, lang, source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+                   length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals, length(regexp_replace(text, '[^!]', '', 'g')) AS n_shouts
+            FROM d JOIN w USING (doc_id) LEFT JOIN r USING (doc_id)
+        ), b AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+                   [{'rate': 'word_length', 'value': word_chars * 1000 // greatest(n_words, 1), 'least': 600, 'low': true},
+                    {'rate': 'symbols', 'value': n_symbols * 10000 // greatest(n_words, 1), 'least': 300, 'low': false},
+                    {'rate': 'dup_lines', 'value': n_dup_lines * 1000 // greatest(n_lines, 1), 'least': 200, 'low': false},
+                    {'rate': 'repeats', 'value': n_repeat_words * 1000 // greatest(n_words, 1), 'least': 80, 'low': false},
+                    {'rate': 'capitals', 'value': n_capitals * 10000 // greatest(word_chars, 1), 'least': 400, 'low': false},
+                    {'rate': 'shouts', 'value': n_shouts * 10000 // greatest(n_words, 1), 'least': 300, 'low': false}] AS rates
+            FROM c
+        ), v AS (
+            SELECT doc_id, lang, source, base_failed, unnest(rates, recursive := true) FROM b
+        ), k AS (
+            SELECT *, (value >> greatest(length(bin(value)) - 7, 0)) << greatest(length(bin(value)) - 7, 0) AS bucket FROM v WHERE NOT base_failed
+        ), s AS (
+            SELECT rate, least, low, lang, source, bucket, count(*) AS n FROM k GROUP BY ALL
+            UNION ALL SELECT rate, least, low, lang, NULL, bucket, count(*) FROM k GROUP BY ALL
+            UNION ALL SELECT rate, least, low, NULL, NULL, bucket, count(*) FROM k GROUP BY ALL
+        ), u AS (
+            SELECT *, sum(n) OVER (PARTITION BY rate, lang, source ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY rate, lang, source) AS total FROM s
+        ), q AS (
+            SELECT rate, least, low, lang, source, max(total) AS total,
+                   min(bucket) FILTER (WHERE upto * 4 >= total) AS q1, min(bucket) FILTER (WHERE upto * 4 >= total * 3) AS q3
+            FROM u GROUP BY ALL
+        ), f AS (
+            SELECT rate, lang, source, total, CASE WHEN low THEN q1 - 3 * greatest(q3 - q1, least) END AS lowest, q3 + 3 * greatest(q3 - q1, least) AS highest FROM q
+        ), j AS (
+            SELECT v.doc_id, bool_and(coalesce(
+                CASE WHEN o.total >= 100 THEN v.value BETWEEN coalesce(o.lowest, 0) AND o.highest
+                     WHEN l.total >= 100 THEN v.value BETWEEN coalesce(l.lowest, 0) AND l.highest
+                     ELSE v.value BETWEEN coalesce(e.lowest, 0) AND e.highest END, true)) AS within
+            FROM v
+            LEFT JOIN f o ON o.rate = v.rate AND o.lang = v.lang AND o.source = v.source
+            LEFT JOIN f l ON l.rate = v.rate AND l.lang = v.lang AND l.source IS NULL
+            LEFT JOIN f e ON e.rate = v.rate AND e.lang IS NULL
+            GROUP BY v.doc_id
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND within AS kept, n_lines, n_capitals, n_shouts
+        FROM b JOIN j USING (doc_id)
+    """,
 }
