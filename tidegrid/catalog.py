@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .queries import alignment, checks, episodes, scalars, vectors
+
 Query = Callable[[SparkSession, str], DataFrame]
+_MODULES = (alignment, episodes, checks, vectors, scalars)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return alignment.tolerance_stats(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {name: query for module in _MODULES for name, (query, _) in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for module in _MODULES for name, (_, sql) in module.QUERIES.items() if sql is not None}
