@@ -1 +1,158 @@
-QUERIES = {}
+"""Data-quality rules, reconciliation, merging and log handling."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.columns import nested
+from ..operators import lookups, sequences, statistics
+from .tables import events, table
+
+
+def uniqueness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.groupBy("l_orderkey").agg(F.count("*").alias("rows"), F.count_distinct("l_linenumber").alias("numbers")).withColumn("repeated", F.col("rows") - F.col("numbers"))
+
+
+def constant_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return statistics.constant_values(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus", "l_linenumber"]).select("column", F.array_join("values", ",").alias("values"), "constant")
+
+
+def range_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").withColumn("k", F.when(F.col("l_partkey") % 7 != 0, F.col("l_partkey")))
+    return statistics.index_health(lines, "k", 150)
+
+
+def unmatched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").where("p_size < 25").select(F.col("p_partkey").alias("store_index"))
+    return lookups.unmatched(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), parts, "l_partkey").groupBy("l_partkey").agg(F.count("*").alias("n"))
+
+
+def store_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("store_index"), F.col("label"), F.size("embedding").alias("dim"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 600).alias("vec"))
+    return lookups.fetch(rows, store, "vec").groupBy("label").agg(F.count("*").alias("n"), F.sum("dim").alias("values"))
+
+
+def bool_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    flags = {"high": F.col("value") > 10, "buys": F.col("event_type") == "purchase", "odd": F.col("user_id") % 2 == 1}
+    return statistics.rates(e, flags).select(*[F.round(n, 6).alias(n) for n in flags])
+
+
+def reason_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumn("ok", F.col("event_type") != "error").withColumn("reason", F.when(F.col("ok"), "ok").when(F.col("value") > 10, "large").otherwise("small"))
+    return statistics.counters(e, ["user_id"], "ok", "reason").select("user_id", "candidates", "saved", "skipped", F.coalesce(F.element_at("reasons", "large"), F.lit(0)).alias("large"), F.coalesce(F.element_at("reasons", "small"), F.lit(0)).alias("small"))
+
+
+def episode_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(F.count_distinct("l_linenumber").alias("n"))
+    log = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), (F.col("c_nationkey") % 9).cast("long").alias("n"))
+    return lookups.reconcile({"master": orders, "files": lines, "log": log}, "k", "n")
+
+
+def compat_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meta = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("source"), (F.col("s_nationkey") % 3).alias("fps"), F.lit(7).alias("dim"), F.substring("s_name", 1, 8).alias("package"))
+    return lookups.compatible(meta, "source", ["fps", "dim", "package"])
+
+
+def merge_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources, one after the other, renumbered."""
+    one = table(spark, sf_dir, "conversations").select(F.lit(0).alias("source"), F.col("conv_id").alias("episode"), F.col("turn").cast("long").alias("frame"))
+    two = table(spark, sf_dir, "lineitem").where("l_orderkey < 2000").select(F.lit(1).alias("source"), F.col("l_orderkey").alias("episode"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("frame"))
+    return sequences.reindex(one.unionByName(two).dropDuplicates(), ["source", "episode"], ["frame"]).select("source", "episode", "frame", "index", "episode_index", "frame_index")
+
+
+def meta_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with the last log entry for their key; an empty object where there is none."""
+    e = table(spark, sf_dir, "events")
+    log = lookups.keep_last(e.where("event_type = 'signup'").select(F.col("user_id").alias("who"), "event_id", "props"), ["who"], "event_id")
+    rows = table(spark, sf_dir, "customer").select("c_custkey")
+    return lookups.with_metadata(rows, log, rows["c_custkey"] == log["who"], ["props"], "{}").select("c_custkey", F.col("event_id").alias("log_id"), "props")
+
+
+def assemble_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.floor(F.col("t") / 86_400_000_000).cast("long")
+    kinds = ["click", "error", "purchase"]
+    return lookups.assemble(events(spark, sf_dir).withColumn("day", day), ["user_id", "day"], "event_type", kinds, "value", "event_id")
+
+
+def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", nested(F.col("props"), "$.k", "bigint").alias("k"), nested(F.col("props"), "$.http.latency", "double", -1.0).alias("latency"))
+
+
+def by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").where("event_type in ('click', 'view')")
+    side = lambda k: e.where(F.col("event_type") == k).select("user_id", F.col("event_id").alias(k))
+    return lookups.by_position(side("click"), side("view"), ["user_id"], ["click"], ["view"])
+
+
+def source_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.groupBy("event_type").agg(F.count("*").alias("frames"), F.count_distinct("user_id").alias("episodes"), F.min("event_id").alias("first"), (F.max("event_id") + 1).alias("end"))
+
+
+def actual_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = statistics.actual_rate(events(spark, sf_dir), ["event_type"], "t", 86_400_000_000)
+    return out.select("event_type", "span", "frames", "elapsed", F.round(F.col("fps") * 1e6, 8).alias("fps"))
+
+
+def first_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumn("meta", F.when(F.col("value") > 15, F.col("props")))
+    return statistics.first_known(e, ["user_id"], "meta", "event_id")
+
+
+_LAST = "SELECT user_id, max(event_id) AS event_id, arg_max(props, event_id) AS props FROM events WHERE event_type = 'signup' GROUP BY user_id"
+
+QUERIES = {
+    "uniqueness_report": (uniqueness_report, "SELECT l_orderkey, count(*) AS rows, count(DISTINCT l_linenumber) AS numbers, count(*) - count(DISTINCT l_linenumber) AS repeated FROM lineitem GROUP BY l_orderkey"),
+    "constant_values": (
+        constant_values,
+        " UNION ALL ".join(f"""SELECT '{n}' AS "column", string_agg(DISTINCT {n}::VARCHAR, ',' ORDER BY {n}::VARCHAR) AS "values", count(DISTINCT {n}) <= 1 AS constant FROM lineitem""" for n in ("l_returnflag", "l_linestatus", "l_linenumber")),
+    ),
+    "range_violations": (
+        range_violations,
+        "SELECT count(*) AS rows, count(*) FILTER (WHERE k IS NULL) AS missing, count(*) FILTER (WHERE k < 0 OR k >= 150) AS outside, count(k) - count(DISTINCT k) AS repeated FROM (SELECT CASE WHEN l_partkey % 7 <> 0 THEN l_partkey END AS k FROM lineitem)",
+    ),
+    "unmatched_rows": (unmatched_rows, "SELECT l_partkey, count(*) AS n FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 25) GROUP BY l_partkey"),
+    "store_fetch": (store_fetch, 'SELECT label, count(*) AS n, sum(len(embedding))::BIGINT AS "values" FROM orders JOIN embeddings ON vec_id = o_custkey % 600 GROUP BY label'),
+    "bool_rates": (bool_rates, "SELECT round(avg(coalesce(value > 10, false)::INTEGER), 6) AS high, round(avg((event_type = 'purchase')::INTEGER), 6) AS buys, round(avg((user_id % 2 = 1)::INTEGER), 6) AS odd FROM events"),
+    "reason_counters": (
+        reason_counters,
+        "SELECT user_id, count(*) AS candidates, count(*) FILTER (WHERE event_type <> 'error') AS saved, count(*) FILTER (WHERE event_type = 'error') AS skipped, count(*) FILTER (WHERE event_type = 'error' AND value > 10) AS large, count(*) FILTER (WHERE event_type = 'error' AND NOT coalesce(value > 10, false)) AS small FROM events GROUP BY user_id",
+    ),
+    "episode_reconcile": (
+        episode_reconcile,
+        """WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1), b AS (SELECT l_suppkey AS k, count(DISTINCT l_linenumber) AS n FROM lineitem GROUP BY 1), c AS (SELECT c_custkey AS k, c_nationkey % 9 AS n FROM customer)
+        SELECT k, a.n AS master, b.n AS files, c.n AS log, coalesce(a.n = b.n, false) AND coalesce(a.n = c.n, false) AS agrees FROM a FULL JOIN b USING (k) FULL JOIN c USING (k)""",
+    ),
+    "compat_check": (
+        compat_check,
+        """WITH m AS (SELECT s_suppkey AS source, (s_nationkey % 3)::VARCHAR AS fps, '7' AS dim, substring(s_name, 1, 8) AS package FROM supplier), l AS (UNPIVOT m ON fps, dim, package INTO NAME field VALUE "value"),
+        f AS (SELECT field, arg_min("value", source) AS expected FROM l GROUP BY field) SELECT source, field, "value", expected, "value" = expected AS same FROM l JOIN f USING (field)""",
+    ),
+    "merge_union": (
+        merge_union,
+        """WITH u AS (SELECT 0 AS source, conv_id AS episode, turn AS frame FROM conversations UNION SELECT 1, l_orderkey, l_partkey * 10 + l_linenumber FROM lineitem WHERE l_orderkey < 2000)
+        SELECT *, row_number() OVER (ORDER BY source, episode, frame) - 1 AS "index", dense_rank() OVER (ORDER BY source, episode) - 1 AS episode_index, row_number() OVER (PARTITION BY source, episode ORDER BY frame) - 1 AS frame_index FROM u""",
+    ),
+    "meta_left_join": (meta_left_join, f"SELECT c_custkey, event_id AS log_id, coalesce(props, '{{}}') AS props FROM customer LEFT JOIN ({_LAST}) ON user_id = c_custkey"),
+    "assemble_complete": (
+        assemble_complete,
+        "SELECT * FROM (SELECT user_id, epoch_us(ts) // 86400000000 AS day, " + ", ".join(f"arg_max(value, event_id) FILTER (WHERE event_type = '{k}') AS {k}" for k in ("click", "error", "purchase")) + " FROM events GROUP BY ALL) WHERE click IS NOT NULL AND error IS NOT NULL AND purchase IS NOT NULL",
+    ),
+    "json_extract": (json_extract, "SELECT event_id, (props->>'$.k')::BIGINT AS k, coalesce((props->>'$.http.latency')::DOUBLE, -1.0) AS latency FROM events"),
+    "by_position": (
+        by_position,
+        "WITH a AS (SELECT user_id, event_id AS click, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS position FROM events WHERE event_type = 'click'), b AS (SELECT user_id, event_id AS view, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS position FROM events WHERE event_type = 'view') SELECT user_id, position, click, view FROM a FULL JOIN b USING (user_id, position)",
+    ),
+    "source_totals": (source_totals, 'SELECT event_type, count(*) AS frames, count(DISTINCT user_id) AS episodes, min(event_id) AS first, max(event_id) + 1 AS "end" FROM events GROUP BY event_type'),
+    "actual_rate": (
+        actual_rate,
+        "SELECT event_type, epoch_us(ts) // 86400000000 AS span, count(*) AS frames, max(epoch_us(ts)) - min(epoch_us(ts)) AS elapsed, CASE WHEN count(*) > 1 THEN round((count(*) - 1) / ((max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6), 8) END AS fps FROM events GROUP BY ALL",
+    ),
+    "first_known": (first_known, "SELECT user_id, arg_min(props, event_id) AS meta FROM events WHERE value > 15 AND props IS NOT NULL GROUP BY user_id"),
+}
