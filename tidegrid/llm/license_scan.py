@@ -54,7 +54,7 @@ THRESHOLD = 0.6
 #: Base names of files that license their directory.
 LICENSE_FILE = r"(?i)^(un)?licen[cs]e(\..*)?$|^copying(\..*)?$|^notice(\..*)?$"
 
-_SPLIT = "[^a-z0-9]+"
+_SPLIT = r"[^\p{L}\p{N}]+"
 
 
 def _words(text: Column) -> Column:
@@ -65,7 +65,7 @@ def _template_counts() -> list[dict[str, int]]:
     out = []
     for _, text in TEMPLATES:
         counts: dict[str, int] = {}
-        for w in re.split(_SPLIT, text.lower()):
+        for w in re.split("[^a-z0-9]+", text.lower()):
             if w:
                 counts[w] = counts.get(w, 0) + 1
         out.append(counts)
@@ -106,19 +106,22 @@ def notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     vectors = [{w: k * weight[w] for w, k in c.items()} for c in counts]
     keys = F.array(*[F.lit(w) for w in key_words(vectors, threshold)])
 
-    near = saved(plain.where(F.arrays_overlap(_words(F.col("text")), keys)), "near")
+    near = plain.where(F.arrays_overlap(_words(F.col("text")), keys))
+    near = saved(near.dropDuplicates(["doc", "text"]), "near")
     lines = near.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     units = lines.unionByName(near.select("doc", F.lit(-1).alias("line"), "text"))
-    units = units.select("doc", "line", _words(F.col("text")).alias("words")).where(F.arrays_overlap("words", keys)).dropDuplicates(["doc", "line", "words"])
+    units = units.select("doc", "line", _words(F.col("text")).alias("words")).where(F.arrays_overlap("words", keys))
     # an id that comes with several texts has its units apart
-    counted = units.withColumn("unit", F.xxhash64("words")).select("doc", "line", "unit", F.explode("words").alias("word")).groupBy("doc", "line", "unit", "word").agg(F.count("*").alias("k"))
+    unit = ["doc", "line", "unit", "n_words"]
+    units = units.select("doc", "line", F.xxhash64("words").alias("unit"), F.size("words").alias("n_words"), F.explode("words").alias("word"))
     idf = F.broadcast(spark.createDataFrame([(w, weight[w]) for w in vocabulary], "word string, idf double"))
     entries = [(t, TEMPLATES[t][0], w, x / _norm(v)) for t, v in enumerate(vectors) for w, x in v.items()]
     templates = F.broadcast(spark.createDataFrame(entries, "template int, license string, word string, share double"))
-    counted = saved(counted.join(idf, "word", "left"), "counted")
-    unit = ["doc", "line", "unit"]
-    norm = counted.groupBy(*unit).agg(F.sqrt(F.sum(F.when(F.col("idf").isNull(), F.col("k") * unseen * unseen).otherwise((F.col("k") * F.col("idf")) ** 2))).alias("norm"))
-    dot = counted.where("idf is not null").join(templates, "word").groupBy(*unit, "template", "license").agg(F.sum(F.col("k") * F.col("idf") * F.col("share")).alias("dot"))
+    # only the templates' words are counted and shuffled; all others add to the norm by their number
+    counted = saved(units.join(idf, "word").groupBy(*unit, "word", "idf").agg(F.count("*").alias("k")), "counted")
+    square = F.sum((F.col("k") * F.col("idf")) ** 2) + (F.col("n_words") - F.sum("k")) * unseen * unseen
+    norm = counted.groupBy(*unit).agg(F.sqrt(square).alias("norm"))
+    dot = counted.join(templates, "word").groupBy(*unit, "template", "license").agg(F.sum(F.col("k") * F.col("idf") * F.col("share")).alias("dot"))
     found = dot.join(norm, unit).select("doc", "line", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("cosine")).where(F.col("cosine") >= threshold)
     return found.groupBy("doc", "line").agg(F.min(F.struct(-F.col("cosine"), "license")).alias("best")).select("doc", "line", "best.license", (-F.col("best.col1")).alias("cosine"))
 
