@@ -11,13 +11,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from .profiles import PACKED_V1, segments
 
 # fixed value: layout of a frame's header, little-endian: magic, version, header size, session, sequence,
 # frame number, start and end of capture in nanoseconds, payload size
-HEADER = struct.Struct("<8sIIQQQQQQ")
+HEADER_FORMAT = "<8sIIQQQQQQ"
+HEADER_BYTES = struct.calcsize(HEADER_FORMAT)
 # fixed values: channels of each encoding, and the order that makes them red, green, blue
 ENCODINGS = {"bgr8": (3, (2, 1, 0)), "rgb8": (3, (0, 1, 2)), "bgra8": (4, (2, 1, 0)), "rgba8": (4, (0, 1, 2)), "mono8": (1, (0, 0, 0)), "8uc1": (1, (0, 0, 0))}
 
@@ -28,10 +30,10 @@ def header_parser(magic: bytes, version: int, payload: int):
 
     def one(raw: bytes | None) -> tuple:
         nothing = (None,) * 6
-        if raw is None or len(raw) < HEADER.size:
+        if raw is None or len(raw) < HEADER_BYTES:
             return (*nothing, "short")
-        found, kind, size, session, sequence, frame, start, end, length = HEADER.unpack(raw[: HEADER.size])
-        for bad, reason in ((found != magic, "magic"), (kind != version, "version"), (size != HEADER.size, "header size"), (length != payload, "payload size"), (sequence % 2 == 1, "torn")):
+        found, kind, size, session, sequence, frame, start, end, length = struct.unpack(HEADER_FORMAT, raw[:HEADER_BYTES])
+        for bad, reason in ((found != magic, "magic"), (kind != version, "version"), (size != HEADER_BYTES, "header size"), (length != payload, "payload size"), (sequence % 2 == 1, "torn")):
             if bad:
                 return (*nothing, reason)
         return session, sequence, frame, start, end, (start + end) // 2, None
@@ -57,7 +59,7 @@ def to_rgb8(encoding: Column, height: Column, width: Column, step: Column, data:
     return _rgb8(encoding, height, width, step, data)
 
 
-@pandas_udf("rgb binary, error string")
+@pandas_udf(T.StructType([T.StructField("rgb", T.BinaryType()), T.StructField("error", T.StringType())]))
 def _rgb8(encoding: pd.Series, height: pd.Series, width: pd.Series, step: pd.Series, data: pd.Series) -> pd.DataFrame:
     out = []
     for name, h, w, s, raw in zip(encoding, height, width, step, data, strict=True):
@@ -74,7 +76,7 @@ def _rgb8(encoding: pd.Series, height: pd.Series, width: pd.Series, step: pd.Ser
     return pd.DataFrame(out, columns=["rgb", "error"])
 
 
-@pandas_udf("data binary, error string")
+@pandas_udf(T.StructType([T.StructField("data", T.BinaryType()), T.StructField("error", T.StringType())]))
 def _rows(height: pd.Series, width: pd.Series, step: pd.Series, item: pd.Series, big_endian: pd.Series, data: pd.Series) -> pd.DataFrame:
     out = []
     for h, w, s, size, big, raw in zip(height, width, step, item, big_endian, data, strict=True):
@@ -114,7 +116,7 @@ def segment(packed: Column, name: str, shapes: dict[str, tuple[int, int, int, in
     return F.substring(packed, s["start"] + 1, s["length"])
 
 
-@pandas_udf("array<float>")
+@pandas_udf(T.ArrayType(T.FloatType()))
 def floats(raw: pd.Series) -> pd.Series:
     """Little-endian float32 values of bytes."""
     return raw.map(lambda b: None if b is None else np.frombuffer(b, dtype="<f4"))

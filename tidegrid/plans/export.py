@@ -34,17 +34,14 @@ class Exported:
     videos: DataFrame
 
 
-def _order(raw: DataFrame) -> list[str]:
-    return ["row"] if "row" in raw.columns else ["frame_index"]
-
-
 def build(raw: DataFrame, stores: dict[str, DataFrame], how: Export) -> Exported:
     """``raw`` has ``raw_episode`` and the recorded columns; a store has store_index and data."""
     if not how.fps > 0:
         raise ValueError(f"fps is {how.fps}")
     needed = ["timestamp", "observation.state", "action", "image.path", "wrist_image.path", *[f"tactile.{s}.zarr_index" for s in SIDES]]
     require_columns(raw, [*needed, "raw_episode"], "raw rows")
-    order = _order(raw)
+    raw = raw.withColumn("order__", F.col("row" if "row" in raw.columns else "frame_index"))
+    order = ["order__"]
     most = how.gap_factor / how.fps if how.split_on_gap else float("inf")
     rows = gap_segments(raw, ["raw_episode"], order, "timestamp", most)
     for side in SIDES:

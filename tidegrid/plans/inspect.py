@@ -47,6 +47,8 @@ def raw_wide(store: DataFrame, metadata: DataFrame, side: str, dim: int, package
     log = metadata.withColumn("layout_json", sorted_json(F.col("layout"))) if "layout" in metadata.columns else metadata
     joined = part.join(log.withColumnRenamed("zarr_index", "key__"), F.col("store_index") == F.col("key__"), "left")
     known = {"side": F.lit(side), "zarr_index": F.col("store_index")}
+    if "layout_json" in joined.columns:
+        known["layout_json"] = F.coalesce("layout_json", F.lit("{}"))
     columns = [known.get(n, c(n) if n in joined.columns else F.lit(None).cast("string")).alias(n) for n in RAW_META]
     return joined.select(*columns, *wide(F.col("data"), value_names(dim, package, None, layout)))
 

@@ -86,7 +86,8 @@ def gated(rows: DataFrame, how: Recording) -> DataFrame:
 def derived(rows: DataFrame) -> DataFrame:
     """Accepted rows with state and relative action."""
     target = F.slice("action_action8", 1, 7)
-    width = F.coalesce("action_target_gripper_width", "action_target_gripper", F.element_at("action_action8", 8)) if "action_target_gripper" in rows.columns else F.element_at("action_action8", 8)
+    stated = [F.col(n) for n in ("action_target_gripper_width", "action_target_gripper") if n in rows.columns]
+    width = F.coalesce(*stated, F.element_at("action_action8", 8))
     quaternion = geometry.as_float(geometry.normalized(geometry.as_float(F.slice("action_action8", 4, 4))))
     sent = F.concat(geometry.as_float(F.slice("action_action8", 1, 3)), quaternion, geometry.as_float(F.slice("action_action8", 8, 1)))
     out = rows.where("ok").withColumns({"timestamp": (F.col("t") - F.col("start")).cast("float"), "observation.state": geometry.state7(F.col("state_pose"), F.col("state_width")), "action": geometry.relative_action7(target, F.col("state_pose"), width)})

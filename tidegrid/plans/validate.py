@@ -52,9 +52,10 @@ def against_raw(rows: DataFrame, episodes: DataFrame, raw: DataFrame, columns: d
 
     Episodes use their raw file's rows up in order.  ``raw``: raw_episode, row and the columns.
     """
-    listed = by_cursor(episodes.select("raw_episode", "episode_index", "length"), raw, "raw_episode", "episode_index", "length", "row")
+    raw_rows = raw.select("raw_episode", "row", *[c(v).alias(f"r{i}") for i, v in enumerate(columns.values())])
+    listed = by_cursor(episodes.select("raw_episode", "episode_index", "length"), raw_rows, "raw_episode", "episode_index", "length", "row")
     pairs = rows.select("episode_index", "frame_index", "index", *[c(k).alias(f"e{i}") for i, k in enumerate(columns)])
-    raw_side = listed.select("episode_index", F.col("position").cast("long").alias("frame_index"), *[c(v).alias(f"r{i}") for i, v in enumerate(columns.values())])
+    raw_side = listed.select("episode_index", F.col("position").cast("long").alias("frame_index"), *[f"r{i}" for i in range(len(columns))])
     joined = pairs.join(raw_side, ["episode_index", "frame_index"], "left")
     parts = []
     for i, name in enumerate(columns):

@@ -91,7 +91,8 @@ def write_fixed_lists(df: DataFrame, folder: str, dims: dict[str, int]) -> None:
     for check in checks:
         if df.where(~F.coalesce(check, F.lit(False))).limit(1).count():
             raise ValueError(f"a vector has another size than {dims}")
-    df.mapInArrow(write, "rows long").agg(F.sum("rows")).collect()
+    # plain names on the way, as dots would be taken for fields
+    df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(write, "rows long").agg(F.sum("rows")).collect()
 
 
 def append_store(df: DataFrame, path: str, dim: int) -> int:

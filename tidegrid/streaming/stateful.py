@@ -113,7 +113,7 @@ class AssemblerProcessor(_Kept):
         work = Assembler(self.parts, self.most, old["last"], {int(s): p for s, p in old["waiting"].items()}) if old else Assembler(self.parts, self.most)
         done = [found for r in _rows(rows, "seq") if (found := work.add(int(r["stamp"]), r["part"], r["value"]))]
         self.save({"last": work.last, "waiting": work.waiting})
-        yield pd.DataFrame({"side": [key[0]] * len(done), "stamp": [s for s, _ in done], **{p: [whole[p] for _, whole in done] for p in self.parts}})
+        yield pd.DataFrame({"side": [key[0]] * len(done), "stamp": [s for s, _ in done], **{p: [whole[p] for _, whole in done] for p in self.parts}}).astype({"side": object, **dict.fromkeys(self.parts, object)})
 
 
 def assemble_stream(stream: DataFrame, parts: tuple[str, ...], most: int = PENDING) -> DataFrame:
@@ -132,7 +132,7 @@ class TicksProcessor(_Kept):
         work = Ticks(**old | {"items": [tuple(i) for i in old["items"]]}) if old else Ticks(float(rows[0]["t"]), self.step, self.lateness, self.most)
         out = [x for r in rows for x in work.add(float(r["t"]), r["value"])]
         self.save(work.__dict__)
-        yield pd.DataFrame({"key": [key[0]] * len(out), "candidate_index": [x[0] for x in out], "tick": [x[1] for x in out], "dt": [x[2] for x in out], "value": [x[3] for x in out]})
+        yield pd.DataFrame({"key": [key[0]] * len(out), "candidate_index": [x[0] for x in out], "tick": [x[1] for x in out], "dt": [x[2] for x in out], "value": [x[3] for x in out]}).astype({"key": object, "value": object})
 
 
 def nearest_stream(stream: DataFrame, step: float, lateness: float, most: int) -> DataFrame:
