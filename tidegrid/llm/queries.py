@@ -128,9 +128,9 @@ ORACLE: dict[str, str] = {
             SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap
             FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM g WHERE i <= n - 7) WHERE times > 1
         ), r AS (
-            SELECT doc_id, sum(least(8, coalesce(gap, 8))) AS n_repeat_words FROM twice GROUP BY doc_id
+            SELECT doc_id, sum(least(8, coalesce(gap, 8)))::BIGINT AS n_repeat_words FROM twice GROUP BY doc_id
         ), c AS (
-            SELECT d.doc_id, lang, source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+            SELECT d.doc_id, lang, source, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
                    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
                    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
                    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals, length(regexp_replace(text, '[^!]', '', 'g')) AS n_shouts
@@ -174,4 +174,50 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND within AS kept, n_lines, n_capitals, n_shouts
         FROM b JOIN j USING (doc_id)
     """,
+    "op6_suffix_dedup": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents WHERE doc_id IS NOT NULL
+        ), b AS (
+            SELECT doc_id, n, unnest(range(0, n)) AS p, unnest(regexp_extract_all(h, '..')) AS byte FROM d WHERE n > 0
+        ), t AS (
+            SELECT doc_id, n, p, byte, byte || lead(byte, 1, '') OVER w || lead(byte, 2, '') OVER w || lead(byte, 3, '') OVER w || lead(byte, 4, '') OVER w || lead(byte, 5, '') OVER w || lead(byte, 6, '') OVER w || lead(byte, 7, '') OVER w || lead(byte, 8, '') OVER w || lead(byte, 9, '') OVER w AS ten
+            FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+        ), f AS (
+            SELECT doc_id, n, p, byte, ten || lead(ten, 10, '') OVER w || lead(ten, 20, '') OVER w || lead(ten, 30, '') OVER w || lead(ten, 40, '') OVER w || lead(ten, 50, '') OVER w || lead(ten, 60, '') OVER w || lead(ten, 70, '') OVER w || lead(ten, 80, '') OVER w || lead(ten, 90, '') OVER w AS hundred
+            FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+        ), g AS (
+            SELECT doc_id, p, byte, CASE WHEN p <= n - 100 AND row_number() OVER (PARTITION BY p <= n - 100, hundred ORDER BY doc_id, p) > 1 THEN 1 ELSE 0 END AS later FROM f
+        ), c AS (
+            SELECT doc_id, p, byte, max(later) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM g
+        ), e AS (
+            SELECT *, lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM c
+        ), r AS (
+            SELECT doc_id, count(*) FILTER (WHERE gone = 1) AS n_removed, count(*) FILTER (WHERE gone = 1 AND before = 0) AS n_spans,
+                   string_agg(byte, '' ORDER BY p) FILTER (WHERE gone = 0) AS kept
+            FROM e GROUP BY doc_id
+        )
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM d LEFT JOIN r USING (doc_id)
+    """,
+    "op9_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS words
+            FROM documents WHERE doc_id IS NOT NULL
+        ), i AS (
+            SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS g FROM i
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+        ), l AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+        ), e AS (
+            SELECT a, b FROM l UNION SELECT b, a FROM l
+        ), t AS (
+            SELECT doc_id, doc_id AS reached FROM w UNION SELECT t.doc_id, e.b FROM t JOIN e ON e.a = t.reached
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, min(reached) AS component_id FROM t LEFT JOIN n USING (doc_id) GROUP BY ALL
+    """,
 }
