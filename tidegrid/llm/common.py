@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,3 +64,25 @@ def fold(spark: SparkSession) -> int:
 def text_bytes(column: str):
     """The text as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))
+
+
+def tidy_after(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a function for ``mapInArrow``, that gives freed memory back when its task ends.
+
+    Workers wait for their next task beside the executor, which needs the room meanwhile.
+    """
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library, which has no such call
+                pass
+
+    return tidied

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes
+from .common import text_bytes, tidy_after
 from .groups import changes
 from .textbytes import Prefix, chunks, join, mix, words
 
@@ -217,6 +217,7 @@ def document_scores(field: Field | None, texts: list[bytes]) -> np.ndarray:
     return np.clip(out, 0.0, 1.0)
 
 
+@tidy_after
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -245,6 +246,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
 def score_documents(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id and score, from 0 (bad) to 1 (good)."""
 
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(document_scores(field, batch.column(1).to_pylist()))], names=["doc_id", "score"])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small_side, text_bytes
+from .common import saved, small_side, text_bytes, tidy_after
 from .groups import changes
 from .textbytes import Prefix, chunks, join
 
@@ -178,6 +178,7 @@ def _parts(wanted: DataFrame) -> Iterator[list]:
 
 
 def _searcher(items: list[tuple[int, bytes]], edits: int):
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Items(items, edits)
         for batch in batches:

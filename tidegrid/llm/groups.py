@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from .common import tidy_after
+
 
 def key_runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[dict[str, np.ndarray]]:
     """Column arrays of sorted batches, cut so that no key spans two of them.
@@ -40,6 +42,7 @@ def changes(*columns: np.ndarray) -> np.ndarray:
 def scan(key: str, schema: pa.Schema, step: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]):
     """A function for ``mapInArrow`` that applies ``step`` to whole key groups."""
 
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in key_runs(batches, key):
             out = step(part)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, text_bytes
+from .common import saved, text_bytes, tidy_after
 from .textbytes import chunks
 from .wordtokens import word_tokens
 
@@ -72,6 +72,7 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa
 
 
 def _tokenize(vocabulary: str, size: int, end: int, with_ids: bool):
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(vocabulary)
         for batch in batches:
@@ -87,11 +88,13 @@ def _tokenize(vocabulary: str, size: int, end: int, with_ids: bool):
                         part = raw[4 * at : 4 * stop]
                         out.append((doc, piece, at - a, stop - at, zlib.crc32(part), bytes(part) if with_ids else None))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out, strict=True), _PIECES, strict=True)], schema=_PIECES)
+        tokens.rest()
 
     return run
 
 
 def _pack(size: int, open_bins: int):
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fit = BestFit(size, open_bins)
         for batch in batches:

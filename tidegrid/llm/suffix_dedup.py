@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes
-from .common import fold, saved, small_side, text_bytes
+from .common import fold, saved, small_side, text_bytes, tidy_after
 from .groups import changes, key_runs, scan
 from .induced import suffix_order
 
@@ -71,6 +71,7 @@ def _merged(doc: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
 
 
 def _cut(length: int):
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
@@ -122,6 +123,7 @@ _RANGES = pa.schema([("doc", pa.int64()), ("at", pa.int64()), ("n", pa.int64())]
 
 
 def _fetch(length: int):
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, doc, at, piece = [], [], [], []
@@ -193,6 +195,7 @@ def _sort_block(part: dict[str, np.ndarray], length: int) -> tuple[np.ndarray, n
 
 
 def _sort_shards(length: int):
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
         size = 0
@@ -263,6 +266,7 @@ def _remove(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterat
         yield batch, rows
 
 
+@tidy_after
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, rows in _remove(batches, False):
         n, removed, spans, kept = zip(*rows, strict=True) if rows else ((), (), (), ())
@@ -293,6 +297,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = _with_ranges(docs.where(F.col(id_col).isNotNull()), id_col, text_col, length, [*others, text_col])
     schema = ", ".join(f"kept_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(others)) + ", text__ string"
 
+    @tidy_after
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, rows in _remove(batches, True):
             valid = batch.column(f"kept_{len(others)}").is_valid().to_pylist()

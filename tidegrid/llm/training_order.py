@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, fresh_path, saved, text_bytes
+from .common import fold, fresh_path, saved, text_bytes, tidy_after
 from .groups import key_runs
 from .textbytes import mix
 from .warc import _store
@@ -75,6 +75,7 @@ class Permutation:
 def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int, end: int):
     stride = _HEAD.itemsize + length
 
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = first.get(TaskContext.get().partitionId(), 0)
         for batch in batches:
@@ -115,6 +116,7 @@ def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int,
 def _write(folder: str, n: int, length: int, shard: int):
     stride = _HEAD.itemsize + length
 
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
@@ -170,6 +172,7 @@ def write_shards(docs: DataFrame, folder: str, key: int = 0, id_col: str = "doc_
 def _read(length: int, from_slot: int):
     stride = _HEAD.itemsize + length
 
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, path, first, slots in zip(*(c.to_pylist() for c in batch.columns), strict=True):

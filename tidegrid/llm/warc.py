@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, fresh_path, saved, small_side, text_bytes
+from .common import fold, fresh_path, saved, small_side, text_bytes, tidy_after
 
 #: Compressed bytes after which a task starts another archive.
 ROLL = 32 << 20
@@ -82,6 +82,7 @@ def record(page: int, url: str | None, payload: bytes, digest: str, refers_to: i
 
 
 def _write(folder: str, date: str):
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
@@ -161,6 +162,7 @@ _READ_SQL = "record_id string, page_id long, record_type string, url string, pay
 
 
 def _read(with_payload: bool):
+    @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():

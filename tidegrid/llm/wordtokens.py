@@ -51,6 +51,11 @@ class WordTokens:
             self._add([words[i] for i in keep.tolist()], flat[source], done)
             self.uses = uses[keep] // 2
 
+    def rest(self) -> None:
+        """Keeps only what recurs, while no text is at hand."""
+        if len(self.index) > REMEMBERED // 8:
+            self._trim()
+
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=np.uint32) for e in found]
