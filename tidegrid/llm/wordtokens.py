@@ -53,7 +53,7 @@ class WordTokens:
 
     def rest(self) -> None:
         """Keeps only what recurs, while no text is at hand."""
-        if len(self.index) > REMEMBERED // 8:
+        if len(self.index) > REMEMBERED // 2:
             self._trim()
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
