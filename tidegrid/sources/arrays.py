@@ -43,6 +43,12 @@ def _unpack(raw: bytes, compressor: dict | None) -> bytes:
     raise ValueError(f"compressor {kind} is not supported")
 
 
+def describe(path: str) -> dict:
+    """The store's own description: shape, chunks, dtype and so on."""
+    store, place = _open(path.rstrip("/"))
+    return json.loads(_bytes(store, f"{place}/.zarray"))
+
+
 class _Rows(InputPartition):
     def __init__(self, number: int) -> None:
         super().__init__(number)
@@ -51,8 +57,7 @@ class _Rows(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, path: str) -> None:
         self.path = path.rstrip("/")
-        store, place = _open(self.path)
-        self.meta = json.loads(_bytes(store, f"{place}/.zarray"))
+        self.meta = describe(self.path)
         if len(self.meta["shape"]) != 2:
             raise ValueError(f"{path}: {len(self.meta['shape'])} dimensions, not 2")
         if self.meta.get("filters"):
