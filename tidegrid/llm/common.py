@@ -11,8 +11,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a side that may be broadcast, at most; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+#: Rows of a side that may be broadcast, at most, and values in their arrays; beyond it the join shuffles.
+BROADCAST_ROWS, BROADCAST_VALUES = 200_000, 8_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,9 +51,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count shows at most ``limit`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS, array: str | None = None) -> DataFrame:
+    """``df`` marked for broadcast if a count shows few rows, and few values in ``array``; else as it is."""
+    if df.limit(limit + 1).count() > limit:
+        return df
+    if array is not None and (df.agg(F.sum(F.size(array))).first()[0] or 0) > BROADCAST_VALUES:
+        return df
+    return F.broadcast(df)
 
 
 def fold(spark: SparkSession) -> int:

@@ -21,6 +21,8 @@ import numpy as np
 
 #: Bytes of one queue array that stay in memory; larger ones are files.
 MEMORY = 64 << 20
+#: Slots that are induced from one by one.
+FEW = 6
 
 
 class Store:
@@ -159,7 +161,23 @@ class _Sweeps:
             self.source[where] = source
         head[kinds] += count
 
+    def _few(self, slots: range, up: bool, pointer: np.ndarray) -> None:
+        """Induces from a few slots one by one, which costs less than arrays do."""
+        for slot in slots:
+            before = int(self.queue[slot]) - 1
+            if before < 0 or self.up[before] != up:
+                continue
+            symbol = self.text[before]
+            where = int(pointer[symbol]) - up
+            self.queue[where] = before
+            if self.cap:
+                self.source[where] = slot
+            pointer[symbol] = where if up else where + 1
+
     def _induce_descending(self, lo: int, hi: int, head: np.ndarray) -> None:
+        if hi - lo <= FEW:
+            self._few(range(lo, hi), False, head)
+            return
         taken = np.asarray(self.queue[lo:hi])
         before = taken - 1
         keep = before >= 0
@@ -168,6 +186,9 @@ class _Sweeps:
             self._push_up(before[keep], np.flatnonzero(keep) + lo, head)
 
     def _induce_ascending(self, lo: int, hi: int, low: np.ndarray) -> None:
+        if hi - lo <= FEW:
+            self._few(range(hi - 1, lo - 1, -1), True, low)
+            return
         taken = np.asarray(self.queue[lo:hi])[::-1]
         before = taken - 1
         keep = before >= 0

@@ -37,7 +37,7 @@ GRAM = 40
 #: Windows of a text that are handled at once; its position must fit 24 bits.
 PIECE = 8 << 20
 #: Bytes of whole minimiser groups that are suffix-sorted together.
-BLOCK = 1 << 20
+BLOCK = 4 << 20
 
 _RUNS = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("covered", pa.bool_())])
 _RUNS_SQL = "key long, digest long, doc long, at long, n long, covered boolean"
@@ -233,7 +233,7 @@ def covered_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = runs.repartition(parts, "key").sortWithinPartitions("key", "digest", "n", "doc", "at")
     runs = saved(runs.mapInArrow(_fold_equal(length), _RUNS_SQL), "runs")
     open_runs = runs.where("not covered").groupBy("doc").agg(F.flatten(F.collect_list(F.array("key", "at", "n"))).alias("runs"))
-    pieces = plain.join(small_side(saved(open_runs, "open")), "doc").select("doc", "text", "runs")
+    pieces = plain.join(small_side(saved(open_runs, "open"), array="runs"), "doc").select("doc", "text", "runs")
     pieces = pieces.mapInArrow(_fetch(length), "key long, doc long, at long, bytes binary")
     pieces = pieces.repartition(parts, "key").sortWithinPartitions("key")
     found = pieces.mapInArrow(_sort_shards(length), "doc long, at long, n long")
@@ -277,7 +277,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, others: list[str]) -> DataFrame:
-    ranges = small_side(saved(covered_ranges(docs, id_col, text_col, length), "ranges"))
+    ranges = small_side(saved(covered_ranges(docs, id_col, text_col, length), "ranges"), array="ranges")
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), text_bytes(text_col).alias("text__"), *[F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(others)]).where("doc is not null")
     return plain.join(ranges, "doc", "left")
 
