@@ -120,3 +120,30 @@ def segment(packed: Column, name: str, shapes: dict[str, tuple[int, int, int, in
 def floats(raw: pd.Series) -> pd.Series:
     """Little-endian float32 values of bytes."""
     return raw.map(lambda b: None if b is None else np.frombuffer(b, dtype="<f4"))
+
+
+@pandas_udf(T.StructType([T.StructField("min", T.IntegerType()), T.StructField("max", T.IntegerType()), T.StructField("mean", T.DoubleType()), T.StructField("channels", T.ArrayType(T.DoubleType()))]))
+def image_summary(rgb: pd.Series) -> pd.DataFrame:
+    """Least, greatest and mean byte, and each channel's mean, of red-green-blue bytes."""
+    out = []
+    for raw in rgb:
+        a = None if not raw else np.frombuffer(raw, dtype=np.uint8).reshape(-1, 3)
+        out.append((None,) * 4 if a is None else (int(a.min()), int(a.max()), float(a.mean()), a.mean(axis=0).tolist()))
+    return pd.DataFrame(out, columns=["min", "max", "mean", "channels"])
+
+
+@pandas_udf(T.StructType([T.StructField("mae", T.DoubleType()), T.StructField("max_abs", T.DoubleType()), T.StructField("swapped", T.BooleanType())]))
+def image_difference(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Mean and greatest difference of two images' bytes, and whether red and blue are swapped.
+
+    They are if exchanging them lowers the mean difference by more than one.  Images of different size give nulls.
+    """
+    out = []
+    for x, y in zip(a, b, strict=True):
+        if not x or not y or len(x) != len(y):
+            out.append((None, None, None))
+            continue
+        p, q = (np.frombuffer(v, dtype=np.uint8).reshape(-1, 3).astype(np.int16) for v in (x, y))
+        d = np.abs(p - q)
+        out.append((float(d.mean()), float(d.max()), bool(np.abs(p - q[:, ::-1]).mean() + 1 < d.mean())))
+    return pd.DataFrame(out, columns=["mae", "max_abs", "swapped"])

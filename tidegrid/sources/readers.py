@@ -113,3 +113,21 @@ def settings(given: dict, defaults: dict) -> dict:
         value = given.get(key, given.get(FALLBACKS.get(key, key), default))
         out[key] = settings(value or {}, default) if isinstance(default, dict) else value
     return out
+
+
+def read_settings(spark: SparkSession, path: str, defaults: dict) -> dict:
+    """Settings from a YAML or JSON file over their defaults; YAML needs its parser to be installed."""
+    text = read_text(spark, path)
+    if path.endswith(".json"):
+        return settings(json.loads(text), defaults)
+    try:
+        import yaml
+    except ImportError as e:
+        raise RuntimeError(f"{path}: no YAML parser is installed") from e
+    return settings(yaml.safe_load(text) or {}, defaults)
+
+
+def stream_log(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 1) -> DataFrame:
+    """A folder of JSON-lines files as a stream, oldest first, with ``source_file``, the file a line is from."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).schema(schema).json(folder)
+    return lines.select("*", F.col("_metadata.file_path").alias("source_file"))
