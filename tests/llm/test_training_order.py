@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 
 from tests.llm.fixtures import pairs, raw, table
 from tidegrid.llm import training_order
@@ -55,7 +56,7 @@ def test_unfilled_shards_are_errors(tmp_path):
 
     write = training_order._write(str(tmp_path), 3, 4, 10)
     row = np.zeros(20, np.uint8).tobytes()
-    bundle = zlib.compress(np.array([0], "<i8").tobytes() + row)
+    bundle = zstandard.compress(np.array([0], "<i8").tobytes() + row)
     batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([1]), pa.array([bundle])], names=["shard", "n", "bundle"])
     with pytest.raises(ValueError, match="not filled"):
         list(write(iter([batch])))

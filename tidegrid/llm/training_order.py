@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +78,7 @@ def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int,
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=6)
         number = first.get(TaskContext.get().partitionId(), 0)
         for batch in batches:
             docs = batch.column(0).to_pylist()
@@ -106,7 +108,7 @@ def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int,
                 slot, table = slot[by], table[by]
                 edges = np.flatnonzero(np.diff(slot // shard, prepend=-1))
                 ends = [*edges[1:].tolist(), total]
-                packed = [zlib.compress(slot[a:z].astype("<i8").tobytes() + table[a:z].tobytes(), 1) for a, z in zip(edges.tolist(), ends, strict=True)]
+                packed = [pack.compress(slot[a:z].astype("<i8").tobytes() + table[a:z].tobytes()) for a, z in zip(edges.tolist(), ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(slot[edges] // shard), pa.array(np.array(ends) - edges), pa.array(packed, pa.binary())], names=["shard", "n", "bundle"])
                 lo = hi
 
@@ -120,6 +122,7 @@ def _write(folder: str, n: int, length: int, shard: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
+        unpack = zstandard.ZstdDecompressor()
         done: list[tuple] = []
         open_shard, table, filled = -1, np.zeros((0, stride), np.uint8), np.zeros(0, np.int64)
 
@@ -138,7 +141,7 @@ def _write(folder: str, n: int, length: int, shard: int):
                         close()
                     size = min(shard, n - number * shard)
                     open_shard, table, filled = number, np.zeros((size, stride), np.uint8), np.zeros(size, np.int64)
-                raw = zlib.decompress(bundle)
+                raw = unpack.decompress(bundle)
                 slot = np.frombuffer(raw, dtype="<i8", count=count) - number * shard
                 table[slot] = np.frombuffer(raw, dtype=np.uint8, offset=8 * count).reshape(count, stride)
                 np.add.at(filled, slot, 1)
