@@ -54,6 +54,8 @@ def test_blocks_and_pieces_change_nothing(spark, monkeypatch):
     want = sorted(map(tuple, suffix_dedup.removal_report(df).collect()))
     monkeypatch.setattr(suffix_dedup, "BLOCK", 500)
     assert sorted(map(tuple, suffix_dedup.removal_report(df).collect())) == want
+    monkeypatch.setattr(suffix_dedup, "CROWD", 2)
+    assert sorted(map(tuple, suffix_dedup.removal_report(df).collect())) == want
 
 
 def test_texts_stay_valid_and_columns_stay(spark):

@@ -10,7 +10,9 @@ document of smaller id or earlier in its own.  Strings are judged on the input.
 2. What remains of minimisers with several different runs goes to shards by minimiser.  There
    the windows that occur once are trimmed off, and the rest is suffix-sorted by
    recursive induction (``induced``), with queues in files beyond a memory limit.  Each stretch of
-   neighbours that share ``length`` bytes keeps its first window.
+   neighbours that share ``length`` bytes keeps its first window.  A minimiser with more than
+   ``CROWD`` different runs, as at the edge of a passage that very many documents share, would
+   be too much for one task: its windows are compared one by one, spread by their content.
 3. The covered ranges of a document are merged and cut out.
 
 Rows without id are left out.  Null and empty texts have no bytes to remove.  Rows
@@ -36,6 +38,8 @@ from .induced import suffix_order
 GRAM = 40
 #: Windows of a text that are handled at once; its position must fit 24 bits.
 PIECE = 8 << 20
+#: Different runs of a minimiser that one block takes; those of more are compared window by window.
+CROWD = 4096
 #: Bytes of whole minimiser groups that are suffix-sorted together.
 BLOCK = 4 << 20
 
@@ -70,6 +74,19 @@ def _merged(doc: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarra
     return doc[first], at[first], reach[last] - lift[last]
 
 
+def _folded(whole: dict[str, np.ndarray], length: int) -> pa.RecordBatch:
+    """First runs of a batch's equal ones, and the ranges that the others cover, under keys of their own."""
+    order = np.lexsort(tuple(whole[c] for c in ("at", "doc", "n", "digest", "key")))
+    whole = {c: x[order] for c, x in whole.items()}
+    _, new, later = _firsts(whole)
+    doc, at, end = _merged(whole["doc"][later], whole["at"][later], (whole["at"] + whole["n"])[later] + length - 1)
+    whole = {c: x[new] for c, x in whole.items()}
+    zero = np.zeros(len(doc), dtype=np.int64)
+    spread = textbytes.mix(doc.view(np.uint64)).view(np.int64)
+    columns = [np.concatenate(x) for x in ((whole["key"], spread), (whole["digest"], zero), (whole["doc"], doc), (whole["at"], at), (whole["n"], end - at), (new[new] & False, zero == 0))]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _RUNS, strict=True)], schema=_RUNS)
+
+
 def _cut(length: int):
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,15 +100,7 @@ def _cut(length: int):
             if not parts:
                 continue
             whole = dict(zip(("key", "digest", "doc", "at", "n"), (np.concatenate(x) for x in zip(*parts, strict=True)), strict=True))
-            order = np.lexsort(tuple(whole[c] for c in ("at", "doc", "n", "digest", "key")))
-            whole = {c: x[order] for c, x in whole.items()}
-            _, new, later = _firsts(whole)
-            doc, at, end = _merged(whole["doc"][later], whole["at"][later], (whole["at"] + whole["n"])[later] + length - 1)
-            whole = {c: x[new] for c, x in whole.items()}
-            zero = np.zeros(len(doc), dtype=np.int64)
-            spread = textbytes.mix(doc.view(np.uint64)).view(np.int64)
-            columns = [np.concatenate(x) for x in ((whole["key"], spread), (whole["digest"], zero), (whole["doc"], doc), (whole["at"], at), (whole["n"], end - at), (new[new] & False, zero == 0))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, _RUNS, strict=True)], schema=_RUNS)
+            yield _folded(whole, length)
 
     return run
 
@@ -139,6 +148,13 @@ def _fetch(length: int):
     return run
 
 
+def _pieces(plain: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+    """``key``, ``doc``, ``at`` and bytes of runs, fetched from their documents."""
+    listed = runs.groupBy("doc").agg(F.flatten(F.collect_list(F.array("key", "at", "n"))).alias("runs"))
+    joined = plain.join(small_side(saved(listed, "open"), array="runs"), "doc").select("doc", "text", "runs")
+    return joined.mapInArrow(_fetch(length), "key long, doc long, at long, bytes binary")
+
+
 def _sort_block(part: dict[str, np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Covered windows of a block of whole minimiser groups, as ranges."""
     none = np.zeros(0, dtype=np.int64)
@@ -223,6 +239,26 @@ def _sort_shards(length: int):
     return run
 
 
+def _windows(length: int):
+    """Each window of each piece as a run of its own; equal ones fold within a batch."""
+
+    @tidy_after
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size = np.asarray(pa.compute.binary_length(batch.column(3)), dtype=np.int64)
+            base, count = np.cumsum(size) - size, np.maximum(size - length + 1, 0)
+            piece = np.repeat(np.arange(len(size)), count)
+            offset = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count)
+            at = base[piece] + offset
+            code = textbytes.Prefix(np.frombuffer(b"".join(batch.column(3).to_pylist()), dtype=np.uint8)).of(at, at + length).view(np.int64)
+            whole = {"key": code, "digest": code, "doc": batch.column(1).to_numpy()[piece], "at": batch.column(2).to_numpy()[piece] + offset, "n": np.ones(len(piece), dtype=np.int64)}
+            yield _folded(whole, length)
+
+    return run
+
+
 def covered_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
     """Byte ranges to remove: one row per document that has any, with ``doc`` and
     ``ranges``, an array that alternates start and end, not yet merged."""
@@ -232,11 +268,19 @@ def covered_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = plain.where(F.length("text") >= length).mapInArrow(_cut(length), _RUNS_SQL)
     runs = runs.repartition(parts, "key").sortWithinPartitions("key", "digest", "n", "doc", "at")
     runs = saved(runs.mapInArrow(_fold_equal(length), _RUNS_SQL), "runs")
-    open_runs = runs.where("not covered").groupBy("doc").agg(F.flatten(F.collect_list(F.array("key", "at", "n"))).alias("runs"))
-    pieces = plain.join(small_side(saved(open_runs, "open"), array="runs"), "doc").select("doc", "text", "runs")
-    pieces = pieces.mapInArrow(_fetch(length), "key long, doc long, at long, bytes binary")
-    pieces = pieces.repartition(parts, "key").sortWithinPartitions("key")
+    open_runs = runs.where("not covered").select("key", "doc", "at", "n")
+    crowded = saved(open_runs.groupBy("key").agg(F.count("*").alias("runs")).where(F.col("runs") > CROWD).select("key"), "crowded")
+    parted = crowded.limit(1).count() > 0
+    if parted:
+        crowd = open_runs.join(small_side(crowded), "key", "left_semi")
+        open_runs = open_runs.join(small_side(crowded), "key", "left_anti")
+    pieces = _pieces(plain, open_runs, length).repartition(parts, "key").sortWithinPartitions("key")
     found = pieces.mapInArrow(_sort_shards(length), "doc long, at long, n long")
+    if parted:
+        # a minimiser with very many different runs does not go to one task: its windows spread by content
+        single = _pieces(plain, crowd, length).mapInArrow(_windows(length), _RUNS_SQL)
+        single = single.repartition(parts, "key").sortWithinPartitions("key", "digest", "n", "doc", "at")
+        found = found.unionByName(single.mapInArrow(_fold_equal(length), _RUNS_SQL).where("covered").select("doc", "at", "n"))
     every = runs.where("covered").select("doc", "at", "n").unionByName(found)
     return every.groupBy("doc").agg(F.flatten(F.collect_list(F.array("at", F.col("at") + F.col("n")))).alias("ranges"))
 
