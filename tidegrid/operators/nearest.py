@@ -1,6 +1,6 @@
 """Nearest-in-time join of probes with a stream of items, and gates on its result.
 
-Both sides are united and sorted once in each direction; running windows carry the last item
+Both sides are united, shuffled once by key and sorted in each direction; running windows carry the last item
 before and the first item after each probe.  No pair of rows is ever formed, so the cost is
 that of two sorts, whatever the density of the streams.  With a tolerance the work can be cut
 into time buckets, so that a single busy key spreads over many tasks.
@@ -25,7 +25,7 @@ def nearest_join(probes: DataFrame, items: DataFrame, by: list[str], time: str,
     if bucket is not None and (tolerance is None or bucket < tolerance):
         raise ValueError("buckets need a tolerance no wider than them")
     kept = F.struct(F.col(time).alias("t"), F.col(seq).alias("seq"), *[F.col(p).alias(f"p{i}") for i, p in enumerate(payload)])
-    right = items.where(F.col(time).isNotNull()).groupBy(*by, time).agg(F.min_by(kept, F.col(seq)).alias("item"))
+    right = items.where(F.col(time).isNotNull()).select(*by, time, kept.alias("item"))
     left = probes.select(*by, time, F.struct(*[F.col(f"`{n}`") for n in probes.columns]).alias("probe"))
     key = list(by)
     if bucket is not None:
@@ -35,8 +35,10 @@ def nearest_join(probes: DataFrame, items: DataFrame, by: list[str], time: str,
         key.append("bucket__")
     none_left, none_right = F.lit(None).cast(left.schema["probe"].dataType), F.lit(None).cast(right.schema["item"].dataType)
     both = left.select(*key, F.col(time).alias("t__"), F.lit(1).alias("side__"), "probe", none_right.alias("item")).unionByName(right.select(*key, F.col(time).alias("t__"), F.lit(0).alias("side__"), none_left.alias("probe"), "item"))
-    forward = W.partitionBy(*key).orderBy("t__", "side__").rowsBetween(W.unboundedPreceding, 0)
-    backward = W.partitionBy(*key).orderBy(F.desc("t__"), F.desc("side__")).rowsBetween(W.unboundedPreceding, 0)
+    # of items at one time the first to arrive comes last, whichever way the rows run
+    late = F.desc_nulls_last("item.seq")
+    forward = W.partitionBy(*key).orderBy("t__", "side__", late).rowsBetween(W.unboundedPreceding, 0)
+    backward = W.partitionBy(*key).orderBy(F.desc("t__"), F.desc("side__"), late).rowsBetween(W.unboundedPreceding, 0)
     both = both.withColumn("a", F.last("item", True).over(forward)).withColumn("b", F.last("item", True).over(backward)).where("probe is not null")
     t = F.col("t__")
     if arrived_by is not None:
