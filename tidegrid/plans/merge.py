@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from ..operators.lookups import require_columns
-from ..operators.sequences import numbered, reindex
+from ..operators.sequences import reindex
 from ..sources.schemas import COMPATIBLE, MERGE_REQUIRED, SIDES
 
 
@@ -61,4 +61,4 @@ def rewrite_log(log: DataFrame, rows: DataFrame, key: str, row_key: str, changed
     return joined.withColumns({old: F.coalesce(F.col(f"new__{i}"), F.col(old)) for i, old in enumerate(changed)}).drop("key__", *[f"new__{i}" for i in range(len(changed))])
 
 
-__all__ = ["incompatible", "merge", "numbered", "rewrite_log", "source_totals"]
+__all__ = ["incompatible", "merge", "rewrite_log", "source_totals"]
