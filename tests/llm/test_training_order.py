@@ -64,3 +64,35 @@ def test_unfilled_shards_are_errors(tmp_path):
 
 def test_empty_table(spark):
     assert training_order.order_report(table(spark, [])).collect() == []
+
+
+def test_token_ids(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    width = training_order.id_width(vocabulary)
+    assert width == 2
+    df = table(spark).repartition(3, "doc_id")
+    training_order.token_ids(df, vocabulary).write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids"))
+    manifest = training_order.write_shards(ids, str(tmp_path / "out"), key=3, length=64, shard=50, end=7, ids_col="ids", width=width)
+    rows = training_order.read_shards(manifest, length=64, width=width).collect()
+    assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
+    assert all(r["file_offset"] == r["slot"] % 50 * (16 + 128) for r in rows)
+    plain = Tokenizer.from_file(vocabulary)
+    want = Counter()
+    for d, t in pairs(df):
+        data = [*plain.encode(t or "", add_special_tokens=False).ids, 7]
+        want.update((d, i // 64, tuple(data[i : i + 64])) for i in range(0, len(data), 64))
+    got = Counter((r["doc_id"], r["piece"], tuple(np.frombuffer(bytes(r["ids"]), "<u2").tolist())) for r in rows)
+    assert got == want and max(i for _, _, p in got for i in p) > 255
+
+
+def test_ids_of_a_column(spark, tmp_path):
+    wide = np.array([70_000, 0, 4_000_000_000], dtype="<u4").tobytes()
+    spark.createDataFrame([(1, wide), (2, None)], "doc_id long, ids binary").write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids"))
+    manifest = training_order.write_shards(ids, str(tmp_path / "out"), length=8, end=65_536, ids_col="ids", width=4)
+    got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in training_order.read_shards(manifest, length=8, width=4).collect()}
+    assert got == {1: [70_000, 0, 4_000_000_000, 65_536], 2: [65_536]}

@@ -48,7 +48,7 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_report(_table(spark, sf_dir, "documents"), key=20240611)
+    return order_report(_table(spark, sf_dir, "documents"), key=20240611, vocabulary=_vocabulary())
 
 
 def op5_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

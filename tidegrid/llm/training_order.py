@@ -7,14 +7,16 @@ permutation one of exactly the sequences' numbers.  A sequence's number becomes
 global slot.  Slots are range-partitioned into shards of equal size; a shard is a file of
 records of one stride, so that slot s lies in shard s // size at (s % size) * stride and a
 reader can resume anywhere.  A record is the document's id (64 bits), the sequence's place in it
-(32), its number of ids (32), and the ids, padded with zeros; all little-endian.
+(32), its number of ids (32), and the ids, padded with zeros; all little-endian.  Ids have one, two
+or four bytes each, the least that the vocabulary's greatest id fits.
 
 Sequences travel to their shard in compressed bundles, one for each batch and shard.  A task
 writes whole shards to files named after its attempt; the manifest names those of finished
 tasks only.  A shard whose slots are not filled exactly once raises an error.
 
-Ids are the text's bytes and an end id.  A null text has the end id only; a null id is
-written as -1.  Repeated rows have sequences each.  Without rows there are no shards.
+Ids are a tokenizer's, those of a column, or the text's bytes, and an end id.  Texts are tokenized
+once, to a table that both the numbering and the shards read.  A null text has the end id only; a
+null id is written as -1.  Repeated rows have sequences each.  Without rows there are no shards.
 """
 
 from __future__ import annotations
@@ -31,8 +33,9 @@ from pyspark.sql import functions as F
 
 from .common import fold, fresh_path, saved, text_bytes, tidy_after
 from .groups import key_runs
-from .textbytes import mix
+from .textbytes import chunks, mix
 from .warc import _store
+from .wordtokens import forget, word_tokens
 
 #: Ids of a sequence, slots of a shard, rounds of the network.
 LENGTH, SHARD, ROUNDS = 512, 32_768, 6
@@ -73,35 +76,64 @@ class Permutation:
         return self._walk(slots, self.keys[::-1], True)
 
 
-def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int, end: int):
-    stride = _HEAD.itemsize + length
+def id_width(vocabulary: str) -> int:
+    """Bytes that each of a vocabulary's ids needs."""
+    most = max(word_tokens(vocabulary).tokenizer.get_vocab().values())
+    return 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+
+
+def token_ids(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row its id and its text's token ids, little-endian, of ``id_width`` bytes each."""
+    kind = f"<u{id_width(vocabulary)}"
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = word_tokens(vocabulary)
+        for batch in batches:
+            texts = batch.column(1)
+            for lo, hi in chunks(np.asarray(pa.compute.binary_length(texts))):
+                ids, starts = tokens.encode(texts.slice(lo, hi - lo).to_pylist(), None)
+                ids = ids.astype(kind)
+                held = [ids[a:b].tobytes() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(held, pa.binary())], names=["doc_id", "ids"])
+        tokens.rest()
+
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
+    return plain.mapInArrow(run, "doc_id long, ids binary")
+
+
+def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int, end: int, width: int):
+    kind = np.dtype(f"<u{width}")
+    last = np.array([end], dtype=kind).tobytes()
+
+    @tidy_after
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         pack = zstandard.ZstdCompressor(level=6)
         number = first.get(TaskContext.get().partitionId(), 0)
         for batch in batches:
             docs = batch.column(0).to_pylist()
-            sizes = np.asarray(pa.compute.binary_length(batch.column(1)), dtype=np.int64) + 1
+            sizes = np.asarray(pa.compute.binary_length(batch.column(1)), dtype=np.int64)
+            if (sizes % width).any():
+                raise ValueError(f"ids are not of {width} bytes each")
+            sizes = sizes // width + 1
             lo = 0
             while lo < len(docs):
-                hi = max(lo + 1, int(np.searchsorted(np.cumsum(sizes[lo:]), 16 << 20)) + lo)
+                hi = max(lo + 1, int(np.searchsorted(np.cumsum(sizes[lo:]), (16 << 20) // width)) + lo)
                 texts = batch.column(1).slice(lo, hi - lo).to_pylist()
-                flat = np.frombuffer(b"".join([t + bytes([end]) for t in texts]), dtype=np.uint8)
+                flat = np.frombuffer(b"".join([t + last for t in texts]), dtype=kind)
                 pieces = -(-sizes[lo:hi] // length)
                 total = int(pieces.sum())
                 owner = np.repeat(np.arange(hi - lo), pieces)
                 piece = np.arange(total) - np.repeat(np.cumsum(pieces) - pieces, pieces)
                 start = np.repeat(np.cumsum(sizes[lo:hi]) - sizes[lo:hi], pieces) + piece * length
                 held = np.minimum(length, sizes[lo:hi][owner] - piece * length)
-                table = np.zeros((total, stride), dtype=np.uint8)
                 head = np.zeros(total, dtype=_HEAD)
                 head["doc"] = np.array([-1 if d is None else d for d in docs[lo:hi]], dtype=np.int64)[owner]
                 head["piece"], head["length"] = piece, held
-                table[:, : _HEAD.itemsize] = head.view(np.uint8).reshape(total, -1)
-                column = np.arange(length)
-                inside = column < held[:, None]
-                table[:, _HEAD.itemsize :][inside] = flat
+                body = np.zeros((total, length), dtype=kind)
+                body[np.arange(length) < held[:, None]] = flat
+                table = np.concatenate((head.view(np.uint8).reshape(total, -1), body.view(np.uint8)), axis=1)
                 slot = order.slots(np.arange(number, number + total))
                 number += total
                 by = np.argsort(slot, kind="stable")
@@ -115,11 +147,12 @@ def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int,
     return run
 
 
-def _write(folder: str, n: int, length: int, shard: int):
-    stride = _HEAD.itemsize + length
+def _write(folder: str, n: int, length: int, shard: int, width: int = 1):
+    stride = _HEAD.itemsize + length * width
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
         unpack = zstandard.ZstdDecompressor()
@@ -131,7 +164,7 @@ def _write(folder: str, n: int, length: int, shard: int):
                 raise ValueError(f"shard {open_shard}: {int((filled != 1).sum())} slots are not filled exactly once")
             path = f"{base}/shard-{open_shard:08d}-{TaskContext.get().taskAttemptId()}.bin"
             with store.open_output_stream(path) as out:
-                out.write(table.tobytes())
+                out.write(pa.py_buffer(table))
             done.append((open_shard, path, open_shard * shard, len(table)))
 
         for part in key_runs(batches, "shard"):
@@ -153,27 +186,30 @@ def _write(folder: str, n: int, length: int, shard: int):
     return run
 
 
-def write_shards(docs: DataFrame, folder: str, key: int = 0, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard: int = SHARD, end: int = 0) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, key: int = 0, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard: int = SHARD, end: int = 0, ids_col: str | None = None, width: int = 1) -> DataFrame:
     """Writes all sequences in training order; the manifest: shard, path, first_slot, slots.
 
+    Ids are those in ``ids_col``, little-endian and of ``width`` bytes each, or else the text's bytes.
     ``docs`` must give the same partitions and rows when read again, as files do.
     """
-    plain = docs.select(F.col(id_col).cast("long").alias("doc"), text_bytes(text_col).alias("text"))
-    pieces = F.ceil((F.length("text") + 1) / length).cast("long")
+    if width not in (1, 2, 4) or (ids_col is None and width != 1) or not 0 <= end < 1 << 8 * width:
+        raise ValueError(f"width {width}, end {end}")
+    plain = docs.select(F.col(id_col).cast("long").alias("doc"), text_bytes(ids_col or text_col).alias("ids"))
+    pieces = F.ceil((F.length("ids") / width + 1) / length).cast("long")
     counted = plain.select(F.spark_partition_id().alias("part"), pieces.alias("n")).groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
     first, n = {}, 0
     for row in counted:
         first[row["part"]] = n
         n += row["n"]
-    bundles = plain.mapInArrow(_bundles(Permutation(n, key), first, length, shard, end), "shard long, n long, bundle binary")
+    bundles = plain.mapInArrow(_bundles(Permutation(n, key), first, length, shard, end, width), "shard long, n long, bundle binary")
     shards = max(1, -(-n // shard))
     # sampling for a range exchange would make all bundles twice; a shard is a range of slots already
     dealt = bundles.repartition(min(shards, fold(docs.sparkSession)), "shard")
-    return saved(dealt.sortWithinPartitions("shard").mapInArrow(_write(folder, n, length, shard), "shard long, path string, first_slot long, slots long"), "manifest")
+    return saved(dealt.sortWithinPartitions("shard").mapInArrow(_write(folder, n, length, shard, width), "shard long, path string, first_slot long, slots long"), "manifest")
 
 
-def _read(length: int, from_slot: int):
-    stride = _HEAD.itemsize + length
+def _read(length: int, from_slot: int, width: int):
+    stride = _HEAD.itemsize + length * width
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +223,7 @@ def _read(length: int, from_slot: int):
                     while raw := file.read(4096 * stride):
                         table = np.frombuffer(raw, dtype=np.uint8).reshape(-1, stride)
                         head = np.ascontiguousarray(table[:, : _HEAD.itemsize]).view(_HEAD).ravel()
-                        ids = [table[i, _HEAD.itemsize : _HEAD.itemsize + m].tobytes() for i, m in enumerate(head["length"].tolist())]
+                        ids = [table[i, _HEAD.itemsize : _HEAD.itemsize + m * width].tobytes() for i, m in enumerate(head["length"].tolist())]
                         slot = at + np.arange(len(table))
                         at += len(table)
                         doc = pa.array(head["doc"], mask=head["doc"] == -1)
@@ -199,13 +235,21 @@ def _read(length: int, from_slot: int):
     return run
 
 
-def read_shards(manifest: DataFrame, length: int = LENGTH, from_slot: int = 0) -> DataFrame:
+def read_shards(manifest: DataFrame, length: int = LENGTH, from_slot: int = 0, width: int = 1) -> DataFrame:
     """The sequences from a slot on; each task reads its shards from front to back."""
     paths = manifest.select("shard", "path", "first_slot", "slots").where(F.col("first_slot") + F.col("slots") > from_slot)
     fields = "slot long, shard long, file_offset long, doc_id long, piece int, length long, ids_crc32 long, ids binary"
-    return paths.repartitionByRange(fold(manifest.sparkSession), "shard").mapInArrow(_read(length, from_slot), fields)
+    return paths.repartitionByRange(fold(manifest.sparkSession), "shard").mapInArrow(_read(length, from_slot, width), fields)
 
 
-def order_report(docs: DataFrame, key: int = 0) -> DataFrame:
-    """Writes ``docs`` in training order to fresh shards and lists what was read back."""
-    return read_shards(write_shards(docs, fresh_path(docs.sparkSession, "shards"), key)).drop("ids")
+def order_report(docs: DataFrame, key: int = 0, vocabulary: str | None = None) -> DataFrame:
+    """Writes ``docs`` in training order to fresh shards and lists what was read back.
+
+    With a vocabulary the ids are its tokens', else the texts' bytes.
+    """
+    folder = fresh_path(docs.sparkSession, "shards")
+    if vocabulary is None:
+        return read_shards(write_shards(docs, folder, key)).drop("ids")
+    width = id_width(vocabulary)
+    ids = saved(token_ids(docs, vocabulary), "token-ids")
+    return read_shards(write_shards(ids, folder, key, ids_col="ids", width=width), width=width).drop("ids")

@@ -139,3 +139,8 @@ def word_tokens(vocabulary: str) -> WordTokens:
     if vocabulary not in _loaded:
         _loaded[vocabulary] = WordTokens(vocabulary)
     return _loaded[vocabulary]
+
+
+def forget() -> None:
+    """Drops this process's tokenizers, whose room later tasks of the same worker need."""
+    _loaded.clear()
