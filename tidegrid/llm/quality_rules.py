@@ -1,4 +1,4 @@
-"""Quality rules whose cutoffs adapt to each language and source.
+"""Quality rules with fences for each language and source.
 
 Counts are taken over every whole text.  Rates derived from them go into mergeable quantile
 sketches, one for each rate, language and source: a sketch counts values by
@@ -6,8 +6,8 @@ bucket, a bucket being a value without its low bits, so that its error stays und
 ``2**(PRECISION-1)``.  Sketches merge by adding counts, give the same result in any order of
 merging, and stay small whatever the input; a group's sketches also merge into those
 of its language and of everything, which stand in where a group has few documents.  A rate's
-fences lie a multiple of the interquartile range beyond the quartiles.  They replace fixed
-cutoffs and are joined to the documents to filter them.
+fences lie a multiple of the interquartile range, or of a least range where that is wider, beyond
+the quartiles.  They are joined to the documents to filter them.
 
 Only DataFrame and SQL functions are used.  Null text has no words, and so fails the
 base rule; null language or source is a group of its own.  Rows that repeat are
