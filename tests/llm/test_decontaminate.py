@@ -87,3 +87,33 @@ def test_empty_tables(spark):
 def test_folding_drops_marks():
     got, at = decontaminate.letters(np.frombuffer("A b-C, é".encode(), dtype=np.uint8))
     assert bytes(got) == "abcé".encode() and at.tolist() == [0, 2, 4, 7, 8]
+
+
+def test_short_items_as_whole_words(spark):
+    items = [(0, "Who wrote the first book of Moses?"), (1, "Oslo"), (2, "ab c"), (3, "?!"), (4, "oslo."), (5, "é x"), (6, "a" * 39), (7, "one two")]
+    docs = ["He asked: who wrote - the first BOOK of Moses", "who wrote the first book of Mose", "In Oslo, Oslo", "Oslow and coslo", "a bc", "x AB\nC", "y é x", "a" * 40, "a" * 39, "end one", "two end", "", None, "c"]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = table(spark, list(enumerate(docs)))
+    found = decontaminate.find_items(df, bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(0, 0), (2, 1), (2, 4), (5, 2), (6, 5), (8, 6)]
+    places = {(r["doc_id"], r["item_id"]): docs[r["doc_id"]].encode()[r["start"] : r["end"]].decode() for r in found}
+    assert places[0, 0] == "who wrote - the first BOOK of Moses" and places[5, 2] == "AB\nC" and places[6, 5] == "é x"
+    assert all(r["edits"] == 0 for r in found) and next(r["start"] for r in found if r["item_id"] == 1) == 3
+    assert {r["doc_id"] for r in decontaminate.drop_contaminated(df, bench).collect()} == set(range(14)) - {0, 2, 5, 6, 8}
+
+
+def test_short_items_equal_word_search():
+    rng = random.Random(3)
+    text = lambda n: "".join(rng.choice("ab ,C") for _ in range(n))
+    split = lambda t: "".join(c if c.isalnum() else " " for c in t.lower()).split()
+    for _ in range(200):
+        items = [(i, text(rng.randint(1, 6)).encode()) for i in range(5)]
+        docs = [text(rng.randint(0, 30)) for _ in range(6)]
+        got = {(d, t) for d, t, *_ in search(Items(items, decontaminate.EDITS), [d.encode() for d in docs])}
+        want = set()
+        for d, doc in enumerate(docs):
+            for t, (_, item) in enumerate(items):
+                a, b = split(doc), split(item.decode())
+                if b and any(a[i : i + len(b)] == b for i in range(len(a))):
+                    want.add((d, t))
+        assert got == want

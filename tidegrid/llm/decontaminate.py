@@ -8,8 +8,10 @@ lies within one of them; bands that reach the bound are kept and verified by
 banded alignment of the whole item.  Nothing is shuffled: items come to the documents, in
 blocks of bounded size.
 
-Items whose letters and digits make fewer than ``LEAST_ITEM`` bytes would match by chance
-and are not searched.  Null texts and items have none.  Equal items are each reported; of a
+Items whose letters and digits make fewer than ``LEAST_ITEM`` bytes would match by chance with
+edits; they are found where their words stand one after the other, whole and without edits.
+Only whole items count: a quoted part of one is not reported.  Null texts and items, and items
+without a letter or digit, have no match.  Equal items are each reported; of a
 document's regions for an item, the best one (fewest edits, then first) is.
 Rows that repeat are each searched, and reported once; rows without id are left out.
 """
@@ -30,6 +32,7 @@ from .textbytes import Prefix, chunks, join
 Q = 12
 #: Edits allowed in a hundred bytes of an item.
 EDITS = 5
+#: Bytes of an item that is searched for with edits, at least.
 LEAST_ITEM = 40
 #: Items that are searched for at once.
 ITEMS = 20_000
@@ -48,6 +51,12 @@ def letters(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return folded[at], at
 
 
+def apart(folded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``letters``' bytes with a space before each word, and where words start in ``letters``' bytes."""
+    word = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+    return np.insert(folded, word, 0x20), word
+
+
 def budget(m: int, edits: int = EDITS) -> int:
     return m * edits // 100
 
@@ -57,8 +66,19 @@ class Items:
 
     def __init__(self, items: list[tuple[int, bytes]], edits: int) -> None:
         self.ids = [i for i, _ in items]
-        self.texts = [letters(np.frombuffer(t, dtype=np.uint8))[0] for _, t in items]
-        grams = [Prefix(t).grams(Q) for t in self.texts]
+        split = [letters(np.frombuffer(t, dtype=np.uint8)) for _, t in items]
+        self.texts = [t for t, _ in split]
+        grams = [Prefix(t).grams(Q if len(t) >= LEAST_ITEM else len(t) + 1) for t in self.texts]
+        self.short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for i, (t, at) in enumerate(split):
+            if 0 < len(t) < LEAST_ITEM:
+                words = apart(t, at)[0]
+                by_size.setdefault(len(words), []).append((i, words))
+        for n, held in by_size.items():
+            exact = np.array([Prefix(words).grams(n)[0] for _, words in held])
+            sort = np.argsort(exact, kind="stable")
+            self.short[n] = exact[sort], np.array([i for i, _ in held])[sort], np.stack([words for _, words in held])[sort]
         code = np.concatenate([*grams, np.zeros(0, dtype=np.uint64)])
         order = np.argsort(code, kind="stable")
         self.code = code[order]
@@ -80,6 +100,27 @@ class Items:
         return np.repeat(at, n), self.item[source], self.place[source]
 
 
+    def exact(self, folded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where short items stand as whole words in ``letters``' bytes, and which."""
+        places, found = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        if self.short:
+            spaced, word = apart(folded, at)
+            prefix, begin = Prefix(spaced), word + np.arange(len(word))
+            ends = np.append(spaced, 0x20) == 0x20
+            for n, (code, item, words) in self.short.items():
+                some = np.flatnonzero(begin + n <= len(spaced))
+                some = some[ends[begin[some] + n]]
+                here = prefix.of(begin[some], begin[some] + n)
+                lo = np.searchsorted(code, here, side="left")
+                times = np.searchsorted(code, here, side="right") - lo
+                source = np.arange(int(times.sum())) + np.repeat(lo - (np.cumsum(times) - times), times)
+                some = np.repeat(some, times)
+                same = (spaced[begin[some][:, None] + np.arange(n)] == words[source]).all(axis=1)
+                places.append(word[some[same]])
+                found.append(item[source[same]])
+        return np.concatenate(places), np.concatenate(found)
+
+
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """Least edits to turn ``item`` into a substring of ``text`` that starts within low..high; start and end.
 
@@ -119,7 +160,7 @@ def search(items: Items, texts: list[bytes]) -> Iterator[tuple[int, int, int, in
     for lo, hi in chunks(sizes):
         buf, starts = join(texts[lo:hi])
         folded, at = letters(buf)
-        if len(folded) < Q:
+        if not len(folded):
             continue
         edge = np.searchsorted(at, starts)
         place, item, inner = items.hits(Prefix(folded).grams(Q))
@@ -151,6 +192,17 @@ def search(items: Items, texts: list[bytes]) -> Iterator[tuple[int, int, int, in
                 found = (cost, start + a, end + a)
                 if (d, t) not in best or found < best[d, t]:
                     best[d, t] = found
+        place, item = items.exact(folded, at)
+        doc = np.searchsorted(edge, place, side="right") - 1
+        order = np.lexsort((place, item, doc))
+        place, item, doc = place[order], item[order], doc[order]
+        # the first in each text; one that runs on into the next text is none
+        size = np.array([len(t) for t in items.texts], dtype=np.int64)
+        whole = place + size[item] <= edge[doc + 1]
+        place, item, doc = place[whole], item[whole], doc[whole]
+        first = np.flatnonzero(changes(doc, item))
+        for d, t, p in zip(doc[first].tolist(), item[first].tolist(), place[first].tolist(), strict=True):
+            best[d, t] = (0, p - int(edge[d]), p - int(edge[d]) + len(items.texts[t]))
         for (d, t), (cost, start, end) in best.items():
             base, origin = edge[d], starts[d]
             yield lo + d, t, int(at[base + start] - origin), int(at[base + end - 1] - origin + 1), cost
@@ -163,7 +215,6 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     found = None
     for part in _parts(wanted):
         items = [(r["item"], bytes(r["text"])) for r in part]
-        items = [(i, t) for i, t in items if len(letters(np.frombuffer(t, dtype=np.uint8))[0]) >= LEAST_ITEM]
         one = plain.mapInArrow(_searcher(items, edits), "doc_id long, item_id long, start long, end long, edits long, item_bytes long")
         found = one if found is None else found.unionByName(one)
     return found.distinct()
