@@ -86,3 +86,35 @@ def test_awkward_and_empty_tables(spark):
     df = table(spark)
     assert license_scan.scan(df, F.lit("x/y")).count() == df.count()
     assert license_scan.scan(table(spark, []), F.lit("x/y")).collect() == []
+
+
+def test_wrapped_notices_titles_and_identifiers(spark):
+    code = "\n".join(f"value{i} = compute(other{i}, {i})" for i in range(60))
+    bsd = "# Redistribution and use in source and binary\n# forms, with or without modification, are\n# permitted provided that the following\n#\n# conditions are met. Neither the name of the\n# copyright holder nor the names of its\n# contributors may be used to endorse\n"
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    rows = [
+        (1, bsd + code, "a/x.py"),
+        (2, "MIT License\n\nCopyright someone", "b/LICENSE"),
+        (3, "x", "b/c/y"),
+        (4, "// SPDX-License-Identifier: GPL-2.0-only\n" + code, "d/z"),
+        (5, "// SPDX-License-Identifier: Zlib\n" + code, "e/z"),
+        (6, "          Apache License\n   Version 2.0, January 2004\n" + code, "f/COPYING"),
+        (7, "License\n" + code, "g/z"),
+        (8, "Copyright (c) 2020 A. Person\n\n" + mit.replace(", ", ",\n"), "h/LICENSE.md"),
+        (9, "the dog ran\nand a license\nof the cat", "i/z"),
+        (10, "# SPDX-License-Identifier: CC-BY-4.0x", "j/z"),
+    ] + [(100 + i, f"free use of the source software is in any form the word {i}", f"k/{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    got = {r["doc_id"]: (r["license"], r["origin"]) for r in license_scan.scan(df, F.col("path")).collect() if r["doc_id"] < 100}
+    assert got == {
+        1: ("BSD-3-Clause", "header"),
+        2: ("MIT", "file"),
+        3: ("MIT", "inherited"),
+        4: ("GPL-2.0", "header"),
+        5: (None, "none"),
+        6: ("Apache-2.0", "file"),
+        7: (None, "none"),
+        8: ("MIT", "file"),
+        9: (None, "none"),
+        10: (None, "none"),
+    }

@@ -1,11 +1,17 @@
 """Licences of files: from their own notices, or from the nearest directory that states one.
 
-Each line of a text, and each text as a whole, is a sparse TF-IDF vector; its cosine to every
-template tells the licence.  Document frequencies of the templates' words are counted
+Each line of a text, each run of up to ``RUN`` lines that are not blank, and each text as a whole, is
+a sparse TF-IDF vector; its cosine to every template tells the licence.  A run starts and ends
+at a line with a word of the templates, as other lines at its ends only lower the cosine, and has at
+most twice the words of the longest notice.  Document frequencies of the templates' words are counted
 over all texts; all other words weigh as much as a word that no text has.  By the Cauchy-Schwarz
 inequality a vector without any of the heaviest template words stays under the threshold, so
 only texts and lines that have one are compared, without loss.
 
+Titles and SPDX identifiers are too short for a cosine: one that has a line, or the lines of a wrapped
+title, to itself counts as a notice of cosine 1.  A licence's full text is known by its title or by
+the run of its opening sentence.
+
 A file whose name is that of a licence file, or whose whole text is close to a template, licenses
 its directory.  A file with no notice of its own inherits from its nearest ancestor
 directory with a licence, by joins of path prefixes.
@@ -49,6 +55,33 @@ TEMPLATES = [
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+#: Words of the longest notice.
+_LONGEST = max(len(re.findall("[a-z0-9]+", t.lower())) for _, t in TEMPLATES)
+#: Words of titles, which a licence's text starts with.
+TITLES = [
+    ("MIT", "MIT License"),
+    ("Apache-2.0", "Apache License"),
+    ("Apache-2.0", "Apache License Version 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0 January 2004"),
+    ("GPL-3.0", "GNU General Public License Version 3"),
+    ("GPL-3.0", "GNU General Public License Version 3 29 June 2007"),
+    ("GPL-2.0", "GNU General Public License Version 2"),
+    ("GPL-2.0", "GNU General Public License Version 2 June 1991"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1 February 1999"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3 19 November 2007"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("ISC", "ISC License"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+]
+#: Lines of a run, at most.
+RUN = 12
 #: Least cosine of a notice.
 THRESHOLD = 0.6
 #: Base names of files that license their directory.
@@ -88,10 +121,36 @@ def _norm(vector: dict[str, float]) -> float:
     return math.sqrt(sum(x * x for x in vector.values()))
 
 
-def notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def _runs(near: DataFrame, known: Column, keys: Column) -> DataFrame:
+    """Runs of two lines or more, each with its first line and its words."""
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda t, i: F.struct(i.alias("line"), _words(t).alias("words"))), lambda x: F.size(x["words"]) > 0)
+    told = near.select("doc", F.transform(lines, lambda x: F.struct(x["line"].alias("line"), x["words"].alias("words"), F.arrays_overlap(x["words"], known).alias("told"))).alias("lines"))
+    # filled first, so that the splitting is not done again for each start
+    starts = F.transform("lines", lambda x, i: F.when(x["told"], F.slice("lines", i + 1, RUN)))
+    block = told.select("doc", F.explode(F.filter(starts, lambda b: F.size(b) > 1)).alias("block"))
+    block = block.where(F.arrays_overlap(F.flatten("block.words"), keys))
+    ends = F.filter(F.sequence(F.lit(2), F.size("block")), lambda n: F.element_at("block", n)["told"])
+    runs = block.select("doc", F.col("block")[0]["line"].alias("line"), "block", F.explode(ends).alias("n"))
+    return runs.select("doc", "line", F.flatten(F.slice("block.words", F.lit(1), F.col("n"))).alias("words")).where(F.size("words") <= 2 * _LONGEST)
+
+
+def stated_names(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Titles and SPDX identifiers, as rows like those of ``notices``, with a cosine of 1."""
+    edge, gap = r"[^\p{L}\p{N}\n]*", r"[^\p{L}\p{N}]+"
+    forms = [(name, rf"(?im)^{edge}(?:the )?{gap.join(re.findall('[A-Za-z0-9]+', title))}{edge}$") for name, title in TITLES]
+    forms += [(name, rf"(?im)SPDX-License-Identifier:[ \t(]*{re.escape(name)}(?:-only|-or-later|\+)?(?![\p{{L}}\p{{N}}+.-])") for name in sorted({n for n, _ in TEMPLATES})]
+    plain = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc is not null").where(F.col("text").rlike("(?i)licen[cs]e|creative commons|cc0"))
+    found = F.array(*[F.struct(F.lit(name).alias("license"), F.regexp_instr("text", F.lit(form)).alias("at")) for name, form in forms])
+    each = plain.select("doc", "text", F.explode(F.filter(found, lambda x: x["at"] > 0)).alias("f"))
+    line = F.size(F.split(F.expr("substring(text, 1, f.at - 1)"), "\n")) - 1
+    return each.select("doc", line.alias("line"), "f.license", F.lit(1.0).alias("cosine"))
+
+
+def notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, runs: bool = False) -> DataFrame:
     """Per id and unit its best licence: ``doc``, ``line`` (-1 for the whole text), license, cosine.
 
-    Only units at or above the threshold have a row.
+    Only units at or above the threshold have a row.  With ``runs`` a line also stands for the runs
+    of lines that start there.
     """
     spark = docs.sparkSession
     plain = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("doc is not null")
@@ -110,7 +169,10 @@ def notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     near = saved(near.dropDuplicates(["doc", "text"]), "near")
     lines = near.select("doc", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     units = lines.unionByName(near.select("doc", F.lit(-1).alias("line"), "text"))
-    units = units.select("doc", "line", _words(F.col("text")).alias("words")).where(F.arrays_overlap("words", keys))
+    units = units.select("doc", "line", _words(F.col("text")).alias("words"))
+    if runs:
+        units = units.unionByName(_runs(near, known, keys))
+    units = units.where(F.arrays_overlap("words", keys))
     # an id that comes with several texts has its units apart
     unit = ["doc", "line", "unit", "n_words"]
     units = units.select("doc", "line", F.xxhash64("words").alias("unit"), F.size("words").alias("n_words"), F.explode("words").alias("word"))
@@ -128,7 +190,7 @@ def notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
 def scan(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, path, license, cosine, origin (header, file, inherited or none) and the stating path."""
-    own = notices(docs, id_col, text_col, threshold)
+    own = notices(docs, id_col, text_col, threshold, runs=True).unionByName(stated_names(docs, id_col, text_col))
     best = own.groupBy("doc").agg(F.min(F.struct(-F.col("cosine"), F.col("line"), F.col("license"))).alias("b"), F.max(F.col("line") == -1).alias("whole"))
     best = small_side(saved(best.select("doc", F.col("b.license").alias("license"), (-F.col("b.col1")).alias("cosine"), "whole"), "best"))
     files = docs.select(F.col(id_col).alias("doc_id"), path.alias("path"))
