@@ -50,3 +50,12 @@ def test_run_and_awkward_tables(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = saved(stage(spark, docs, FOLDER), "stage")
         assert (docs.count() > 0) == (rows is None)
+
+
+def test_rows_without_id_stay_in_repeated_strings(spark):
+    docs = table(spark)
+    out = corpus_pipeline.repeated_strings(spark, docs, FOLDER)
+    assert out.columns == docs.columns
+    lost = lambda df: sorted(map(repr, df.where("doc_id is null").collect()))
+    assert lost(out) == lost(docs) and lost(docs)
+    assert out.count() == docs.count()
