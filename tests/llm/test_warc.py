@@ -36,6 +36,15 @@ def test_round_trip(spark, tmp_path, monkeypatch):
         assert (r["record_type"], r["refers_to"]) == (("revisit", last[data.decode()]) if again else ("response", None))
 
 
+def test_ids_with_several_payloads(spark, tmp_path):
+    a, b, c = "a" * 1200, "b" * 1300, "c" * 1200
+    rows = [(5, a), (9, a), (5, b), (8, b), (9, c), (3, b), (9, "short"), (5, a)]
+    df = spark.createDataFrame([(i, None, h) for i, h in rows], "page_id long, url string, html string")
+    found = warc.read_archives(warc.write_archives(df, str(tmp_path / "w")), with_payload=True).collect()
+    want = sorted((i, h, {(5, a): 9, (5, b): 8, (3, b): 8}.get((i, h), -1)) for i, h in rows)
+    assert sorted((r["page_id"], bytes(r["payload"]).decode(), -1 if r["refers_to"] is None else r["refers_to"]) for r in found) == want
+
+
 def test_equals_sql(spark):
     same(queries.op3_warc_revisits(spark, TABLES), queries.ORACLE["op3_warc_revisits"])
 

@@ -7,8 +7,8 @@ files that a finished task reports are in the manifest, so a lost executor
 leaves at most files that nothing refers to.
 
 Rows without id are left out.  A null payload is empty.  A null address becomes
-``urn:page:<id>``.  Of equal payloads the largest id keeps it; rows that repeat that id are
-responses too.
+``urn:page:<id>``.  Of equal payloads the largest id keeps it; rows that repeat that id with that
+payload are responses too.  An id that comes with several payloads has a record for each.
 """
 
 from __future__ import annotations
@@ -45,8 +45,9 @@ def _store(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def record_id(page: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, str(page))}>"
+def record_id(page: int, digest: str) -> str:
+    """Of a page's id and payload, as an id may come with several payloads."""
+    return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page}:{digest}')}>"
 
 
 def _address(url: str | None, page: int) -> str:
@@ -61,7 +62,7 @@ def record(page: int, url: str | None, payload: bytes, digest: str, refers_to: i
     block = http if refers_to is not None else http + payload
     named = {
         "WARC-Type": "response" if refers_to is None else "revisit",
-        "WARC-Record-ID": record_id(page),
+        "WARC-Record-ID": record_id(page, digest),
         "WARC-Date": date,
         "WARC-Target-URI": _address(url, page),
         "WARC-Payload-Digest": "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode(),
@@ -71,7 +72,7 @@ def record(page: int, url: str | None, payload: bytes, digest: str, refers_to: i
     if refers_to is not None:
         named |= {
             "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            "WARC-Refers-To": record_id(refers_to),
+            "WARC-Refers-To": record_id(refers_to, digest),
             "WARC-Refers-To-Target-URI": _address(refers_url, refers_to),
             "WARC-Refers-To-Date": date,
             "WARC-Truncated": "length",
@@ -120,13 +121,12 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     plain = plain.withColumn("digest", F.sha1("payload"))
     headers = saved(plain.select("page", "url", "digest", F.length("payload").alias("n")), "headers")
     long = headers.where(F.col("n") >= least_payload)
-    kept = long.groupBy("digest", "n").agg(F.max_by(F.struct("page", "url"), "page").alias("kept"), F.count("*").alias("copies")).where("copies > 1")
+    kept = long.groupBy("digest", "n").agg(F.max(F.struct("page", "url")).alias("kept"), F.count("*").alias("copies")).where("copies > 1")
     kept = kept.select("digest", "n", F.col("kept.page").alias("refers_to"), F.col("kept.url").alias("refers_url"))
-    revisits = long.join(small_side(saved(kept, "kept")), ["digest", "n"]).where("page <> refers_to").select("page", "refers_to", "refers_url").distinct()
-    joined = plain.join(small_side(saved(revisits, "revisits")), "page", "left")
-    # a page id that comes with several payloads is a revisit only of its own
-    joined = joined.withColumn("own", F.length("payload") >= least_payload)
-    joined = joined.withColumns({c: F.when(F.col("own"), F.col(c)) for c in ("refers_to", "refers_url")}).drop("own")
+    # a page id may come with several payloads: each is a revisit of its own only
+    own = ["page", "digest", "n"]
+    revisits = long.join(small_side(saved(kept, "kept")), ["digest", "n"]).where("page <> refers_to").select(*own, "refers_to", "refers_url").distinct()
+    joined = plain.withColumn("n", F.length("payload")).join(small_side(saved(revisits, "revisits")), own, "left")
     return saved(joined.mapInArrow(_write(folder, date), "path string, records long, bytes long"), "manifest")
 
 
