@@ -47,6 +47,13 @@ def test_fences_follow_the_group(spark):
     assert kept == {5000: False, 5001: True}
 
 
+def test_rows_that_share_an_id_are_judged_each(spark):
+    good, rows = " ".join(f"word{i}" for i in range(60)), []
+    rows = [(1, good), (1, "bad"), (None, "bad"), (None, good)]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    assert sorted(map(repr, pairs(quality_rules.keep_good(df)))) == sorted(map(repr, [(1, good), (None, good)]))
+
+
 def test_no_python_runs(spark):
     plan = quality_rules.judge(table(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -56,6 +63,8 @@ def test_filter_keeps_columns_and_empty_tables(spark):
     df = table(spark)
     out = quality_rules.keep_good(df)
     assert out.columns == df.columns
-    bad = {r["doc_id"] for r in quality_rules.judge(df).where("not kept").collect()} - {None}
-    assert {r["doc_id"] for r in out.collect()} == {d for d, _ in pairs(df)} - bad
+    # rows are judged by their own text: repeated and null ids too
+    verdicts = {(r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"]): r["kept"] for r in quality_rules.judge(df).collect()}
+    keep = lambda p: verdicts[p[0], *counts(p[1])[:3]]
+    assert sorted(map(repr, pairs(out))) == sorted(repr(p) for p in pairs(df) if keep(p))
     assert quality_rules.judge(table(spark, [])).collect() == [] and quality_rules.keep_good(table(spark, [])).collect() == []

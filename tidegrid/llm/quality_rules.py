@@ -16,7 +16,7 @@ judged each.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -56,15 +56,18 @@ _REPEATED = _let(
 )
 
 
-def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The counts of each row's text, with the base rule's verdict and the rates."""
+def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", carried: Column | None = None) -> DataFrame:
+    """The counts of each row's text, with the base rule's verdict and the rates; ``carried`` stays as a column."""
+    more = [] if carried is None else ["carried"]
     text = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        *([] if carried is None else [carried.alias("carried")]),
     )
     split = text.select(
+        *more,
         "doc_id",
         "lang",
         "source",
@@ -75,6 +78,7 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         F.regexp_count("text", F.lit("!")).cast("long").alias("n_shouts"),
     )
     counted = split.select(
+        *more,
         "doc_id",
         "lang",
         "source",
@@ -134,37 +138,31 @@ def fences(counted: DataFrame) -> DataFrame:
     return joined.select("lang", "source", best.alias("fence"))
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Per row its counts, whether the base rule failed, and whether it is kept."""
-    counted = saved(counts(docs, id_col, text_col, lang_col, source_col), "counts")
-    limits = small_side(saved(fences(counted), "fences"), 20_000)
+def _judged(counted: DataFrame, limits: DataFrame) -> DataFrame:
+    """``counted`` with ``kept``, the verdict by the base rule and the fences of the row's group."""
     within = F.lit(True)
     for r, (_, low) in RATES.items():
         within = within & (F.col(r) <= F.col(f"fence.{r}_high"))
         if low:
             within = within & (F.col(r) >= F.col(f"fence.{r}_low"))
     joined = counted.join(limits, ["lang", "source"], "left")
-    return joined.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        F.when(F.col("base_failed"), False).otherwise(F.coalesce(within, F.lit(True))).alias("kept"),
-        "n_lines",
-        "n_capitals",
-        "n_shouts",
-    )
+    return joined.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(F.coalesce(within, F.lit(True))))
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """Per row its counts, whether the base rule failed, and whether it is kept."""
+    counted = saved(counts(docs, id_col, text_col, lang_col, source_col), "counts")
+    judged = _judged(counted, small_side(saved(fences(counted), "fences"), 20_000))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_capitals", "n_shouts")
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """``docs`` without the rows that the rules reject; columns stay as they are.
 
-    Rows that share an id stay or go together: they go if any of them is rejected.
-    Rows with a null id are kept, as no verdict can name them.
+    Each row is judged by its own text, whatever its id.  The row travels beside its counts, so
+    that no join by id is needed.
     """
-    rejected = judge(docs, id_col, text_col, lang_col, source_col).where("not kept").select(F.col("doc_id").alias("rejected__")).where("rejected__ is not null")
-    return docs.join(small_side(saved(rejected.distinct(), "rejected")), F.col(id_col) == F.col("rejected__"), "left_anti")
-
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    counted = saved(counts(docs, id_col, text_col, lang_col, source_col, whole), "counts")
+    judged = _judged(counted, small_side(saved(fences(counted.drop("carried")), "fences"), 20_000))
+    return judged.where("kept").select(*[F.col(f"carried.c{i}").alias(c) for i, c in enumerate(docs.columns)])
