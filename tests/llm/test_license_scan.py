@@ -77,6 +77,14 @@ def test_inheritance(spark):
     }
 
 
+def test_headers_do_not_license_their_directory(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version."
+    rows = [(1, f"# {gpl}\nint a;", "src/a.c"), (2, "int b;", "src/b.c"), (3, "int c;", "src/lib/c.c"), (4, gpl, "other/d.c"), (5, "e", "other/e.c"), (6, gpl, "third/COPYING"), (7, "f", "third/x/f.c")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    got = {r["doc_id"]: (r["license"], r["origin"]) for r in license_scan.scan(df, F.col("path")).collect()}
+    assert got == {1: ("GPL-3.0", "header"), 2: (None, "none"), 3: (None, "none"), 4: ("GPL-3.0", "header"), 5: (None, "none"), 6: ("GPL-3.0", "file"), 7: ("GPL-3.0", "inherited")}
+
+
 def test_no_python_runs(spark):
     plan = license_scan.scan(documents(spark), F.col("path"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -12,8 +12,8 @@ Titles and SPDX identifiers are too short for a cosine: one that has a line, or
 title, to itself counts as a notice of cosine 1.  A licence's full text is known by its title or by
 the run of its opening sentence.
 
-A file whose name is that of a licence file, or whose whole text is close to a template, licenses
-its directory.  A file with no notice of its own inherits from its nearest ancestor
+A file whose name is that of a licence file licenses its directory; any other notice licenses its
+own file only, however much of the file it is.  A file with no notice of its own inherits from its nearest ancestor
 directory with a licence, by joins of path prefixes.
 
 Only DataFrame and SQL functions are used.  Null texts have no notice; a null path is in no
@@ -191,13 +191,13 @@ def notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 def scan(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, path, license, cosine, origin (header, file, inherited or none) and the stating path."""
     own = notices(docs, id_col, text_col, threshold, runs=True).unionByName(stated_names(docs, id_col, text_col))
-    best = own.groupBy("doc").agg(F.min(F.struct(-F.col("cosine"), F.col("line"), F.col("license"))).alias("b"), F.max(F.col("line") == -1).alias("whole"))
-    best = small_side(saved(best.select("doc", F.col("b.license").alias("license"), (-F.col("b.col1")).alias("cosine"), "whole"), "best"))
+    best = own.groupBy("doc").agg(F.min(F.struct(-F.col("cosine"), F.col("line"), F.col("license"))).alias("b"))
+    best = small_side(saved(best.select("doc", F.col("b.license").alias("license"), (-F.col("b.col1")).alias("cosine")), "best"))
     files = docs.select(F.col(id_col).alias("doc_id"), path.alias("path"))
     files = files.withColumns({"dir": F.regexp_extract("path", "^(.*)/[^/]*$", 1), "name": F.regexp_extract("path", "([^/]*)$", 1)})
     stated = saved(files.join(best, files["doc_id"] == best["doc"], "left").drop("doc"), "stated")
 
-    licensing = stated.where(F.col("license").isNotNull() & F.col("path").isNotNull() & (F.col("whole") | F.col("name").rlike(LICENSE_FILE)))
+    licensing = stated.where(F.col("license").isNotNull() & F.col("path").isNotNull() & F.col("name").rlike(LICENSE_FILE))
     directories = licensing.groupBy("dir").agg(F.min(F.struct(-F.col("cosine"), F.col("license"), F.col("path"))).alias("b"))
     directories = directories.select(F.col("dir").alias("ancestor"), F.col("b.license").alias("given"), (-F.col("b.col1")).alias("given_cosine"), F.col("b.path").alias("given_path"))
     directories = small_side(saved(directories, "directories"))
@@ -209,7 +209,7 @@ def scan(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str =
     nearest = nearest.select(F.col("dir").alias("in_dir"), "g.given", "g.given_cosine", "g.given_path")
     joined = stated.join(small_side(saved(nearest, "nearest")), (F.col("dir") == F.col("in_dir")) & F.col("license").isNull() & F.col("path").isNotNull(), "left")
     origin = (
-        F.when(F.col("license").isNotNull() & (F.col("whole") | F.col("name").rlike(LICENSE_FILE)), "file")
+        F.when(F.col("license").isNotNull() & F.col("name").rlike(LICENSE_FILE), "file")
         .when(F.col("license").isNotNull(), "header")
         .when(F.col("given").isNotNull(), "inherited")
         .otherwise("none")
