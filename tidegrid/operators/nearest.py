@@ -22,34 +22,46 @@ def nearest_join(probes: DataFrame, items: DataFrame, by: list[str], time: str,
     ``bucket``, at least the tolerance, is the width of time buckets.  ``arrived_by`` names a column of the
     probes: only items up to that time then count, as if decided then.
     """
+    return nearest_bundle(probes, {prefix: (items, payload)}, by, time, seq, tolerance, bucket, arrived_by)
+
+
+def nearest_bundle(probes: DataFrame, streams: dict[str, tuple[DataFrame, list[str]]], by: list[str], time: str, seq: str, tolerance: float | int | None = None, bucket: float | int | None = None, arrived_by: str | None = None) -> DataFrame:
+    """``nearest_join`` with many streams, by prefix: all are united, and shuffled and sorted as one."""
     if bucket is not None and (tolerance is None or bucket < tolerance):
         raise ValueError("buckets need a tolerance no wider than them")
-    kept = F.struct(F.col(time).alias("t"), F.col(seq).alias("seq"), *[F.col(p).alias(f"p{i}") for i, p in enumerate(payload)])
-    right = items.where(F.col(time).isNotNull()).select(*by, time, kept.alias("item"))
-    left = probes.select(*by, time, F.struct(*[F.col(f"`{n}`") for n in probes.columns]).alias("probe"))
-    key = list(by)
-    if bucket is not None:
-        number = F.floor(F.col(time) / F.lit(bucket)).cast("long")
-        left = left.withColumn("bucket__", number)
-        right = right.withColumn("bucket__", F.explode(F.array(number - 1, number, number + 1)))
-        key.append("bucket__")
-    none_left, none_right = F.lit(None).cast(left.schema["probe"].dataType), F.lit(None).cast(right.schema["item"].dataType)
-    both = left.select(*key, F.col(time).alias("t__"), F.lit(1).alias("side__"), "probe", none_right.alias("item")).unionByName(right.select(*key, F.col(time).alias("t__"), F.lit(0).alias("side__"), none_left.alias("probe"), "item"))
+    key = [*by, "bucket__"] if bucket is not None else list(by)
+    number = F.floor(F.col(time) / F.lit(bucket)).cast("long") if bucket is not None else None
+    left = probes.select(*by, F.col(time).alias("t__"), F.lit(1).alias("side__"), F.lit(None).cast("long").alias("seq__"), F.struct(*[F.col(f"`{n}`") for n in probes.columns]).alias("probe"), *([number.alias("bucket__")] if bucket is not None else []))
+    sides = []
+    for i, (items, payload) in enumerate(streams.values()):
+        kept = F.struct(F.col(time).alias("t"), F.col(seq).alias("seq"), *[F.col(p).alias(f"p{j}") for j, p in enumerate(payload)])
+        near = [F.explode(F.array(number - 1, number, number + 1)).alias("bucket__")] if bucket is not None else []
+        sides.append(items.where(F.col(time).isNotNull()).select(*by, F.col(time).alias("t__"), F.lit(0).alias("side__"), F.col(seq).alias("seq__"), kept.alias(f"item{i}"), *near))
+    both = left
+    for side in sides:
+        both = both.unionByName(side, allowMissingColumns=True)
     # of items at one time the first to arrive comes last, whichever way the rows run
-    late = F.desc_nulls_last("item.seq")
+    late = F.desc_nulls_last("seq__")
     forward = W.partitionBy(*key).orderBy("t__", "side__", late).rowsBetween(W.unboundedPreceding, 0)
     backward = W.partitionBy(*key).orderBy(F.desc("t__"), F.desc("side__"), late).rowsBetween(W.unboundedPreceding, 0)
-    both = both.withColumn("a", F.last("item", True).over(forward)).withColumn("b", F.last("item", True).over(backward)).where("probe is not null")
-    t = F.col("t__")
-    if arrived_by is not None:
-        both = both.withColumn("b", F.when(F.col("b.t") <= F.col(f"probe.`{arrived_by}`"), F.col("b")))
-    before, after = t - F.col("a.t"), F.col("b.t") - t
-    first = F.col("b").isNull() | (before < after) | ((before == after) & (F.col("a.seq") <= F.col("b.seq")))
-    both = both.withColumn("n", F.when(F.col("a").isNotNull() & first, F.col("a")).otherwise(F.col("b")))
-    if tolerance is not None:
-        both = both.withColumn("n", F.when(F.abs(t - F.col("n.t")) <= tolerance, F.col("n")))
-    names = [F.col(f"probe.`{n}`").alias(n) for n in probes.columns]
-    return both.select(*names, F.col("n.t").alias(f"{prefix}t"), (t - F.col("n.t")).alias(f"{prefix}dt"), *[F.col(f"n.p{i}").alias(f"{prefix}{p}") for i, p in enumerate(payload)])
+    many = range(len(sides))
+    both = both.select(*both.columns, *[F.last(f"item{i}", True).over(forward).alias(f"a{i}") for i in many])
+    both = both.select(*both.columns, *[F.last(f"item{i}", True).over(backward).alias(f"b{i}") for i in many]).where("probe is not null")
+    t, found = F.col("t__"), []
+    for i in many:
+        a, b = F.col(f"a{i}"), F.col(f"b{i}")
+        if arrived_by is not None:
+            b = F.when(b["t"] <= F.col(f"probe.`{arrived_by}`"), b)
+        before, after = t - a["t"], b["t"] - t
+        first = b.isNull() | (before < after) | ((before == after) & (a["seq"] <= b["seq"]))
+        nearest = F.when(a.isNotNull() & first, a).otherwise(b)
+        found.append((F.when(F.abs(t - nearest["t"]) <= tolerance, nearest) if tolerance is not None else nearest).alias(f"n{i}"))
+    chosen = both.select("t__", "probe", *found)
+    out = [F.col(f"probe.`{n}`").alias(n) for n in probes.columns]
+    for i, (prefix, (_, payload)) in enumerate(streams.items()):
+        n = F.col(f"n{i}")
+        out += [n["t"].alias(f"{prefix}t"), (t - n["t"]).alias(f"{prefix}dt"), *[n[f"p{j}"].alias(f"{prefix}{p}") for j, p in enumerate(payload)]]
+    return chosen.select(*out)
 
 
 def staleness(name: str, dt: Column, most: Column | float | int) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry
 from ..functions.columns import c
-from ..operators.nearest import gate, nearest_join, staleness
+from ..operators.nearest import gate, nearest_bundle, staleness
 from ..operators.sequences import accepted_index, grid
 
 # fixed values: streams that gate a frame, in this order, and seconds within which they must lie
@@ -59,10 +59,8 @@ def bundle(episodes: DataFrame, streams: dict[str, tuple[DataFrame, list[str]]],
     columns come out as ``<stream>_<column>``, with ``<stream>_t`` and ``<stream>_dt``.  Streams that
     gate are cut off at their tolerance by the gate, not here, so that reasons tell how far they were.
     """
-    rows = grid(episodes, "start", "end", 1 / how.fps).select("episode_index", "candidate_index", "t", "start")
-    for name, (items, payload) in streams.items():
-        rows = nearest_join(rows, items, ["episode_index"], "t", "seq", payload, f"{name}_")
-    return rows
+    ticks = grid(episodes, "start", "end", 1 / how.fps).select("episode_index", "candidate_index", "t", "start")
+    return nearest_bundle(ticks, {f"{n}_": stream for n, stream in streams.items()}, ["episode_index"], "t", "seq")
 
 
 def gated(rows: DataFrame, how: Recording) -> DataFrame:

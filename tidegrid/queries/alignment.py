@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.nearest import gate, nearest_join, staleness
+from ..operators.nearest import gate, nearest_bundle, nearest_join, staleness
 from ..operators.statistics import column_stats
 from .tables import events
 
@@ -42,10 +42,8 @@ _GATED = {"purchase": 12, "view": 12, "signup": 24, "error": 24}
 
 
 def _bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stream(spark, sf_dir, "click").select("user_id", "t", F.col("event_id").alias("probe_id"))
-    for kind in _GATED:
-        rows = nearest_join(rows, _stream(spark, sf_dir, kind), ["user_id"], "t", "event_id", ["value"], f"{kind}_")
-    return rows
+    clicks = _stream(spark, sf_dir, "click").select("user_id", "t", F.col("event_id").alias("probe_id"))
+    return nearest_bundle(clicks, {f"{k}_": (_stream(spark, sf_dir, k), ["value"]) for k in _GATED}, ["user_id"], "t", "event_id")
 
 
 def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
