@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from tidegrid.streaming.stateful import Assembler, EpisodeCommitter, Ticks, assemble_stream, nearest_stream, stale
+from tidegrid.streaming.stateful import Assembler, EpisodeCommitter, Ticks, TicksProcessor, assemble_stream, nearest_stream, stale
 
 PARTS = ("a", "b", "c")
 
@@ -71,6 +72,65 @@ def test_commits_are_idempotent(spark, tmp_path):
     assert sorted((r["episode_index"], r["frame_index"]) for r in spark.read.parquet(commit.committed).collect()) == [(0, 0), (0, 1), (0, 2)]
 
 
+def test_a_discarded_recording_is_never_committed(spark, tmp_path):
+    commit = EpisodeCommitter(str(tmp_path))
+    schema = "episode_index long, frame_index long, event string, x double, seq long"
+    batches = [
+        [(0, 0, None, 3.0, 0), (0, 1, None, 4.0, 1), (2, 0, None, 1.0, 2)],
+        [(0, None, "discard", None, 0), (0, 0, None, 8.0, 1), (0, 0, None, 9.0, 2)],
+        [(0, None, "save", None, 1), (0, 5, None, 7.0, 2), (1, 0, None, 5.0, 3), (1, None, "save", None, 4)],
+        [(2, None, "save", None, 0), (1, 0, None, 6.0, 1), (1, None, "discard", None, 2)],
+    ]
+    for n in (0, 1, 1, 2, 2, 3, 3):
+        commit(spark.createDataFrame(batches[n], schema), n)
+    rows = spark.read.parquet(commit.committed).collect()
+    assert sorted((r["episode_index"], r["frame_index"], r["x"]) for r in rows) == [(0, 0, 9.0), (1, 0, 5.0), (2, 0, 1.0)]
+    assert not (tmp_path / "staged/batch=0/episode=0").exists() and (tmp_path / "staged/batch=2/episode=0").exists()
+
+
+def test_streams_end_by_a_mark_by_length_and_by_idleness(spark, tmp_path):
+    schema = "key string, t double, value string, seq long"
+    rows = [("marked", i / 2, f"v{i}", i) for i in range(10)] + [("marked", 4.5, None, 10)] + [("long", i / 2, f"w{i}", 20 + i) for i in range(12)]
+    df = spark.createDataFrame(rows, schema)
+    got = _run(spark, tmp_path, df, lambda s: nearest_stream(s, 0.5, 2.0, 32, longest=3.0), "ended", schema, batches=1)
+    by_key = {k: sorted((r["candidate_index"], r["value"]) for r in got if r["key"] == k) for k in ("marked", "long")}
+    assert by_key["marked"] == [(i, f"v{i}") for i in range(6)] and by_key["long"] == [(i, f"w{i}") for i in range(6)]
+
+
+def test_idle_keys_end():
+    class Kept:
+        value = None
+        timers: list = []
+
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+        getValueState = lambda self, *_: self
+        listTimers = lambda self: iter(list(self.timers))
+
+        def registerTimer(self, at):
+            self.timers = [*self.timers, at]
+
+        def deleteTimer(self, at):
+            self.timers = [t for t in self.timers if t != at]
+
+    class Now:
+        getCurrentProcessingTimeInMs = staticmethod(lambda: 1000)
+
+    work, kept = TicksProcessor(1.0, 10.0, 32, None, 50), Kept()
+    work.init(kept)
+    rows = pd.DataFrame({"t": [0.0, 1.0, 2.0], "value": ["a", "b", "c"], "seq": [0, 1, 2]})
+    assert len(next(work.handleInputRows(("k",), iter([rows]), Now()))) == 0 and kept.timers == [1050]
+    out = next(work.handleExpiredTimer(("k",), Now(), None))
+    assert out["value"].tolist() == ["a", "b", "c"] and kept.value is None
+
+
 def test_stale_keys(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 9.0)], "k string, t double")
     assert [r["k"] for r in stale(df, ["k"], "t", 10.0, 5.0).collect()] == ["a"]

@@ -15,7 +15,7 @@ from ..functions.columns import c
 from ..sources.readers import _path, exists
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     target, fs = _path(spark, path)
     fs.delete(target, True)
 
@@ -25,30 +25,37 @@ def prepare(spark: SparkSession, root: str, overwrite: bool = False) -> str:
     if exists(spark, root):
         if not overwrite:
             raise FileExistsError(root)
-        _delete(spark, root)
+        remove(spark, root)
     return root
 
 
 def publish(spark: SparkSession, root: str, write: Callable[[str], object], overwrite: bool = False):
     """Runs ``write`` on a hidden folder next to ``root`` and renames it when all is written.
 
-    If anything fails the hidden folder goes, and what was at ``root`` stays.
+    What was at ``root`` is renamed aside first and goes last.  If anything fails the hidden folder goes, and
+    what was at ``root`` is there again.
     """
-    if exists(spark, root) and not overwrite:
+    there = exists(spark, root)
+    if there and not overwrite:
         raise FileExistsError(root)
     base, _, name = root.rstrip("/").rpartition("/")
-    draft = f"{base}/.{name}.{uuid.uuid4().hex}"
+    draft, aside = (f"{base}/.{name}.{kind}.{uuid.uuid4().hex}" for kind in ("new", "old"))
+    target, fs = _path(spark, root)
+    place = lambda path: _path(spark, path)[0]
     try:
         result = write(draft)
-        if exists(spark, root):
-            _delete(spark, root)
-        source, fs = _path(spark, draft)
-        if not fs.rename(source, _path(spark, root)[0]):
+        if there and not fs.rename(target, place(aside)):
+            raise OSError(f"{root} could not be put aside")
+        if not fs.rename(place(draft), target):
+            if there and not fs.rename(place(aside), target):
+                raise OSError(f"{draft} could not be renamed to {root}; what was there is {aside}")
             raise OSError(f"{draft} could not be renamed to {root}")
-        return result
     except BaseException:
-        _delete(spark, draft)
+        remove(spark, draft)
         raise
+    if there:
+        remove(spark, aside)
+    return result
 
 
 def write_episodes(df: DataFrame, root: str, mode: str = "errorifexists") -> None:

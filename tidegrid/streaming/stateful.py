@@ -10,12 +10,15 @@ import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..sinks.writers import remove
+
 #: Stamps that wait for their parts, at most.
 PENDING = 8
 
@@ -52,13 +55,14 @@ class Ticks:
     """The nearest item at each tick, from the items kept so far.
 
     A tick is decided once an item's time passes it by ``lateness``; ticks are never skipped.  Only the
-    last ``most`` items that arrived are kept.
+    last ``most`` items that arrived are kept.  Ticks end ``longest`` after the first, if it is given.
     """
 
     start: float
     step: float
     lateness: float
     most: int
+    longest: float | None = None
     next: int = 0
     items: list[tuple[float, str]] = field(default_factory=list)
     seen: float = float("-inf")
@@ -69,10 +73,17 @@ class Ticks:
         return self._due(self.seen - self.lateness)
 
     def finish(self) -> list[tuple[int, float, float, str]]:
+        """The ticks that the items seen reach, without waiting for later ones."""
         return self._due(self.seen)
 
+    @property
+    def over(self) -> bool:
+        """Whether the longest span is decided."""
+        return self.longest is not None and self.seen - self.lateness >= self.start + self.longest
+
     def _due(self, until: float) -> list[tuple[int, float, float, str]]:
         out = []
+        until = until if self.longest is None else min(until, np.nextafter(self.start + self.longest, -np.inf))
         while self.items and (tick := self.start + self.next * self.step) <= until:
             t, value = min(self.items, key=lambda item: abs(item[0] - tick))
             out.append((self.next, tick, tick - t, value))
@@ -123,22 +134,65 @@ def assemble_stream(stream: DataFrame, parts: tuple[str, ...], most: int = PENDI
 
 
 class TicksProcessor(_Kept):
-    def __init__(self, step: float, lateness: float, most: int) -> None:
-        self.step, self.lateness, self.most = step, lateness, most
+    """A key's ticks.  A row without value ends its key: what is left is decided and the state goes.
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        rows = list(_rows(rows, "seq"))
-        old = self.load()
-        work = Ticks(**old | {"items": [tuple(i) for i in old["items"]]}) if old else Ticks(float(rows[0]["t"]), self.step, self.lateness, self.most)
-        out = [x for r in rows for x in work.add(float(r["t"]), r["value"])]
-        self.save(work.__dict__)
-        yield pd.DataFrame({"key": [key[0]] * len(out), "candidate_index": [x[0] for x in out], "tick": [x[1] for x in out], "dt": [x[2] for x in out], "value": [x[3] for x in out]}).astype({"key": object, "value": object})
+    So does a key of which nothing came for ``idle`` milliseconds, and one whose longest span is decided; a
+    later row then starts the key anew.
+    """
+
+    def __init__(self, step: float, lateness: float, most: int, longest: float | None, idle: int | None) -> None:
+        self.step, self.lateness, self.most, self.longest, self.idle = step, lateness, most, longest, idle
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
 
-def nearest_stream(stream: DataFrame, step: float, lateness: float, most: int) -> DataFrame:
-    """``stream``: key, t, value and seq.  One row for each tick from a key's first item on."""
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        old = self.load()
+        work = Ticks(**old | {"items": [tuple(i) for i in old["items"]]}) if old else None
+        out = []
+        for r in _rows(rows, "seq"):
+            if r["value"] is None:
+                out += work.finish() if work else []
+                work = None
+                continue
+            work = work or Ticks(float(r["t"]), self.step, self.lateness, self.most, self.longest)
+            out += work.add(float(r["t"]), r["value"])
+            work = None if work.over else work
+        self._keep(work, timerValues)
+        yield self._table(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        old = self.load()
+        out = Ticks(**old | {"items": [tuple(i) for i in old["items"]]}).finish() if old else []
+        self.state.clear()
+        yield self._table(key, out)
+
+    def _keep(self, work: Ticks | None, timerValues) -> None:
+        if self.idle is not None:
+            for old in list(self.handle.listTimers()):
+                self.handle.deleteTimer(old)
+            if work is not None:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
+        if work is None:
+            self.state.clear()
+        else:
+            self.save(work.__dict__)
+
+    @staticmethod
+    def _table(key, out: list[tuple]) -> pd.DataFrame:
+        columns = {"key": [key[0]] * len(out), "candidate_index": [x[0] for x in out], "tick": [x[1] for x in out], "dt": [x[2] for x in out], "value": [x[3] for x in out]}
+        return pd.DataFrame(columns).astype({"key": object, "value": object})
+
+
+def nearest_stream(stream: DataFrame, step: float, lateness: float, most: int, longest: float | None = None, idle: int | None = None) -> DataFrame:
+    """``stream``: key, t, value and seq.  One row for each tick from a key's first item on.
+
+    A null value ends its key; see ``TicksProcessor`` for ``longest`` and ``idle``.
+    """
     schema = _struct("key string, candidate_index long, tick double, dt double, value string")
-    return stream.groupBy("key").transformWithStateInPandas(TicksProcessor(step, lateness, most), outputStructType=schema, outputMode="append", timeMode="none")
+    work = TicksProcessor(step, lateness, most, longest, idle)
+    return stream.groupBy("key").transformWithStateInPandas(work, outputStructType=schema, outputMode="append", timeMode="none" if idle is None else "processingTime")
 
 
 def _struct(ddl: str) -> StructType:
@@ -146,11 +200,13 @@ def _struct(ddl: str) -> StructType:
 
 
 class EpisodeCommitter:
-    """For ``foreachBatch``: finished episodes are committed once, discarded ones never.
+    """For ``foreachBatch``: finished episodes are committed once, discarded recordings never.
 
-    Rows have episode_index, frame_index and ``event``: null for a frame, else save or discard.  Frames wait in a
-    staging folder, one for each batch, so that a batch that runs again replaces what it wrote.
-    An episode is committed by writing its own partition, again replacing it.
+    Rows have episode_index, frame_index and ``event``: null for a frame, else save or discard; and ``seq``, their
+    order within the batch, unless that is the order they come in.  All rows wait in a staging folder,
+    one for each batch, so that a batch that runs again replaces what it wrote.  A save commits the frames since
+    its episode's last save or discard, of a repeated frame the last, by writing the episode's own
+    partition, again replacing it.  Batches before the one that closed an episode no longer keep its rows.
     """
 
     def __init__(self, root: str) -> None:
@@ -158,16 +214,33 @@ class EpisodeCommitter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        frames = batch.where("event is null").drop("event")
-        frames.write.mode("overwrite").parquet(f"{self.staged}/batch={batch_id}")
-        saved = batch.where("event = 'save'").select("episode_index").distinct()
-        discarded = batch.where("event = 'discard'").select("episode_index").distinct()
-        if not saved.limit(1).count():
-            return
-        waiting = spark.read.schema(frames.schema).parquet(self.staged)
-        done = waiting.join(saved, "episode_index", "left_semi").join(discarded, "episode_index", "left_anti")
-        done = done.dropDuplicates(["episode_index", "frame_index"])
-        done.repartition("episode_index").sortWithinPartitions("frame_index").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("episode_index").parquet(self.committed)
+        names = [n for n in batch.columns if n not in ("event", "seq")]
+        placed = batch if "seq" in batch.columns else batch.withColumn("seq", F.monotonically_increasing_id())
+        placed = placed.select(*names, "event", F.col("seq").cast("long").alias("seq"), F.col("episode_index").alias("episode"))
+        placed.write.mode("overwrite").partitionBy("episode").parquet(f"{self.staged}/batch={batch_id}")
+        own = spark.read.schema(placed.schema).parquet(f"{self.staged}/batch={batch_id}")
+        # as many as a batch saves
+        saved = [r[0] for r in own.where("event = 'save'").select("episode").distinct().collect()]
+        waiting = spark.read.schema(placed.schema.add("batch", "long")).parquet(self.staged)
+        if saved:
+            self._commit(waiting.where(F.col("episode").isin(saved) & (F.col("batch") <= batch_id)), batch_id, names)
+        # the batches before this one are done for good
+        closed = waiting.where((F.col("batch") < batch_id) & F.col("event").isNotNull()).groupBy("episode").agg(F.max("batch")).collect()
+        folders = {(r["batch"], r["episode"]) for r in waiting.where(F.col("batch") < batch_id).select("batch", "episode").distinct().collect()} if closed else set()
+        for episode, last in closed:
+            for number in sorted(b for b, e in folders if e == episode and b < last):
+                remove(spark, f"{self.staged}/batch={number}/episode={episode}")
+
+    def _commit(self, rows: DataFrame, batch_id: int, names: list[str]) -> None:
+        at = F.struct("batch", "seq")
+        saves = rows.where((F.col("event") == "save") & (F.col("batch") == batch_id)).groupBy("episode").agg(F.max(at).alias("save"))
+        events = rows.where("event is not null").select("episode", at.alias("at")).join(saves, "episode").where("at < save")
+        since = events.groupBy("episode").agg(F.max("at").alias("since"))
+        frames = rows.where("event is null").withColumn("at", at).join(saves.join(since, "episode", "left"), "episode")
+        frames = frames.where("at < save and (since is null or at > since)")
+        last = frames.groupBy("episode", "frame_index").agg(F.max_by(F.struct(*names), "at").alias("r")).select("r.*")
+        last = last.repartition("episode_index").sortWithinPartitions("frame_index")
+        last.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("episode_index").parquet(self.committed)
 
 
 def stale(stream: DataFrame, by: list[str], time: str, now: float, most: float) -> DataFrame:
