@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .queries import alignment, checks, episodes, scalars, vectors
+from .queries import alignment, checks, episodes, running, scalars, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (alignment, episodes, checks, vectors, scalars)
+_MODULES = (alignment, episodes, checks, vectors, running, scalars)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

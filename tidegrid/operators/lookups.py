@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Rows of a range table that may be broadcast; with more, ranges and rows meet by blocks of indices.
-SMALL = 100_000
-
-
 def keep_last(df: DataFrame, by: list[str], order: str) -> DataFrame:
     """One row for each key, the last in order."""
     row = F.struct(*[F.col(f"`{n}`") for n in df.columns])
@@ -46,17 +42,19 @@ def reconcile(sides: dict[str, DataFrame], key: str, value: str) -> DataFrame:
     return out.withColumn("agrees", same)
 
 
-def within(rows: DataFrame, ranges: DataFrame, index: str, start: str, end: str, block: int = 1 << 16) -> DataFrame:
+def within(rows: DataFrame, ranges: DataFrame, index: str, start: str, end: str, block: int | None = None) -> DataFrame:
     """Rows with the range that holds their index, ends excluded.
 
-    Few ranges are broadcast; many are listed under each block of indices that they touch, and
-    join rows by block.
+    Ranges are listed under each block of indices that they touch, and join rows by block.  A
+    block is as wide as the mean range, unless it is given, so that the list is about three times as long as
+    the ranges are many, however uneven their lengths.
     """
-    inside = (F.col(index) >= F.col(start)) & (F.col(index) < F.col(end))
-    if ranges.limit(SMALL + 1).count() <= SMALL:
-        return rows.join(F.broadcast(ranges), inside)
+    ranges = ranges.where(F.col(start) < F.col(end))
+    if block is None:
+        block = max(1, int(ranges.agg(F.avg(F.col(end) - F.col(start))).first()[0] or 1))
     number = lambda x: F.floor(x / block).cast("long")
-    blocks = ranges.where(F.col(start) < F.col(end)).withColumn("block__", F.explode(F.sequence(number(F.col(start)), number(F.col(end) - 1))))
+    blocks = ranges.withColumn("block__", F.explode(F.sequence(number(F.col(start)), number(F.col(end) - 1))))
+    inside = (F.col(index) >= F.col(start)) & (F.col(index) < F.col(end))
     return rows.withColumn("block__", number(F.col(index))).join(blocks, "block__").where(inside).drop("block__")
 
 

@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, is_finite, to_number, truth, usable
 
 
-def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column that exists and has numbers: count, mean, median, 95th percentile and greatest of the magnitudes."""
+def column_stats(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
+    """Per column that exists and has numbers: count, mean, median, 95th percentile and greatest of the magnitudes.
+
+    Percentiles are exact, for which one task holds a column's distinct values.  With ``accuracy`` they come
+    from mergeable sketches of bounded size, off by one part in that many ranks.
+    """
+    quantile = (lambda x, q: F.percentile_approx(x, F.lit(q), F.lit(accuracy))) if accuracy else (lambda x, q: F.percentile(x, F.lit(q)))
     present = [n for n in columns if n in df.columns]
     if not present:
         return df.sparkSession.createDataFrame([], "column string, n long, mean double, p50 double, p95_abs double, max_abs double")
@@ -17,8 +23,8 @@ def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.groupBy("column").agg(
         F.count("*").alias("n"),
         F.avg("v").alias("mean"),
-        F.percentile("v", F.lit(0.5)).alias("p50"),
-        F.percentile(F.abs("v"), F.lit(0.95)).alias("p95_abs"),
+        quantile(F.col("v"), 0.5).alias("p50"),
+        quantile(F.abs("v"), 0.95).alias("p95_abs"),
         F.max(F.abs("v")).alias("max_abs"),
     )
 
@@ -45,11 +51,14 @@ def vector_summary(x: Column, shown: int = 8) -> Column:
     return F.struct(F.size(x).alias("size"), F.array_min(wide).alias("min"), F.array_max(wide).alias("max"), F.when(F.size(x) > 0, total / F.size(x)).alias("mean"), F.slice(wide, 1, shown).alias("first"))
 
 
-def constant_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column its distinct values as sorted text, and whether there is one at most."""
+def constant_values(df: DataFrame, columns: list[str], shown: int = 100) -> DataFrame:
+    """Per column its first distinct values as sorted text, ``shown`` at most, and whether there is one at most."""
     long = df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("column"), c(n).cast("string").alias("v")) for n in columns])).alias("s")).select("s.column", "s.v")
-    values = F.array_sort(F.collect_set("v"))
-    return long.groupBy("column").agg(values.alias("values"), (F.size(values) <= 1).alias("constant"))
+    # every task keeps its first values only, so that no cell grows with the table
+    place = F.row_number().over(W.partitionBy("column").orderBy(F.asc_nulls_last("v")))
+    first = long.distinct().withColumn("place", place).where(F.col("place") <= shown + 1)
+    values = F.array_sort(F.collect_list("v"))
+    return first.groupBy("column").agg(F.slice(values, 1, shown).alias("values"), (F.count("v") <= 1).alias("constant"))
 
 
 def index_health(df: DataFrame, index: str, size: Column | int) -> DataFrame:

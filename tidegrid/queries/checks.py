@@ -61,7 +61,7 @@ def compat_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources, one after the other, renumbered."""
     one = table(spark, sf_dir, "conversations").select(F.lit(0).alias("source"), F.col("conv_id").alias("episode"), F.col("turn").cast("long").alias("frame"))
-    two = table(spark, sf_dir, "lineitem").where("l_orderkey < 2000").select(F.lit(1).alias("source"), F.col("l_orderkey").alias("episode"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("frame"))
+    two = table(spark, sf_dir, "lineitem").select(F.lit(1).alias("source"), F.col("l_orderkey").alias("episode"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("frame"))
     return sequences.reindex(one.unionByName(two).dropDuplicates(), ["source", "episode"], ["frame"]).select("source", "episode", "frame", "index", "episode_index", "frame_index")
 
 
@@ -136,7 +136,7 @@ QUERIES = {
     ),
     "merge_union": (
         merge_union,
-        """WITH u AS (SELECT 0 AS source, conv_id AS episode, turn AS frame FROM conversations UNION SELECT 1, l_orderkey, l_partkey * 10 + l_linenumber FROM lineitem WHERE l_orderkey < 2000)
+        """WITH u AS (SELECT 0 AS source, conv_id AS episode, turn AS frame FROM conversations UNION SELECT 1, l_orderkey, l_partkey * 10 + l_linenumber FROM lineitem)
         SELECT *, row_number() OVER (ORDER BY source, episode, frame) - 1 AS "index", dense_rank() OVER (ORDER BY source, episode) - 1 AS episode_index, row_number() OVER (PARTITION BY source, episode ORDER BY frame) - 1 AS frame_index FROM u""",
     ),
     "meta_left_join": (meta_left_join, f"SELECT c_custkey, event_id AS log_id, coalesce(props, '{{}}') AS props FROM customer LEFT JOIN ({_LAST}) ON user_id = c_custkey"),

@@ -57,10 +57,9 @@ def range_join_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_cursor_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.count("*").alias("length"))
+    segments = table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 50 + 1).alias("source"), F.col("l_linenumber").alias("part")).agg(F.count("*").alias("length"))
     rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50 + 1).alias("source"), "o_orderkey")
     placed = rows.withColumn("ordinal", F.expr("row_number() OVER (PARTITION BY source ORDER BY o_orderkey) - 1"))
-    segments = lines.where("l_suppkey <= 50").select(F.col("l_suppkey").alias("source"), F.col("l_linenumber").alias("part"), "length")
     return lookups.by_cursor(segments, placed, "source", "part", "length", "ordinal").select("source", "part", "position", "o_orderkey")
 
 
@@ -146,8 +145,9 @@ QUERIES = {
     "range_join_episodes": (range_join_episodes, f"SELECT episode_index, count(*) AS rows, round(sum(value), 4) AS total FROM events JOIN ({_RNG}) ON event_id >= from_index AND event_id < to_index GROUP BY episode_index"),
     "raw_cursor_alignment": (
         raw_cursor_alignment,
-        f"""WITH s AS (
-            SELECT l_suppkey AS source, l_linenumber AS part, length, sum(length) OVER (PARTITION BY l_suppkey ORDER BY l_linenumber) - length AS first FROM ({_LEN}) WHERE l_suppkey <= 50
+        """WITH s AS (
+            SELECT source, part, length, sum(length) OVER (PARTITION BY source ORDER BY part) - length AS first
+            FROM (SELECT l_suppkey % 50 + 1 AS source, l_linenumber AS part, count(*) AS length FROM lineitem GROUP BY ALL)
         ), r AS (
             SELECT o_custkey % 50 + 1 AS source, o_orderkey, row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderkey) - 1 AS ordinal FROM orders
         ) SELECT s.source, part, (ordinal - first)::INTEGER AS position, o_orderkey FROM s JOIN r ON r.source = s.source AND ordinal >= first AND ordinal < first + length""",

@@ -1,4 +1,4 @@
-"""Vector statistics, poses and sequential folds."""
+"""Vector statistics and poses."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions.columns import vector_problem, wide
 from ..functions.profiles import value_names
-from ..operators import folds, statistics
-from .tables import events, quaternions, table
+from ..operators import statistics
+from .tables import quaternions, table
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -90,37 +90,6 @@ def dead_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return z.select("vec_id", *[F.round(F.get("z", F.lit(i)), 5).alias(f"z{i}") for i in range(3)], "bounded")
 
 
-def _poses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings")
-    return e.select(F.col("label").cast("long").alias("episode"), F.col("vec_id").alias("frame"), F.slice("embedding", 1, 7).cast("array<double>").alias("pose"), F.lit(0.1).alias("dt"), F.lit(0.5).alias("scale"), (F.col("vec_id") % 9 != 0).alias("enabled"))
-
-
-def lowpass_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folds.low_pass(_poses(spark, sf_dir), "episode", "frame", "pose", 0.3)
-
-
-def integrate_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    how = folds.Integration(gain_xy=0.8, gain_z=0.6, angular_gain=0.5, low=(-1.0, -1.0, -1.0), high=(1.0, 1.0, 1.0))
-    return folds.integrate(_poses(spark, sf_dir), "episode", "frame", "pose", "dt", "scale", "enabled", [0.0] * 6 + [1.0], how)
-
-
-def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
-    return e.select("user_id", "event_id", (F.col("t") / 1e6).alias("s"), (F.col("value") / 20).alias("goal"), F.lit(0.5).alias("dt"), F.sin("value").alias("stick"))
-
-
-def ramp_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folds.ramp(_steps(spark, sf_dir), "user_id", "event_id", "goal", "dt", 0.4, 0.5, 0.1, 1.0)
-
-
-def rate_limit_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folds.rate_limit(_steps(spark, sf_dir), "user_id", "event_id", "s", 43_200.0)
-
-
-def width_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folds.stick_width(_steps(spark, sf_dir), "user_id", "event_id", "stick", "dt", 0.05, 0.04, 0.0, 0.08, 0.2)
-
-
 _P = "SELECT vec_id, embedding[1:7]::DOUBLE[] AS p, embedding[8:14]::DOUBLE[] AS q FROM embeddings"
 
 
@@ -193,9 +162,4 @@ QUERIES = {
         f"""SELECT vec_id, {", ".join(f"CASE WHEN s < 0.2 THEN 0.0 ELSE round(p[{i + 1}], 5) END AS z{i}" for i in range(3))}, {" OR ".join(f"p[{i}] <= -0.2 + 1e-8 OR p[{i}] >= 0.2 - 1e-8" for i in (1, 2, 3))} AS bounded
         FROM (SELECT *, sqrt(p[1] * p[1] + p[2] * p[2] + p[3] * p[3]) AS s FROM ({_P}))""",
     ),
-    "lowpass_fold": (lowpass_fold, None),
-    "integrate_fold": (integrate_fold, None),
-    "ramp_fold": (ramp_fold, None),
-    "rate_limit_fold": (rate_limit_fold, None),
-    "width_fold": (width_fold, None),
 }
