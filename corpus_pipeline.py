@@ -27,11 +27,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 100 bytes that occur earlier; ``n_chars`` follows the text.
 
-    Rows with a null id stay as they are, as in the other stages.
+    Rows with a null id stay as they are.
     """
     cut = suffix_dedup.remove_repeats(docs)
-    cut = cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in cut.columns else cut
-    return cut.unionByName(docs.where("doc_id is null"))
+    changed = F.col("doc_id").isNotNull()
+    return cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))) if "n_chars" in cut.columns else cut
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
