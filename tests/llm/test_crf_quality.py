@@ -62,3 +62,68 @@ def test_scores_do_not_depend_on_the_batch():
     together = crf_quality.document_scores(field, texts)
     alone = [crf_quality.document_scores(field, [t])[0] for t in texts]
     assert np.allclose(together, alone)
+
+
+def test_scores_equal_brute_force():
+    """Features of each line recounted, and the score by listing all labellings of a text's lines."""
+    rng = np.random.default_rng(2)
+    texts = [b"A cat sat. A cat sat.\nthe the dog!\n\n| # x | 12", b"A cat sat. A cat sat.\nlast line?\nlast line?", b"", "\u00e9t\u00e9 a\tb c".encode()]
+    table_, first, size = crf_quality.line_features(texts)
+    names = {"upper": 4, "digit": 5, "symbol": 6, "shout": 7, "stop": 8, "quote": 9, "other": 10, "high": 11}
+    at = 0
+    for text in texts:
+        lines, every = text.split(b"\n"), text.split()
+        triples = [tuple(every[i : i + 3]) for i in range(len(every) - 2)]
+        word = 0
+        for n, line in enumerate(lines):
+            row, own = table_[at, 3:], line.split()
+            many, letters = max(len(own), 1), max(sum(65 <= b <= 90 or 97 <= b <= 122 for b in line) + sum(b >= 128 for b in line) / 2, 1)
+            kind = lambda test, line=line: sum(map(test, line))
+            want = {
+                "upper": kind(lambda b: 65 <= b <= 90) / letters,
+                "digit": kind(lambda b: 48 <= b <= 57) / max(len(line), 1),
+                "symbol": kind(lambda b: b in b"#*$%&|<>") / many,
+                "shout": line.count(b"!") / many,
+                "stop": kind(lambda b: b in b".,;:?") / many,
+                "quote": kind(lambda b: b in b"\"'()-") / many,
+                "other": kind(lambda b: b < 128 and not chr(b).isalnum() and b not in b"#*$%&|<>!.,;:?\"'()- \t\n\x0b\x0c\r") / many,
+                "high": kind(lambda b: b >= 128) / max(len(line), 1),
+            }
+            assert all(abs(row[names[k]] - x) < 1e-5 for k, x in want.items())
+            assert np.allclose(row[:3], np.log1p([len(line), len(own), len(every)]), atol=1e-5)
+            places = range(word, word + len(own))
+            flags = [
+                sum(w in own[:i] for i, w in enumerate(own)) / many,
+                sum(i > 0 and every[i] == every[i - 1] for i in places) / many,
+                sum(i < len(triples) and triples.count(triples[i]) > 1 for i in places) / many,
+                bool(own) and lines.count(line) > 1,
+                bool(own) and line in lines[:n],
+                not own,
+                bool(own) and line[-1:] in b".!?",
+                len(every) < 10,
+                len(every) < 20,
+            ]
+            assert np.allclose(row[12:21], np.array(flags, dtype=float), atol=1e-5)
+            word += len(own)
+            at += 1
+    field = crf_quality.Field(rng.normal(size=table_.shape[1]), rng.normal(size=(2, 2)), table_.mean(axis=0), table_.std(axis=0) + 1)
+    potential = field.potential(table_)
+    scores = crf_quality.document_scores(field, texts)
+    for d, (a, b) in enumerate(zip(first, [*first[1:], len(table_)], strict=True)):
+        total, good = 0.0, np.zeros(b - a)
+        for y in itertools.product((0, 1), repeat=b - a):
+            e = np.exp(sum(potential[a + i] * y[i] for i in range(b - a)) + sum(field.transitions[y[i - 1], y[i]] for i in range(1, b - a)))
+            total, good = total + e, good + e * np.array(y)
+        assert np.isclose(scores[d], (good / total * size[a:b]).sum() / size[a:b].sum())
+
+
+def test_the_sample_is_bounded_by_lines(spark, monkeypatch):
+    rows = [(i, "a\n" * i) for i in range(50)] + [(3, "other"), (3, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)] + [(4, 0)], "doc_id long, quality int")
+    monkeypatch.setattr(crf_quality, "SAMPLE_LINES", 200)
+    taken = crf_quality.sample(docs, labels, F.lit(True), "doc_id", "text", "quality").collect()
+    lines = sum(bytes(r["text"]).count(b"\n") + 1 for r in taken)
+    assert 150 < lines <= 200 and max(bytes(r["text"]).count(b"\n") for r in taken) > 10
+    monkeypatch.setattr(crf_quality, "SAMPLE_LINES", 10_000)
+    assert len(crf_quality.sample(docs, labels, F.lit(True), "doc_id", "text", "quality").collect()) == 50

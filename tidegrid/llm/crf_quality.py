@@ -9,8 +9,8 @@ marginal of being good, and a document's score is their mean, weighted by line l
 Features are shape only: counts by byte class, word and line lengths, repeated words,
 word triples and lines.  Neither labels, language, source nor ids enter a score.
 
-A null or empty text is one empty line, and is scored.  Repeated rows are scored each, and
-labels that repeat count each.  Without any labels all scores are one half.
+A null or empty text is one empty line, and is scored.  Repeated rows are scored each, and are
+one text to learn from; labels that repeat count each once.  Without any labels all scores are one half.
 """
 
 from __future__ import annotations
@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, tidy_after
+from .common import saved, text_bytes, tidy_after
 from .groups import changes
 from .textbytes import Prefix, chunks, join, mix, words
 
-#: Labelled documents to fit on, at most; those with more lines than this are not used to fit.
-SAMPLE_DOCS, SAMPLE_LINES = 8000, 1000
+#: Labelled documents to fit on, at most, and their lines together.
+SAMPLE_DOCS, SAMPLE_LINES = 8000, 200_000
 STEPS, RATE, RIDGE = 250, 0.08, 1e-3
 
 # fixed values: byte classes
@@ -222,25 +222,45 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         rows = []
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if text.count(b"\n") < SAMPLE_LINES:
-                table, _, _ = line_features([text])
-                rows.append((label, len(table), table.astype(np.float16).tobytes()))
+            table, _, _ = line_features([text])
+            rows.append((label, len(table), table.astype(np.float16).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary()))], names=["label", "n", "features"])
 
 
+def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """Labelled texts to fit on: ``label`` and ``text``, of bounded number and lines.
+
+    Labels are taken in the order of a hash of their ids; of texts that share an id one counts.
+    Texts are passed over whose lines no longer fit.
+    """
+    chosen = labels.where(usable & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id__"), F.col(label_col).cast("int").alias("label"))
+    chosen = chosen.withColumn("order", F.xxhash64("id__")).orderBy("order", "id__", "label").limit(SAMPLE_DOCS)
+    # the sample's size is a parameter, so it may be broadcast
+    rows = docs.select(F.col(id_col).alias("id__"), text_bytes(text_col).alias("text")).join(F.broadcast(chosen), "id__")
+    one = saved(rows.groupBy("order", "id__", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")), "sample")
+    lines = F.regexp_count(F.col("text").cast("string"), F.lit("\n")) + 1
+    taken, left = [], SAMPLE_LINES
+    for r in one.select("order", "id__", "label", lines.alias("n")).orderBy("order", "id__", "label").collect():
+        if r["n"] <= left:
+            taken.append((r["order"], r["id__"], r["label"]))
+            left -= r["n"]
+    kept = docs.sparkSession.createDataFrame(taken, one.select("order", "id__", "label").schema)
+    return one.join(F.broadcast(kept), ["order", "id__", "label"], "left_semi").select("label", "text")
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Field | None:
     """Fits the field on labelled documents, of which ``usable`` (over the label's id column) is true."""
-    chosen = labels.where(usable & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id__"), F.col(label_col).cast("int").alias("label__"))
-    chosen = chosen.orderBy(F.xxhash64("id__"), "id__", "label__").limit(SAMPLE_DOCS)
-    # the sample's size is a parameter, so it may be broadcast
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("id__")).select(F.col("label__").alias("label"), text_bytes(text_col).alias("text"))
-    found = rows.mapInArrow(_sample_features, "label int, n long, features binary").collect()
+    found = sample(docs, labels, usable, id_col, text_col, label_col).mapInArrow(_sample_features, "label int, n long, features binary").collect()
     if not found:
         return None
     found.sort(key=lambda r: (r["n"], r["label"], bytes(r["features"])))
-    table = np.concatenate([np.frombuffer(bytes(r["features"]), dtype=np.float16).reshape(r["n"], -1) for r in found]).astype(np.float32)
-    first = np.concatenate(([0], np.cumsum([r["n"] for r in found])[:-1]))
-    return fit(table, first, np.array([r["label"] for r in found]))
+    first = np.concatenate(([0], np.cumsum([r["n"] for r in found])))
+    label = np.array([r["label"] for r in found])
+    table = np.empty((first[-1], len(found[0]["features"]) // 2 // found[0]["n"]), dtype=np.float32)
+    for i, r in enumerate(found):
+        table[first[i] : first[i + 1]] = np.frombuffer(bytes(r["features"]), dtype=np.float16).reshape(r["n"], -1)
+        found[i] = None
+    return fit(table, first[:-1], label)
 
 
 def score_documents(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
