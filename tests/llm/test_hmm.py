@@ -99,3 +99,40 @@ def test_all_words_of_a_tiny_language_sum_to_one(spark):
 def test_empty_table(spark):
     assert hmm.score_texts(table(spark, []), F.lit(False)).collect() == []
     assert hmm.score_texts(table(spark, [(1, "a b")]), F.lit(True)).count() == 1
+
+
+@pytest.mark.parametrize("known", [200_000, 6])
+def test_whole_scores_equal_brute_force(spark, monkeypatch, known):
+    """Own words, classes of other words, unknown words and the end, by a plain forward recursion."""
+    monkeypatch.setattr(hmm, "OWN_SYMBOLS", 3)
+    monkeypatch.setattr(hmm, "KNOWN_WORDS", known)
+    made = []
+
+    def begun(coded, unigram, n_words, n_texts):
+        made.append(hmm.Model.begin(unigram, hmm.STATES, n_words / n_texts))
+        return made[-1]
+
+    monkeypatch.setattr(hmm, "_train", begun)
+    texts = ["The a the b", "a a a c the d", "b sing ring", "ring e the a", "", None, "the a new words here ring", "unseen a", "a"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["score"] for r in hmm.score_texts(df, F.col("doc_id") >= 6).collect()}
+    words = {i: (t or "").encode().lower().split() for i, t in rows}
+    counts = Counter(w for i in range(6) for w in words[i])
+    common = sorted(counts, key=lambda w: (-counts[w], w))
+    if known == 6:  # as many of the greatest counts as fit
+        common = [w for w in common if sum(c >= counts[w] for c in counts.values()) <= 6]
+    own, model = common[:3], made[0]
+    mass = Counter()
+    for w, c in counts.items():
+        if w not in own:
+            mass[hmm.word_class(w)] += c + 1
+    for i, text in words.items():
+        alpha = None
+        for w in text:
+            symbol = own.index(w) if w in own else len(own) + hmm.word_class(w)
+            share = 1.0 if w in own else (counts[w] + 1) / (mass[hmm.word_class(w)] + 1)
+            emit = model.emit[symbol] * share
+            alpha = (model.start[:-1] if alpha is None else alpha @ model.step[:, :-1]) * emit
+        chance = model.start[-1] if alpha is None else alpha @ model.step[:, -1]
+        assert abs(found[i] - math.log10(chance)) < 1e-6
