@@ -26,11 +26,11 @@ def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) mod 2**64; the usual lengths are kept."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, 2 * CHUNK)
+        size = max(n, CHUNK + CHUNK // 4)
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         np.cumprod(have, out=have)
-        if size <= 4 * CHUNK:
+        if size <= 2 * CHUNK:
             _powers[base] = have
     return have[:n]
 
