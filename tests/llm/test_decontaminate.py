@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 
@@ -60,6 +61,9 @@ def test_tables(spark):
     kept = decontaminate.drop_contaminated(df, bench)
     assert kept.columns == df.columns
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in rows} - {5000, 5001, 5003}
+    # rows are judged each, with and without an id of their own
+    mixed = table(spark, [(1, items[3]), (1, "clean"), (None, items[3]), (None, "clean"), (2, None)])
+    assert sorted(map(repr, pairs(decontaminate.drop_contaminated(mixed, bench)))) == sorted(map(repr, [(1, "clean"), (None, "clean"), (2, None)]))
 
 
 def test_positions_are_in_the_text(spark):
@@ -69,12 +73,36 @@ def test_positions_are_in_the_text(spark):
     assert text.encode()[r["start"] : r["end"]].decode() == item.upper() and r["edits"] == 0
 
 
+def test_shared_openings(monkeypatch):
+    """Items that share a phrase are found as alone; a text that repeats the phrase costs little."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijk") for _ in range(5))
+    phrase = " ".join(word() for _ in range(12))
+    items = [f"{phrase} {' '.join(word() for _ in range(8))}".encode() for _ in range(40)]
+    items.append(phrase.encode())
+    texts = [(phrase + " ") .encode() * 150, b"x " + items[3] + b" y", spoiled(rng, items[5].decode(), 3).encode() + b" " + items[7], b"no"]
+    want = []
+    for t, item in enumerate(items):
+        alone = search(Items([(t, item)], decontaminate.EDITS), texts)
+        want += [(d, t, start, end, cost) for d, _, start, end, cost in alone]
+    for hits in (decontaminate.HITS, 500):
+        monkeypatch.setattr(decontaminate, "HITS", hits)
+        monkeypatch.setattr(decontaminate, "CELLS", 50 if hits == 500 else 1 << 18)
+        began = time.process_time()
+        got = sorted(search(Items(list(enumerate(items)), decontaminate.EDITS), texts))
+        assert hits == 500 or time.process_time() - began < 5
+        assert got == sorted(want)
+    assert {(1, 3), (2, 5), (2, 7), (0, 40)} <= {(d, t) for d, t, *_ in got}
+
+
 def test_blocks_of_items(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     whole = sorted(map(tuple, decontaminate.find_items(docs, bench).collect()))
     monkeypatch.setattr(decontaminate, "ITEMS", 7)
     assert sorted(map(tuple, decontaminate.find_items(docs, bench).collect())) == whole and whole
+    found = {r[0] for r in whole}
+    assert sorted(pairs(decontaminate.drop_contaminated(docs, bench))) == sorted(p for p in pairs(docs) if p[0] not in found)
 
 
 def test_empty_tables(spark):
