@@ -52,6 +52,46 @@ def clusters(seed):
     return [(i * 3 % 1000, t) for i, t in enumerate(out)]
 
 
+def test_cells_of_a_region_equal_brute_force(monkeypatch):
+    """Voronoi cells with copied boundaries connect what all pairs connect, in and across ``left``."""
+    rng = np.random.default_rng(8)
+    for cell, pivots in ((1, 2), (3, 4), (8, 8)):
+        monkeypatch.setattr(jaccard_join, "CELL", cell)
+        monkeypatch.setattr(jaccard_join, "CELL_PIVOTS", pivots)
+        for _ in range(20):
+            seeds = [rng.choice(3000, size=rng.integers(5, 60), replace=False) for _ in range(5)]
+            held = []
+            for _ in range(60):
+                s = set(seeds[rng.integers(5)].tolist())
+                for x in rng.choice(sorted(s), size=min(len(s) - 1, int(rng.integers(0, 8))), replace=False).tolist():
+                    s.discard(x)
+                s |= set(rng.integers(0, 3000, size=rng.integers(0, 6)).tolist())
+                held.append(np.array(sorted(s), dtype=np.uint64))
+            left, boundary = np.arange(45), np.arange(45, 60)
+            region = jaccard_join.Region(held)
+            found = {(min(a, b), max(a, b)) for a, b in jaccard_join.join_region(region, 80, left, boundary)}
+            linked = lambda a, b: 100 * len(np.intersect1d(held[a], held[b])) >= 80 * len(np.union1d(held[a], held[b]))
+            want = {(a, b) for a in range(45) for b in range(a + 1, 60) if linked(a, b)}
+            assert found <= {(a, b) for a in range(60) for b in range(a + 1, 60) if linked(a, b)}
+
+            def groups(pairs):
+                own = list(range(60))
+                for a, b in pairs:
+                    own = [own[a] if g == own[b] else g for g in own]
+                return [own.index(g) for g in own]
+
+            assert groups(found) == groups(want)
+
+
+def test_equal_sets_fold_whatever_their_number(spark, monkeypatch):
+    rows = [(7 * i % 400, "one two three four five six" if i % 3 else f"other {i % 5} text of some few words more") for i in range(300)]
+    want = brute(rows)
+    for hot in (10_000, 50, 3):
+        monkeypatch.setattr(jaccard_join, "HOT", hot)
+        found = jaccard_join.near_duplicates(table(spark, rows)).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want and len(found) == 300
+
+
 @pytest.mark.parametrize("limit", [2000, 6])
 def test_equals_brute_force(spark, limit):
     rows = clusters(limit)

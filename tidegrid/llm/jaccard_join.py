@@ -3,7 +3,7 @@
 One minus the Jaccard similarity is a metric, so a pivot tells documents apart: two whose
 distances to it differ by more than the join's distance cannot link.
 
-1. Documents with equal shingle sets fold into the one of least id.
+1. Documents with equal shingle sets, by number and two hashes, fold into the one of least id.
 2. Distances between unrelated texts gather at one, where no pivot tells them apart, so
    documents are cut into regions first.  Linked documents share one of their first
    shingles in a common order (as many as a link may leave unshared, and one more).  The order
@@ -11,15 +11,14 @@ distances to it differ by more than the join's distance cannot link.
    that share such a mark meet once, however many marks they share, as counts of
    their shingles by hash class.  These embed the sets so that distances only shrink: counts that are
    too far apart rule a link out, and what they leave connected forms a region.
-3. A region is joined recursively: pivot documents gather the cell within the
-   join's distance, whose members they connect.  What is left goes on, together with the boundary
-   documents of the cells, those that the triangle inequality allows a link to what is left.
-   Regions of many documents take these rounds distributed, with several pivots a round
-   chosen by hash; smaller regions end in one task each.  A region that pivots no longer
-   shrink is joined exactly by pairs of blocks.
-
-Links within a cell run through its pivot, so the result keeps every connection; no group's pairs are
-listed.  Rows without id are left out; null and wordless texts have no shingles and link with
+3. A region is joined recursively and exactly.  Its documents go to the Voronoi cells of pivots; windows that follow
+   from the triangle inequality copy boundary documents to the cells whose documents they may
+   link to; and cells are joined in turn, the smallest by comparing what is not connected yet.
+   Regions of very many documents are cut into cells distributed, with pivots chosen by hash; one that pivots no
+   longer shrink is joined exactly by pairs of blocks.
+
+What a link connects already is compared no more, so the result keeps every connection; no group's pairs
+are listed.  Rows without id are left out; null and wordless texts have no shingles and link with
 nothing.  Rows that share an id are one node of the links, each with its own row.
 """
 
@@ -42,9 +41,11 @@ from .textbytes import mix, shingles
 REGION = 2000
 #: Documents of the sample that tells frequent shingles, about, and shingles it may name.
 SAMPLE, FREQUENT = 20_000, 100_000
-#: Pivots of a round on a larger region.
-PIVOTS = 16
-_SETS = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("prefix", pa.binary()), ("classes", pa.binary())])
+#: Pivots of a round on a larger region, and of a task's region; documents of a cell that is cut no further.
+PIVOTS, CELL_PIVOTS, CELL = 16, 8, 48
+#: Groups of equal sets that hold more than one document in so many are broadcast, of which there are fewer.
+HOT = 10_000
+_SETS = pa.schema([("doc", pa.int64()), ("n", pa.int64()), ("digest", pa.int64()), ("total", pa.int64()), ("prefix", pa.binary()), ("classes", pa.binary())])
 _MARKS = pa.schema([("mark", pa.int64()), ("doc", pa.int64())])
 _MEETINGS = pa.schema([("meeting", pa.int64()), ("n_docs", pa.int64()), ("docs", pa.list_(pa.int64()))])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -54,12 +55,12 @@ def _table(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _digest(s: np.ndarray) -> int:
-    """A hash of a whole set; 0 for the empty one."""
+def _digests(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a whole set; 0 for the empty one."""
     if not len(s):
-        return 0
-    both = mix(np.array([np.bitwise_xor.reduce(mix(s + np.uint64(1))), np.add.reduce(s)], dtype=np.uint64))
-    return int((both[:1] * np.uint64(3) + both[1:]).view(np.int64)[0])
+        return 0, 0
+    both = np.array([np.bitwise_xor.reduce(mix(s + np.uint64(1))), np.add.reduce(s)], dtype=np.uint64)
+    return tuple(both.view(np.int64).tolist())
 
 
 def _levels(n: np.ndarray) -> np.ndarray:
@@ -74,21 +75,23 @@ def _sets(width: int, percent: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.lower() for t in batch.column(1).to_pylist()]
-            n, digest, prefix, classes = [], [], [], []
+            n, digest, total, prefix, classes = [], [], [], [], []
             for _, s in shingles(texts, width):
                 n.append(len(s))
-                digest.append(_digest(s))
+                first, second = _digests(s)
+                digest.append(first)
+                total.append(second)
                 level = int(_levels(len(s)))
                 classes.append(np.minimum(np.bincount((s & np.uint64(level - 1)).astype(np.int64), minlength=level), 255).astype(np.uint8).tobytes())
                 # sharing at least percent/100 of the larger set leaves so many unshared
-                first = len(s) - -(-percent * len(s) // 100) + 1
+                keep = len(s) - -(-percent * len(s) // 100) + 1
                 if len(frequent) and len(s):
                     place = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                     common = frequent[place] == s
-                    if common[: 2 * first].any():
+                    if common[: 2 * keep].any():
                         s = np.concatenate((s[~common], s[common]))
-                prefix.append(s[:first].tobytes())
-            yield _table(_SETS, batch.column(0), n, digest, prefix, classes)
+                prefix.append(s[:keep].tobytes())
+            yield _table(_SETS, batch.column(0), n, digest, total, prefix, classes)
 
     return run
 
@@ -224,33 +227,92 @@ class Region:
         distinct, self.flat = np.unique(np.concatenate(sets), return_inverse=True)
         self.has = np.zeros(len(distinct), dtype=bool)
 
+        self._last: tuple[int, np.ndarray] | None = None
+
     def shared(self, pivot: int) -> np.ndarray:
+        if self._last and self._last[0] == pivot:
+            return self._last[1]
         own = self.flat[self.start[pivot] : self.start[pivot + 1]]
         self.has[own] = True
         out = np.add.reduceat(self.has[self.flat], self.start[:-1], dtype=np.int64)
         self.has[own] = False
+        self._last = pivot, out
         return out
 
+    def distance(self, pivot: int) -> np.ndarray:
+        shared = self.shared(pivot)
+        return 1 - shared / (self.size + self.size[pivot] - shared)
+
+    def near(self, pivot: int, percent: int) -> np.ndarray:
+        shared = self.shared(pivot)
+        return 100 * shared >= percent * (self.size + self.size[pivot] - shared)
+
+
+class Links:
+    """Links found, and which documents of a region they connect."""
+
+    def __init__(self, n: int) -> None:
+        self.group = np.arange(n)
+        self.pairs: list[tuple[int, int]] = []
+
+    def add(self, one: int, others: np.ndarray) -> None:
+        for x in others.tolist():
+            if self.group[x] != self.group[one]:
+                self.pairs.append((one, x))
+                self.group[self.group == self.group[x]] = self.group[one]
+
 
 def join_region(region: Region, percent: int, left: np.ndarray, boundary: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what links within ``left``, and between it and ``boundary``."""
-    reach = 1 - percent / 100
-    links = []
-    while len(left):
-        pivot = left[0]
-        shared = region.shared(pivot)
-        either = region.size + region.size[pivot] - shared
-        near = 100 * shared >= percent * either
-        distance = 1 - shared / either
-        for group in (left, boundary):
-            links += [(pivot, x) for x in group[near[group]].tolist() if x != pivot]
-        cell, left = left[near[left]], left[~near[left]]
-        if not len(left):
-            break
-        low, high = distance[left].min() - reach - 1e-9, distance[left].max() + reach + 1e-9
-        boundary = np.concatenate((boundary, cell))
-        boundary = boundary[(distance[boundary] >= low) & (distance[boundary] <= high)]
-    return links
+    """Links that connect what links within ``left``, and between it and ``boundary``.
+
+    Each document of ``left`` goes to the Voronoi cell of its nearest pivot.  A link is shorter than the reach, so
+    its other end lies within the reach of the cell's distances to every pivot, and at most twice the
+    reach farther from the cell's pivot than from its own: such boundary documents are copied to the cell, of
+    two cells of ``left`` to the earlier one.  Cells are joined recursively.  In a small one each document is
+    compared with those that no link connects to it yet.
+    """
+    reach, links, work = 1 - percent / 100 + 1e-9, Links(len(region.size)), [(left, boundary)]
+    while work:
+        left, boundary = work.pop()
+        if len(left) and (links.group[left] == links.group[left[0]]).all():
+            boundary = boundary[links.group[boundary] != links.group[left[0]]]
+            if not len(boundary):
+                continue
+        if len(left) <= CELL:
+            _finish(region, percent, left, boundary, links)
+            continue
+        # pivots far from each other; the rows are distances from each
+        pivots, rows = [], []
+        apart = np.full(len(left), np.inf)
+        while len(pivots) < CELL_PIVOTS and apart.max() > 0:
+            pivots.append(int(left[np.argmax(apart)]))
+            rows.append(region.distance(pivots[-1]))
+            near = region.near(pivots[-1], percent)
+            links.add(pivots[-1], np.concatenate((left[near[left]], boundary[near[boundary]])))
+            apart = np.minimum(apart, rows[-1][left])
+        to = np.array(rows)
+        home = np.argmin(to[:, left], axis=0)
+        if (home == home[0]).all():
+            _finish(region, percent, left, boundary, links)
+            continue
+        nearest = to[home, left]
+        for c in range(len(pivots)):
+            own = left[home == c]
+            if len(own):
+                low, high = to[:, own].min(axis=1) - reach, to[:, own].max(axis=1) + reach
+                later = left[(home > c) & (to[c, left] <= nearest + 2 * reach)]
+                others = np.concatenate((later, boundary))
+                work.append((own, others[((to[:, others] >= low[:, None]) & (to[:, others] <= high[:, None])).all(axis=0)]))
+    return links.pairs
+
+
+def _finish(region: Region, percent: int, left: np.ndarray, boundary: np.ndarray, links: Links) -> None:
+    """Compares each document of ``left`` with those after it and of ``boundary`` that are not connected to it yet."""
+    for i, one in enumerate(left.tolist()):
+        others = np.concatenate((left[i + 1 :], boundary))
+        others = others[links.group[others] != links.group[one]]
+        if len(others):
+            links.add(one, others[region.near(one, percent)[others]])
 
 
 def _join_regions(percent: int):
@@ -280,8 +342,7 @@ def _join_regions(percent: int):
 def _across(region: Region, percent: int, one: np.ndarray, two: np.ndarray, doc: np.ndarray) -> list[tuple[int, int]]:
     out = []
     for i in one.tolist():
-        shared = region.shared(i)
-        near = 100 * shared >= percent * (region.size + region.size[i] - shared)
+        near = region.near(i, percent)
         out += [(doc[i], doc[j]) for j in two[near[two]].tolist()]
     return out
 
@@ -322,12 +383,10 @@ def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _large_regions(rows: DataFrame, percent: int, region_docs: int) -> tuple[list[DataFrame], DataFrame | None]:
-    """Rounds of distributed pivots; links found, and what small tasks can finish."""
-    reach, links, finish = 1 - percent / 100, [], None
+    """``join_region``'s cells, distributed, until small tasks can finish: links found, and those tasks' rows."""
+    reach, links, finish = 1 - percent / 100 + 1e-9, [], None
     while True:
-        size = rows.groupBy("region").agg(F.count("*").alias("size"), F.count_if(F.col("side") == 0).alias("left"))
-        size = saved(size, "sizes")
-        before = size.agg(F.sum("size")).first()[0]
+        before = rows.count()
         if not before:
             return links, finish
         # pivots: for each of so many hash classes, the left document of least hash
@@ -335,32 +394,35 @@ def _large_regions(rows: DataFrame, percent: int, region_docs: int) -> tuple[lis
         pivots = by_hash.agg(F.min_by(F.struct("doc", "shingles"), F.xxhash64("doc", F.lit(1))).alias("p")).groupBy("region").agg(F.collect_list("p").alias("pivots"))
         pivots = small_side(saved(pivots, "pivots"), 200)
         near = rows.join(pivots, "region").mapInArrow(_distances, "region long, doc long, side int, shingles binary, to array<struct<pivot:long,both:long,either:long>>")
-        near = saved(near.withColumn("hit", F.exists("to", lambda p: 100 * p["both"] >= percent * p["either"])), "near")
-        hits = near.select("doc", F.explode("to").alias("p")).where(f"100 * p.both >= {percent} * p.either")
-        links.append(hits.select(F.greatest("doc", "p.pivot").alias("a"), F.least("doc", "p.pivot").alias("b")).where("a <> b"))
-        # windows of the triangle inequality around what no pivot gathered
-        left = near.where("side = 0 and not hit").select("region", F.posexplode("to").alias("i", "p"))
-        distance = 1 - F.col("p.both") / F.col("p.either")
-        span = left.groupBy("region", "i").agg(F.min(distance).alias("low"), F.max(distance).alias("high"))
-        span = span.groupBy("region").agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct("low", "high")))).alias("span"))
-        kept = near.join(small_side(saved(span, "span"), 10_000), "region")
-        inside = F.forall(
-            F.transform("to", lambda p, i: F.struct((1 - p["both"] / p["either"]).alias("d"), F.col("span")[i].alias("s"))),
-            lambda x: (x["d"] >= x["s"]["low"] - (reach + 1e-9)) & (x["d"] <= x["s"]["high"] + (reach + 1e-9)),
-        )
-        kept = kept.where((F.col("side") == 0) & ~F.col("hit") | inside)
-        kept = kept.select("region", "doc", F.when((F.col("side") == 0) & ~F.col("hit"), 0).otherwise(1).cast("int").alias("side"), "shingles")
-        rows = saved(kept, "regions")
-        size = saved(rows.groupBy("region").agg(F.count("*").alias("size")), "sizes")
-        small = small_side(size.where(f"size <= {region_docs}").select("region"))
-        done = rows.join(small, "region", "left_semi")
+        near = near.withColumns({"d": F.transform("to", lambda p: 1 - p["both"] / p["either"]), "ball": F.transform("to", lambda p: 100 * p["both"] >= percent * p["either"])})
+        near = saved(near.withColumn("home", (F.array_position("d", F.array_min("d")) - 1).cast("int")), "near")
+        hits = near.select("doc", F.explode(F.arrays_zip("to", "ball")).alias("p")).where("p.ball")
+        links.append(hits.select(F.greatest("doc", "p.to.pivot").alias("a"), F.least("doc", "p.to.pivot").alias("b")).where("a <> b"))
+        # each cell's windows, and whether it has documents that its pivot does not link to
+        least, most = (F.array(*[f(F.get("d", F.lit(i))) for i in range(PIVOTS)]) for f in (F.min, F.max))
+        cells = near.where("side = 0").groupBy("region", "home").agg(least.alias("low"), most.alias("high"), F.max(~F.get("ball", "home")).alias("rim"))
+        cells = cells.groupBy("region").agg(F.collect_list(F.struct(F.col("home").alias("cell"), "low", "high", "rim")).alias("cells"))
+
+        def belongs(c):
+            own = (F.col("side") == 0) & (F.col("home") == c["cell"])
+            may = (F.col("side") == 1) | (F.col("home") > c["cell"]) & (F.get("d", c["cell"]) <= F.get("d", "home") + 2 * reach)
+            inside = F.forall(F.transform("d", lambda x, i: (x >= c["low"][i] - reach) & (x <= c["high"][i] + reach)), lambda ok: ok)
+            linked = ~c["rim"] & F.get("ball", c["cell"])  # to the pivot, as all of the cell are
+            return own | may & inside & ~linked
+
+        kept = near.join(small_side(saved(cells, "cells"), 10_000), "region").withColumn("c", F.explode(F.filter("cells", belongs)))
+        side = F.when((F.col("side") == 0) & (F.col("home") == F.col("c.cell")), 0).otherwise(1).cast("int")
+        after = saved(kept.select(F.xxhash64("region", "c.cell").alias("region"), "doc", side.alias("side"), "shingles"), "regions")
+        size = saved(after.groupBy("region").agg(F.count("*").alias("size")), "sizes")
+        large = size.agg(F.coalesce(F.sum(F.when(F.col("size") > region_docs, F.col("size"))), F.lit(0))).first()[0]
+        if large > 0.9 * before:
+            # pivots tell nothing apart here
+            size = saved(rows.groupBy("region").agg(F.count("*").alias("size")), "sizes")
+            blocks = _blocks(rows, size, region_docs)
+            return links, blocks if finish is None else finish.unionByName(blocks)
+        done = after.join(small_side(size.where(f"size <= {region_docs}").select("region")), "region", "left_semi")
         finish = done if finish is None else finish.unionByName(done)
-        rows = rows.join(small_side(size.where(f"size > {region_docs}").select("region"), 10_000), "region", "left_semi")
-        after = size.where(f"size > {region_docs}").agg(F.sum("size")).first()[0] or 0
-        if not after:
-            return links, finish
-        if after > 0.9 * before:
-            return links, finish.unionByName(_blocks(rows, size, region_docs))
+        rows = after.join(small_side(size.where(f"size > {region_docs}").select("region"), 10_000), "region", "left_semi")
 
 
 def _blocks(rows: DataFrame, size: DataFrame, region_docs: int) -> DataFrame:
@@ -374,14 +436,30 @@ def _blocks(rows: DataFrame, size: DataFrame, region_docs: int) -> DataFrame:
     return pairs.select(F.xxhash64("region", one, two).alias("region"), "doc", side.cast("int").alias("side"), "shingles")
 
 
+def _folded(sets: DataFrame) -> DataFrame:
+    """``doc``, ``n`` and ``first``, the least document with the same set.
+
+    Groups are counted with partial sums.  Those of very many documents go to the documents, as they
+    cannot be many; the documents of the others meet their group.
+    """
+    same = ["n", "digest", "total"]
+    groups = sets.where("n > 0").groupBy(*same).agg(F.min("doc").alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    groups = saved(groups, "groups")
+    most = max(sets.count() // HOT, 1)
+    hot = F.broadcast(groups.where(F.col("copies") > most).select(*same, F.col("first").alias("hot")))  # HOT rows at most
+    told = sets.select("doc", *same).join(hot, same, "left")
+    rest = told.where("hot is null").join(groups.where(F.col("copies") <= most).select(*same, "first"), same, "left")
+    every = told.where("hot is not null").select("doc", "n", F.col("hot").alias("first"))
+    return every.unionByName(rest.select("doc", "n", F.coalesce("first", "doc").alias("first")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, region_docs: int = REGION) -> DataFrame:
     """Per row: doc_id, n_shingles, and component_id, the least id reachable by links."""
     parts = fold(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), text_bytes(text_col).alias("text")).where("doc is not null")
     frequent = _frequent(plain, width)
-    sets = saved(plain.mapInArrow(_sets(width, percent, frequent), "doc long, n long, digest long, prefix binary, classes binary"), "sets")
-    groups = sets.where("n > 0").groupBy("n", "digest").agg(F.min("doc").alias("first"))
-    members = saved(sets.select("doc", "n", "digest").join(groups, ["n", "digest"], "left").select("doc", "n", F.coalesce("first", "doc").alias("first")), "members")
+    sets = saved(plain.mapInArrow(_sets(width, percent, frequent), "doc long, n long, digest long, total long, prefix binary, classes binary"), "sets")
+    members = saved(_folded(sets), "members")
     folded = small_side(saved(members.where("doc <> first").select("doc").distinct(), "folded"))
     own = sets.where("n > 0").join(folded, "doc", "left_anti")
     marks = own.select("doc", "prefix").mapInArrow(_marks(), "mark long, doc long")
