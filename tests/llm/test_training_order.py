@@ -91,8 +91,19 @@ def test_token_ids(spark, tmp_path):
 
 def test_ids_of_a_column(spark, tmp_path):
     wide = np.array([70_000, 0, 4_000_000_000], dtype="<u4").tobytes()
-    spark.createDataFrame([(1, wide), (2, None)], "doc_id long, ids binary").write.parquet(str(tmp_path / "ids"))
+    spark.createDataFrame([(1, wide), (2, None), (-1, b""), (None, wide), (0, b"")], "doc_id long, ids binary").write.parquet(str(tmp_path / "ids"))
     ids = spark.read.parquet(str(tmp_path / "ids"))
     manifest = training_order.write_shards(ids, str(tmp_path / "out"), length=8, end=65_536, ids_col="ids", width=4)
     got = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in training_order.read_shards(manifest, length=8, width=4).collect()}
-    assert got == {1: [70_000, 0, 4_000_000_000, 65_536], 2: [65_536]}
+    assert got == {1: [70_000, 0, 4_000_000_000, 65_536], 2: [65_536], -1: [65_536], None: [70_000, 0, 4_000_000_000, 65_536], 0: [65_536]}
+
+
+def test_each_task_writes_a_range_of_slots(spark, tmp_path):
+    df = spark.range(3000).selectExpr("id AS doc_id", "repeat('x', int(id % 90)) AS text")
+    df.write.parquet(str(tmp_path / "docs"))
+    manifest = training_order.write_shards(spark.read.parquet(str(tmp_path / "docs")), str(tmp_path / "out"), length=16, shard=100).collect()
+    by_task = defaultdict(list)
+    for r in manifest:
+        by_task[r["path"].rsplit("-", 1)[1]].append(r["shard"])
+    runs = sorted(sorted(s) for s in by_task.values())
+    assert len(runs) == 4 and [s for run in runs for s in run] == list(range(len(manifest)))

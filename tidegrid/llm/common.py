@@ -40,14 +40,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+#: Options of tables of large values: compressed hard, over pages that are long enough to repeat themselves.
+DENSE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(16 << 20), "parquet.enable.dictionary": "false"}
+
+
+def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     Cuts the lineage with files that outlive any executor.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

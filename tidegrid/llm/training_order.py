@@ -4,10 +4,12 @@ Sequences are numbered densely, in the order of the input's partitions and rows.
 network over an even number of bits, keyed, permutes the numbers; numbers beyond the
 last sequence are permuted again until they fall below it (cycle-walking), which keeps the
 permutation one of exactly the sequences' numbers.  A sequence's number becomes its
-global slot.  Slots are range-partitioned into shards of equal size; a shard is a file of
+global slot.  Slots are range-partitioned into shards of equal size, and runs of shards to tasks: the
+ranges follow from the number of sequences, so that no sample has to find them.  A shard is a file of
 records of one stride, so that slot s lies in shard s // size at (s % size) * stride and a
 reader can resume anywhere.  A record is the document's id (64 bits), the sequence's place in it
-(32), its number of ids (32), and the ids, padded with zeros; all little-endian.  Ids have one, two
+(32), its number of ids (32, of which the highest bit marks a null id), and the ids, padded with zeros;
+all little-endian.  Ids have one, two
 or four bytes each, the least that the vocabulary's greatest id fits.
 
 Sequences travel to their shard in compressed bundles, one for each batch and shard.  A task
@@ -16,7 +18,7 @@ tasks only.  A shard whose slots are not filled exactly once raises an error.
 
 Ids are a tokenizer's, those of a column, or the text's bytes, and an end id.  Texts are tokenized
 once, to a table that both the numbering and the shards read.  A null text has the end id only; a
-null id is written as -1.  Repeated rows have sequences each.  Without rows there are no shards.
+null id stays null.  Repeated rows have sequences each.  Without rows there are no shards.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, fresh_path, saved, text_bytes, tidy_after
+from .common import DENSE, fold, fresh_path, saved, text_bytes, tidy_after
 from .groups import key_runs
 from .textbytes import chunks, mix
 from .warc import _store
@@ -39,6 +41,8 @@ from .wordtokens import forget, word_tokens
 
 #: Ids of a sequence, slots of a shard, rounds of the network.
 LENGTH, SHARD, ROUNDS = 512, 32_768, 6
+#: Marks a null id in a record's number of ids.
+_NO_DOC = np.uint32(1 << 31)
 _HEAD = np.dtype([("doc", "<i8"), ("piece", "<u4"), ("length", "<u4")])
 
 
@@ -83,7 +87,7 @@ def id_width(vocabulary: str) -> int:
 
 
 def token_ids(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row its id and its text's token ids, little-endian, of ``id_width`` bytes each."""
+    """Per row its id, its text's token ids, little-endian, of ``id_width`` bytes each, and their number."""
     kind = f"<u{id_width(vocabulary)}"
 
     @tidy_after
@@ -95,11 +99,11 @@ def token_ids(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col
                 ids, starts = tokens.encode(texts.slice(lo, hi - lo).to_pylist(), None)
                 ids = ids.astype(kind)
                 held = [ids[a:b].tobytes() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(held, pa.binary())], names=["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(held, pa.binary()), pa.array(np.diff(starts))], names=["doc_id", "ids", "n_ids"])
         tokens.rest()
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
-    return plain.mapInArrow(run, "doc_id long, ids binary")
+    return plain.mapInArrow(run, "doc_id long, ids binary, n_ids long")
 
 
 def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int, end: int, width: int):
@@ -109,7 +113,7 @@ def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int,
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        pack = zstandard.ZstdCompressor(level=6)
+        pack = zstandard.ZstdCompressor(level=9)
         number = first.get(TaskContext.get().partitionId(), 0)
         for batch in batches:
             docs = batch.column(0).to_pylist()
@@ -129,8 +133,9 @@ def _bundles(order: Permutation, first: dict[int, int], length: int, shard: int,
                 start = np.repeat(np.cumsum(sizes[lo:hi]) - sizes[lo:hi], pieces) + piece * length
                 held = np.minimum(length, sizes[lo:hi][owner] - piece * length)
                 head = np.zeros(total, dtype=_HEAD)
-                head["doc"] = np.array([-1 if d is None else d for d in docs[lo:hi]], dtype=np.int64)[owner]
-                head["piece"], head["length"] = piece, held
+                missing = np.array([d is None for d in docs[lo:hi]])[owner]
+                head["doc"] = np.array([0 if d is None else d for d in docs[lo:hi]], dtype=np.int64)[owner]
+                head["piece"], head["length"] = piece, held.astype(np.uint32) | missing * _NO_DOC
                 body = np.zeros((total, length), dtype=kind)
                 body[np.arange(length) < held[:, None]] = flat
                 table = np.concatenate((head.view(np.uint8).reshape(total, -1), body.view(np.uint8)), axis=1)
@@ -186,25 +191,28 @@ def _write(folder: str, n: int, length: int, shard: int, width: int = 1):
     return run
 
 
-def write_shards(docs: DataFrame, folder: str, key: int = 0, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard: int = SHARD, end: int = 0, ids_col: str | None = None, width: int = 1) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, key: int = 0, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard: int = SHARD, end: int = 0, ids_col: str | None = None, width: int = 1, n_col: str | None = None) -> DataFrame:
     """Writes all sequences in training order; the manifest: shard, path, first_slot, slots.
 
     Ids are those in ``ids_col``, little-endian and of ``width`` bytes each, or else the text's bytes.
+    ``n_col``, if there is one, has their number, so that numbering need not read them.
     ``docs`` must give the same partitions and rows when read again, as files do.
     """
     if width not in (1, 2, 4) or (ids_col is None and width != 1) or not 0 <= end < 1 << 8 * width:
         raise ValueError(f"width {width}, end {end}")
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), text_bytes(ids_col or text_col).alias("ids"))
-    pieces = F.ceil((F.length("ids") / width + 1) / length).cast("long")
-    counted = plain.select(F.spark_partition_id().alias("part"), pieces.alias("n")).groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
+    n_ids = F.coalesce(F.col(n_col), F.lit(0)) if n_col else F.length(text_bytes(ids_col or text_col)) / width
+    pieces = F.ceil((n_ids + 1) / length).cast("long")
+    counted = docs.select(F.spark_partition_id().alias("part"), pieces.alias("n")).groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
     first, n = {}, 0
     for row in counted:
         first[row["part"]] = n
         n += row["n"]
     bundles = plain.mapInArrow(_bundles(Permutation(n, key), first, length, shard, end, width), "shard long, n long, bundle binary")
     shards = max(1, -(-n // shard))
-    # sampling for a range exchange would make all bundles twice; a shard is a range of slots already
-    dealt = bundles.repartition(min(shards, fold(docs.sparkSession)), "shard")
+    # ranges of slots of equal size, known without the sample that a range exchange would take
+    tasks = min(shards, fold(docs.sparkSession))
+    dealt = bundles.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int"))
     return saved(dealt.sortWithinPartitions("shard").mapInArrow(_write(folder, n, length, shard, width), "shard long, path string, first_slot long, slots long"), "manifest")
 
 
@@ -223,12 +231,13 @@ def _read(length: int, from_slot: int, width: int):
                     while raw := file.read(4096 * stride):
                         table = np.frombuffer(raw, dtype=np.uint8).reshape(-1, stride)
                         head = np.ascontiguousarray(table[:, : _HEAD.itemsize]).view(_HEAD).ravel()
-                        ids = [table[i, _HEAD.itemsize : _HEAD.itemsize + m * width].tobytes() for i, m in enumerate(head["length"].tolist())]
+                        held = head["length"] & ~_NO_DOC
+                        ids = [table[i, _HEAD.itemsize : _HEAD.itemsize + m * width].tobytes() for i, m in enumerate(held.tolist())]
                         slot = at + np.arange(len(table))
                         at += len(table)
-                        doc = pa.array(head["doc"], mask=head["doc"] == -1)
+                        doc = pa.array(head["doc"], mask=head["length"] >= _NO_DOC)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(slot), pa.array(np.full(len(table), shard)), pa.array((slot - first) * stride), doc, pa.array(head["piece"].astype(np.int32)), pa.array(head["length"].astype(np.int64)), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                            [pa.array(slot), pa.array(np.full(len(table), shard)), pa.array((slot - first) * stride), doc, pa.array(head["piece"].astype(np.int32)), pa.array(held.astype(np.int64)), pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                             names=["slot", "shard", "file_offset", "doc_id", "piece", "length", "ids_crc32", "ids"],
                         )
 
@@ -251,5 +260,5 @@ def order_report(docs: DataFrame, key: int = 0, vocabulary: str | None = None) -
     if vocabulary is None:
         return read_shards(write_shards(docs, folder, key)).drop("ids")
     width = id_width(vocabulary)
-    ids = saved(token_ids(docs, vocabulary), "token-ids")
-    return read_shards(write_shards(ids, folder, key, ids_col="ids", width=width), width=width).drop("ids")
+    ids = saved(token_ids(docs, vocabulary), "token-ids", **DENSE)
+    return read_shards(write_shards(ids, folder, key, ids_col="ids", width=width, n_col="n_ids"), width=width).drop("ids")
