@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.test_plans import raw_rows
 from tidegrid import cli
-from tidegrid.sources import readers
+from tidegrid.sources import readers, schemas
 
 HEAD = bytes.fromhex("89504E470D0A1A0A") + (13).to_bytes(4, "big") + b"IHDR" + (6).to_bytes(4, "big") + (4).to_bytes(4, "big") + bytes([8, 2, 0, 0, 0])
 
@@ -46,16 +46,36 @@ def test_check(spark, tmp_path):
 
 def test_merge_export_validate_inspect_csv(spark, tmp_path, capsys):
     a, b = dataset(spark, tmp_path / "a"), dataset(spark, tmp_path / "b", ((0, 2),))
+    (tmp_path / "a/meta/config.yaml").write_text("fps: 10\n")
+    (tmp_path / "b/tactile/tactile_left/meta.jsonl").write_text(json.dumps({"zarr_index": 1, "sensor_id": "s1", "episode_index": 0, "frame_index": 1}) + "\n")
     totals = cli.merge_datasets(spark, [a, b], str(tmp_path / "m"))
     assert (totals["total_frames"], totals["total_episodes"]) == (9, 3)
     merged = str(tmp_path / "m")
     assert readers.read_json(spark, f"{merged}/meta/info.json")["merge_sources"][1]["from_index"] == 7
     with pytest.raises(FileExistsError):
         cli.merge_datasets(spark, [a, b], merged)
+    assert cli.check_dataset(spark, merged).collect() == []
+    assert sorted(p.name for p in (tmp_path / "m/data/episodes").glob("*.parquet")) == [f"episode_{i:06d}.parquet" for i in range(3)]
+    assert (tmp_path / "m/image/wrist/episode_000002/frame_000001.png").read_bytes() == HEAD and (tmp_path / "m/meta/config.yaml").exists()
+    meta = readers.read_log_by(spark, f"{merged}/tactile/tactile_left/meta.jsonl", schemas.METADATA_LOG, "zarr_index").orderBy("zarr_index").collect()
+    assert [(r["zarr_index"], r["episode_index"], r["frame_index"], r["sensor_id"]) for r in meta][-2:] == [(7, 2, 0, None), (8, 2, 1, "s1")]
+    log = spark.read.schema(schemas.EPISODE_LOG).json(f"{merged}/meta/episodes.jsonl").orderBy("episode_index").collect()
+    assert (log[2]["source_raw_root"], log[2]["source_episode_path"], log[2]["image_dir"]) == (b, "data/episodes/episode_000000.parquet", "image/front/episode_000002")
+    assert readers.read_json(spark, f"{merged}/meta/merge_sources.json")["sources"][1]["raw_root"] == b
+    assert cli.export_dataset(spark, merged, str(tmp_path / "me"))["total_frames"] == 9
+    assert {r["level"] for r in cli.validate_dataset(spark, str(tmp_path / "me"), merged).collect()} == {"skipped"}
     out = cli.export_dataset(spark, a, str(tmp_path / "e"))
     assert out["total_frames"] == 7
-    assert cli.validate_dataset(spark, str(tmp_path / "e"), a).collect() == []
+    told = cli.validate_dataset(spark, str(tmp_path / "e"), a).collect()
+    assert [r["level"] for r in told] == ["skipped", "skipped"]
+    for side in ("left", "right"):
+        (tmp_path / "a/tactile" / f"tactile_{side}/data.zarr/0.0").write_bytes(bytes(4 * 14))
+    assert [r["rule"] for r in cli.validate_dataset(spark, str(tmp_path / "e"), a).collect() if r["level"] == "error"] == ["raw rows"]
+    (tmp_path / "e/meta/tasks.parquet").rename(tmp_path / "tasks")
+    assert [r["rule"] for r in cli.validate_dataset(spark, str(tmp_path / "e")).collect()] == ["required files"]
+    (tmp_path / "tasks").rename(tmp_path / "e/meta/tasks.parquet")
     row = cli.inspect_row(spark, str(tmp_path / "e"), episode=1, frame=2).where("column = 'observation.tactile_left'").first()
     assert (row["index"], row["first"]) == (6, [12.0, 13.0])
+    assert cli.raw_csv(spark, b, str(tmp_path / "c0"), "left") == {"left": 2}
     assert cli.raw_csv(spark, a, str(tmp_path / "c1"), "left", 2, 3) == {"left": 3}
     assert cli.export_csv(spark, str(tmp_path / "e"), str(tmp_path / "c2")) == {"left": 7, "right": 7}

@@ -113,7 +113,7 @@ def test_export_validate_and_read_back(spark, tmp_path):
     how = export.Export(10.0, "pick", split_on_gap=True)
     totals = export.export(spark, raw, out, stores, how)
     assert (totals["total_frames"], totals["total_episodes"]) == (7, 4)
-    rows, episodes = readers.read_chunks(spark, out), spark.read.parquet(f"{out}/meta/episodes")
+    rows, episodes = readers.read_chunks(spark, out), spark.read.parquet(f"{out}/meta/episodes/chunk-000/file-000.parquet")
     dims = {"observation.state": 7, "action": 7, "observation.tactile_left": 2, "observation.tactile_right": 3}
     info = readers.read_json(spark, f"{out}/meta/info.json")
     assert validate.validate(rows, episodes, info, dims).collect() == []
@@ -122,6 +122,16 @@ def test_export_validate_and_read_back(spark, tmp_path):
 
     file = readers.matches(spark, f"{out}/data/chunk-000/file-*.parquet")[0].removeprefix("file:")
     assert str(pq.read_schema(file).field("action").type).startswith("fixed_size_list<")
+    assert episodes.columns[:9] == ["episode_index", "tasks", "length", "from", "to", "dataset_from_index", "dataset_to_index", "data/chunk_index", "data/file_index"] and "videos/observation.images.wrist/to_timestamp" in episodes.columns
+    assert episodes.orderBy("episode_index").first()["raw_episode"] == "data/episodes/episode_000000.parquet"
+    import pandas as pd
+
+    assert pd.read_parquet(f"{out}/meta/tasks.parquet").to_dict() == {"task_index": {"pick": 0}}
+    assert validate.vector_types(spark, readers.matches(spark, f"{out}/data/chunk-000/file-*.parquet"), dims).collect() == []
+    wrong = validate.vector_types(spark, readers.matches(spark, f"{out}/data/chunk-000/file-*.parquet"), dims | {"action": 8}).collect()
+    assert [r["rule"] for r in wrong] == ["vector type action"]
+    shifted = episodes.withColumn("from", F.col("from") + 1).withColumn("dataset_to_index", F.col("dataset_from_index"))
+    assert {"episode from and to", "episode empty"} <= {r["rule"] for r in validate.validate(rows, shifted, info, dims).collect()}
     stats = readers.read_json(spark, f"{out}/meta/stats.json")
     assert stats["observation.tactile_right"]["mean"] == [3.0] * 3 and stats["action"]["count"] == [7]
     with pytest.raises(FileExistsError):
@@ -158,7 +168,7 @@ def test_validation_finds(spark, rule, spoil):
 
 def test_long_episodes_need_float_comparison(spark):
     rows = spark.range(3001).select(F.col("id").alias("index"), F.lit(0).alias("episode_index"), F.col("id").alias("frame_index"), (F.col("id") / 10.0).cast("float").alias("timestamp"), F.lit(0).alias("task_index"), *[F.array(F.lit(0.0)).alias(n) for n in schemas.EXPORT_VECTORS])
-    episodes = spark.createDataFrame([(0, 3001, 0, 3001)], "episode_index int, length long, from_index long, to_index long")
+    episodes = spark.createDataFrame([(0, 3001, 0, 3001, 0, 3001, 0, ["t"])], "episode_index int, length long, from long, to long, dataset_from_index long, dataset_to_index long, task_index long, tasks array<string>")
     info, dims = {"total_frames": 3001, "total_episodes": 1, "fps": 10}, dict.fromkeys(schemas.EXPORT_VECTORS, 1)
     assert validate.validate(rows, episodes, info, dims).collect() == []
     assert [r["count"] for r in validate.validate(rows, episodes, info, dims, as_float=False).collect()] == [176]
@@ -176,9 +186,13 @@ def test_merge(spark):
         merge.merge([a, b], [], [info, info | {"fps": 30}])
     with pytest.raises(ValueError, match="not in the store"):
         merge.merge([a, b], [{s: store(spark, 3) for s in ("left", "right")}] * 2, [info, info])
-    log = spark.createDataFrame([("/data/i1.png", 0, "x"), ("/other", 9, "y")], "path string, episode_index long, tmp_path string")
-    changed = merge.rewrite_log(log, rows.where("source = 0"), "path", "image.path", {"episode_index": "episode_index"}).collect()
-    assert [tuple(r) for r in changed] == [("/data/i1.png", 0)]
+    placed = merge.place_images(rows, ["/data", "/b"], {"image": "image/front", "wrist_image": "image/wrist"})
+    logs = [spark.createDataFrame([(9, 9, "/data/i1.png", 1, "topic")], "episode_index long, record_frame_index long, path string, height long, topic string").selectExpr(*[f"CAST({n if n in ('episode_index', 'record_frame_index', 'path', 'height', 'topic') else 'NULL'} AS {k}) AS {n}" for n, k in (f.split() for f in schemas.IMAGE_LOG.split(", "))])]
+    out = merge.image_log(placed, logs, "image").collect()
+    assert [r["path"] for r in out][-1] == "image/front/episode_000002/frame_000001.png" and len(out) == 9
+    assert (out[1]["episode_index"], out[1]["record_frame_index"], out[1]["height"], out[1]["topic"]) == (0, 1, 4, "topic") and out[0]["topic"] is None
+    meta = merge.sensor_log(placed, [], "left", "tactile/tactile_left/data.zarr").collect()
+    assert [r["zarr_index"] for r in meta] == list(range(9)) and meta[8]["frame_index"] == 1
 
 
 def test_record(spark):

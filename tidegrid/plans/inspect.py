@@ -15,11 +15,11 @@ from ..sources.schemas import EXPORT_META, RAW_META, SIDES
 def locate(rows: DataFrame, episodes: DataFrame, index: int | None = None, episode: int | None = None, frame: int | None = None) -> DataFrame:
     """The row of a global index, or of a frame of an episode; an error if there is none."""
     if index is None:
-        span = episodes.where(F.col("episode_index") == (episode or 0)).select("from_index", "to_index").first()
+        span = episodes.where(F.col("episode_index") == (episode or 0)).select("dataset_from_index", "dataset_to_index").first()
         if span is None:
             raise ValueError(f"no episode {episode}")
-        index = span["from_index"] + (frame or 0)
-        if not span["from_index"] <= index < span["to_index"]:
+        index = span["dataset_from_index"] + (frame or 0)
+        if not span["dataset_from_index"] <= index < span["dataset_to_index"]:
             raise ValueError(f"no frame {frame} in episode {episode}")
     found = rows.where(F.col("index") == index)
     if not found.limit(1).count():

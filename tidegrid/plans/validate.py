@@ -2,19 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, vector_problem
 from ..operators.lookups import by_cursor, missing_columns, within
 from ..operators.sequences import contiguity
 from ..operators.statistics import all_close
+from ..sources.readers import relative_episode
 from ..sources.schemas import EXPORT_VECTORS
 from .check import _found, _told
 
 TOLERANCE, TIME_TOLERANCE = 1e-6, 1e-5
+# fixed values: columns that episodes must have
+EPISODE_COLUMNS = ["episode_index", "length", "from", "to", "dataset_from_index", "dataset_to_index", "task_index", "tasks"]
+
+
+def vector_types(spark: SparkSession, files: list[str], dims: dict[str, int]) -> DataFrame:
+    """Findings over data files' own schemas: vectors must be lists of a fixed size of float32.
+
+    Only the files' footers are read, each where its task runs.
+    """
+    from ..sources.arrays import _open
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                store, place = _open(path)
+                schema = pq.read_schema(place, filesystem=store)
+                for name, dim in dims.items():
+                    kind = schema.field(name).type if name in schema.names else None
+                    if kind != pa.list_(pa.float32(), dim):
+                        found.append((f"vector type {name}", f"{path}: {kind}"))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.string()) for i in range(2)], names=["rule", "example"])
+
+    each = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, min(len(files), 64))).mapInArrow(run, "rule string, example string")
+    return each.groupBy("rule").agg(F.count("*").alias("count"), F.min("example").alias("example")).select("rule", F.lit("error").alias("level"), "count", "example")
+
+
+def against_stores(rows: DataFrame, episodes: DataFrame, raw: DataFrame, stores: dict[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
+    """``against_raw`` for the sensors' vectors, which the raw rows have by index into their stores."""
+    for side, store in stores.items():
+        data = store.select(F.col("store_index").alias("at__"), F.col("data").cast("array<float>").alias(f"store.{side}"))
+        raw = raw.join(data, c(f"tactile.{side}.zarr_index") == F.col("at__"), "left").drop("at__")
+    return against_raw(rows, episodes, raw, {f"observation.tactile_{s}": f"store.{s}" for s in stores}, tolerance)
 
 
 def validate(rows: DataFrame, episodes: DataFrame, info: dict, dims: dict[str, int], time_tolerance: float = TIME_TOLERANCE, as_float: bool = True) -> DataFrame:
@@ -28,6 +66,13 @@ def validate(rows: DataFrame, episodes: DataFrame, info: dict, dims: dict[str, i
     if absent:
         return _told(spark, "columns", ", ".join(absent), len(absent))
     parts = []
+    absent = missing_columns(episodes, EPISODE_COLUMNS)
+    if absent:
+        return _told(spark, "episode columns", ", ".join(absent), len(absent))
+    episodes = episodes.withColumns({"from_index": F.col("dataset_from_index"), "to_index": F.col("dataset_to_index")})
+    apart = (F.col("from") != F.col("from_index")) | (F.col("to") != F.col("to_index"))
+    parts.append(_found(episodes, "episode from and to", F.coalesce(apart, F.lit(True)), F.col("episode_index")))
+    parts.append(_found(episodes, "episode empty", F.coalesce(F.col("from_index") >= F.col("to_index"), F.lit(True)), F.col("episode_index")))
     n, m = rows.count(), episodes.count()
     parts += [_told(spark, f"total {k}", f"{info.get(f'total_{k}')}, not {x}") for k, x in (("frames", n), ("episodes", m)) if info.get(f"total_{k}") != x]
     for name, dim in dims.items():
@@ -50,9 +95,10 @@ def validate(rows: DataFrame, episodes: DataFrame, info: dict, dims: dict[str, i
 def against_raw(rows: DataFrame, episodes: DataFrame, raw: DataFrame, columns: dict[str, str], tolerance: float = TOLERANCE) -> DataFrame:
     """Per column: rows compared, greatest difference, where, and whether all are close.
 
-    Episodes use their raw file's rows up in order.  ``raw``: raw_episode, row and the columns.
+    Episodes use their raw file's rows up in order.  ``raw``: raw_episode, row and the columns; episodes have the
+    file relative to the root.
     """
-    raw_rows = raw.select("raw_episode", "row", *[c(v).alias(f"r{i}") for i, v in enumerate(columns.values())])
+    raw_rows = raw.select(relative_episode(F.col("raw_episode")).alias("raw_episode"), "row", *[c(v).alias(f"r{i}") for i, v in enumerate(columns.values())])
     listed = by_cursor(episodes.select("raw_episode", "episode_index", "length"), raw_rows, "raw_episode", "episode_index", "length", "row")
     pairs = rows.select("episode_index", "frame_index", "index", *[c(k).alias(f"e{i}") for i, k in enumerate(columns)])
     raw_side = listed.select("episode_index", F.col("position").cast("long").alias("frame_index"), *[f"r{i}" for i in range(len(columns))])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import json
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
-from ..sources.readers import _path, exists
+from ..sources.readers import _path, exists, matches
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -102,6 +103,28 @@ def write_fixed_lists(df: DataFrame, folder: str, dims: dict[str, int]) -> None:
     df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(write, "rows long").agg(F.sum("rows")).collect()
 
 
+def write_table_file(df: DataFrame, path: str) -> None:
+    """One Parquet file at ``path`` of a table of moderate size, such as one row for each episode."""
+    spark = df.sparkSession
+    draft = f"{path}.{uuid.uuid4().hex}"
+    df.coalesce(1).write.parquet(draft)
+    target, fs = _path(spark, path)
+    (part,) = matches(spark, f"{draft}/part-*.parquet")
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_path(spark, part)[0], target):
+        raise OSError(f"{path} could not be written")
+    remove(spark, draft)
+
+
+def write_task_file(spark: SparkSession, path: str, tasks: list[str]) -> None:
+    """Tasks and their numbers, the text as the table's index."""
+    import pandas as pd
+
+    made = io.BytesIO()
+    pd.DataFrame({"task_index": range(len(tasks))}, index=pd.Index(tasks, name="task")).to_parquet(made)
+    _write_bytes(spark, path, made.getvalue())
+
+
 def append_store(df: DataFrame, path: str, dim: int) -> int:
     """Appends vectors ``(side, n, data)`` after the store's last index of their side, in the order of n.
 
@@ -123,16 +146,67 @@ def truncate_store(spark: SparkSession, path: str, rows: int) -> None:
     publish(spark, path, lambda draft: kept.write.parquet(draft), overwrite=True)
 
 
+def write_episode_files(df: DataFrame, folder: str) -> int:
+    """A file ``episode_<number>.parquet`` for each episode, written in one pass and then renamed; their number."""
+    spark = df.sparkSession
+    draft = f"{folder}.{uuid.uuid4().hex}"
+    placed = df.withColumn("file__", F.col("episode_index")).repartition("file__").sortWithinPartitions("file__", "frame_index")
+    placed.write.partitionBy("file__").parquet(draft)
+    target, fs = _path(spark, folder)
+    fs.mkdirs(target)
+    parts = matches(spark, f"{draft}/file__=*/part-*.parquet")
+    for part in parts:
+        number = int(part.rsplit("file__=", 1)[1].split("/")[0])
+        if not fs.rename(_path(spark, part)[0], _path(spark, f"{folder}/episode_{number:06d}.parquet")[0]):
+            raise OSError(f"episode {number} could not be put in place")
+    remove(spark, draft)
+    return len(parts)
+
+
+def copy_files(files: DataFrame) -> int:
+    """Copies each ``source`` to its ``target``, where the tasks run; their number.  A missing source is an error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ..sources.arrays import _open
+
+        for batch in batches:
+            for source, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                have, place = _open(source)
+                store, goal = _open(target)
+                store.create_dir(goal.rsplit("/", 1)[0], recursive=True)
+                # written beside and moved, so that a task that runs again finds no half file
+                draft = f"{goal}.{TaskContext.get().taskAttemptId()}"
+                with have.open_input_stream(place) as read, store.open_output_stream(draft) as write:
+                    while part := read.read(1 << 20):
+                        write.write(part)
+                store.move(draft, goal)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    return files.select("source", "target").mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def copy_document(spark: SparkSession, source: str, target: str) -> bool:
+    """Copies one small file; false if there is none."""
+    if not exists(spark, source):
+        return False
+    (old, have), (new, store) = _path(spark, source), _path(spark, target)
+    return spark._jvm.org.apache.hadoop.fs.FileUtil.copy(have, old, store, new, False, spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("ignoreNullFields", "false").json(path)
 
 
 def write_document(spark: SparkSession, path: str, value) -> None:
     """A JSON document, indented, with its characters as they are."""
+    _write_bytes(spark, path, json.dumps(value, ensure_ascii=False, indent=2).encode())
+
+
+def _write_bytes(spark: SparkSession, path: str, value: bytes) -> None:
     target, fs = _path(spark, path)
     out = fs.create(target, True)
     try:
-        out.write(bytearray(json.dumps(value, ensure_ascii=False, indent=2).encode()))
+        out.write(bytearray(value))
     finally:
         out.close()
 

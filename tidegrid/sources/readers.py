@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lookups import keep_last
@@ -61,6 +61,11 @@ def read_episodes(spark: SparkSession, root: str, schema: str | None = None, fal
     return reader.parquet(*files).select("*", F.col("_metadata.file_path").alias("raw_episode"), F.col("_metadata.row_index").alias("row"))
 
 
+def relative_episode(path: Column) -> Column:
+    """An episode file's path relative to the root of its dataset."""
+    return F.regexp_replace(path, r"^.*?/(data/(?:episodes|chunk-\d+)/[^/]+\.parquet)(?:/[^/]+)?$", "$1")
+
+
 def read_master(spark: SparkSession, root: str, info: dict, schema: str | None = None) -> DataFrame:
     path = storage_path(root, info, "data_path", "data/chunk-000/file-000.parquet")
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
