@@ -7,9 +7,9 @@ from tests.llm.fixtures import table
 from tests.llm.test_jaccard_join import brute as groups
 from tests.llm.test_packing import check
 from tests.llm.test_suffix_dedup import brute as repeats
-from tests.oracle import TABLES
+from tests.oracle import TABLES, connect
+from tidegrid.llm import queries
 from tidegrid.llm.common import saved
-from tidegrid.llm.decontaminate import find_items
 
 FOLDER = TABLES
 
