@@ -5,9 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.fixtures import pairs, prose, table, words
-from tidegrid.llm import jaccard_join
+from tidegrid.llm import jaccard_join, textbytes
 from tidegrid.llm.components import components
 
 
@@ -160,3 +161,51 @@ def test_components(spark):
 def test_empty_table(spark):
     assert jaccard_join.near_duplicates(table(spark, [])).collect() == []
     assert jaccard_join.keep_first(table(spark, [])).collect() == []
+
+
+def _thue_morse(bits):
+    word = "a"
+    for _ in range(bits):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+@pytest.mark.parametrize("n", range(7))
+def test_short_texts_alone_and_after_a_long_one(n):
+    """0 to 6 words, as the only text of a chunk, and in the chunk after one of over a megabyte."""
+    short = " ".join(f"w{i}" for i in range(n)).encode()
+    long = b"ab cd " * (textbytes.CHUNK // 6 + 10)
+    alone = [s.tolist() for _, s in textbytes.shingles([short], 5)]
+    after = [s.tolist() for _, s in textbytes.shingles([long, short, b""], 5)]
+    assert alone[0] == after[1] and after[2] == []
+    assert len(alone[0]) == (0 if n == 0 else max(1, n - 4))
+
+
+def test_short_texts_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["a", "b", "c d", "\n"]) for _ in range(rng.randint(0, 8)))) for i in range(120)] + [(500, None)]
+    for part in (rows, rows[:1], [(1, "hello world")], [(1, "one two three"), (2, None)], [(1, "One two"), (2, "one TWO")]):
+        got = jaccard_join.near_duplicates(table(spark, part)).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute([(d, t) for d, t in part])
+
+
+def test_structured_words_do_not_link(spark):
+    word = _thue_morse(12)
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(table(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_blocks_of_like_documents_give_a_spanning_forest():
+    """Every pair of 2 x 200 documents links; the links found are fewer than the documents."""
+    rng = np.random.default_rng(2)
+    base = np.arange(100, dtype=np.uint64)
+    sets = [np.sort(np.concatenate((base, rng.integers(1000, 2000, 2).astype(np.uint64)))) for _ in range(400)]
+    found = jaccard_join.join_across(jaccard_join.Region([np.unique(s) for s in sets]), 80, np.arange(200), np.arange(200, 400))
+    assert len(found) == 399
+
+
+def test_a_column_named_as_the_join_names_its_own(spark):
+    docs = table(spark, [(1, "a b c d e f"), (2, "a b c d e f"), (3, "g")]).withColumn("extra__", F.lit(1)).withColumn("extra", F.lit("x"))
+    kept = jaccard_join.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]

@@ -19,7 +19,7 @@ distances to it differ by more than the join's distance cannot link.
 
 What a link connects already is compared no more, so the result keeps every connection; no group's pairs
 are listed.  Rows without id are left out; null and wordless texts have no shingles and link with
-nothing.  Rows that share an id are one node of the links, each with its own row.
+nothing.  Texts of fewer words than a shingle link with those of the same words.  Rows that share an id are one node of the links, each with its own row.
 """
 
 from __future__ import annotations
@@ -329,9 +329,10 @@ def _join_regions(percent: int):
                 left, boundary = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
                 doc = part["doc"][lo:hi]
                 if (side == 2).any():
-                    out += _across(region, percent, np.flatnonzero(side != 2), np.flatnonzero(side == 2), doc)
+                    found = join_across(region, percent, np.flatnonzero(side != 2), np.flatnonzero(side == 2))
                 else:
-                    out += [(doc[i], doc[j]) for i, j in join_region(region, percent, left, boundary)]
+                    found = join_region(region, percent, left, boundary)
+                out += [(doc[i], doc[j]) for i, j in found]
             a = np.array([max(x) for x in out], dtype=np.int64)
             b = np.array([min(x) for x in out], dtype=np.int64)
             yield _table(_EDGES, a, b)
@@ -339,12 +340,14 @@ def _join_regions(percent: int):
     return run
 
 
-def _across(region: Region, percent: int, one: np.ndarray, two: np.ndarray, doc: np.ndarray) -> list[tuple[int, int]]:
-    out = []
+def join_across(region: Region, percent: int, one: np.ndarray, two: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect what links between ``one`` and ``two`` connect; fewer than there are documents."""
+    links = Links(len(region.size))
     for i in one.tolist():
-        near = region.near(i, percent)
-        out += [(doc[i], doc[j]) for j in two[near[two]].tolist()]
-    return out
+        others = two[links.group[two] != links.group[i]]
+        if len(others):
+            links.add(i, others[region.near(i, percent)[others]])
+    return links.pairs
 
 
 def _with_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -502,5 +505,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document, that of least id, of each group; all columns stay."""
     groups = near_duplicates(docs, id_col, text_col, width, percent)
-    extra = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("extra__")).distinct()
-    return docs.join(small_side(saved(extra, "extra")), F.col(id_col) == F.col("extra__"), "left_anti")
+    extra = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    # a name that no column of docs has, however its columns are called
+    other = max(["extra", *docs.columns], key=len) + "_"
+    extra = saved(extra.withColumnRenamed("doc_id", other), "extra")
+    return docs.join(small_side(extra), F.col(id_col) == F.col(other), "left_anti")

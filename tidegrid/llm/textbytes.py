@@ -5,15 +5,22 @@ that numpy's per-call cost is shared, and keeps its working set to a few times
 ``CHUNK`` bytes.  Hashes are 64-bit: a prefix sum of random byte codes times powers of
 an odd base (mod 2**64), from which the hash of any substring follows in O(1), then a
 bit mixer.  They depend only on content, never on the batch a document came in.
+
+Such sums mod 2**64 collide on long strings of a certain structure, whatever the base, from about
+2,000 bytes on.  Words longer than ``LONG_WORD`` bytes are therefore hashed by BLAKE2b; ``Prefix`` itself is
+for short strings (q-grams, windows of at most 160 bytes), or for what is verified afterwards.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 
 CHUNK = 1 << 20
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 32
 _U = np.uint64
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -98,6 +105,14 @@ def words(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begin, end, np.searchsorted(starts, begin, side="right") - 1
 
 
+def word_codes(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of every word."""
+    code = Prefix(buf).of(begin, end)
+    for i in np.flatnonzero(end - begin > LONG_WORD).tolist():
+        code[i] = int.from_bytes(blake2b(buf[begin[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return code
+
+
 def shingles(texts: list[bytes], width: int) -> Iterator[tuple[int, np.ndarray]]:
     """(index, sorted distinct 64-bit shingles) of every document.
 
@@ -109,13 +124,13 @@ def shingles(texts: list[bytes], width: int) -> Iterator[tuple[int, np.ndarray]]
     for lo, hi in chunks(sizes):
         buf, starts = join(texts[lo:hi])
         begin, end, doc = words(buf, starts)
-        code = Prefix(buf).of(begin, end)
+        code = word_codes(buf, begin, end)
         count = np.bincount(doc, minlength=hi - lo)
         first = np.concatenate(([0], np.cumsum(count)))
         n = len(code)
-        full = np.zeros(n, dtype=np.uint64)
-        for j in range(width):
-            full[: n - j] = full[: n - j] * _U(0xD6E8FEB86659FD93) + code[j:] if j else code
+        full = code.copy()
+        for j in range(1, min(width, n)):
+            full[: n - j] = full[: n - j] * _U(0xD6E8FEB86659FD93) + code[j:]
         full = mix(full)
         inside = np.arange(n) + width <= first[doc + 1]
         short = (count > 0) & (count < width)
