@@ -31,13 +31,16 @@ def test_systematic_samples():
     assert sequences.systematic(10, 3) == [0, 4, 9] and sequences.systematic(0, 3) == []
 
 
-def test_many_ranges_join_by_block(spark, monkeypatch):
-    ranges = spark.createDataFrame([(i, i * 10, i * 10 + 7) for i in range(20)], "e long, a long, z long")
-    rows = spark.range(200).withColumnRenamed("id", "i")
-    few = lookups.within(rows, ranges, "i", "a", "z").select("i", "e")
-    monkeypatch.setattr(lookups, "SMALL", 5)
-    many = lookups.within(rows, ranges, "i", "a", "z", block=16).select("i", "e")
-    assert sorted(few.collect()) == sorted(many.collect()) and few.count() == 140
+def test_ranges_join_alike_for_any_block(spark):
+    """Uneven, overlapping, empty, reversed and null ranges, against a plain loop."""
+    ranges = [(i, i * 10, i * 10 + 7) for i in range(12)] + [(20, 5, 95), (21, 40, 40), (22, 60, 50), (23, None, 9), (24, 3, None), (25, -30, 4), (26, 117, 118)]
+    indices = [*range(-35, 130), None]
+    want = sorted((x, e) for x in indices for e, a, z in ranges if x is not None and a is not None and z is not None and a <= x < z)
+    r = spark.createDataFrame(ranges, "e long, a long, z long")
+    rows = spark.createDataFrame([(i,) for i in indices], "i long")
+    for block in (None, 1, 7, 16, 1000):
+        got = lookups.within(rows, r, "i", "a", "z", block=block).select("i", "e").collect()
+        assert sorted((x["i"], x["e"]) for x in got) == want
 
 
 def test_statistics_skip_null_and_nan(spark):
