@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import crf_quality, hmm, license_scan, warc
+from .bpe_tree import encode_documents
 from .decontaminate import find_items
 from .jaccard_join import near_duplicates
 from .packing import pack_documents
 from .quality_rules import judge
+from .runs import periodic_runs
 from .suffix_dedup import removal_report
 from .training_order import order_report
 
@@ -20,10 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _vocabulary() -> str:
+def _vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _remainder(column: str, divisor: int):
@@ -75,6 +77,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(_table(spark, sf_dir, "documents"), planted=True)
+
+
+def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_crf_quality": op1_crf_quality,
@@ -87,6 +97,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_decontamination": op10_decontamination,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_bpe_tree": op12_bpe_tree,
         "pipeline": pipeline,
     }
 
