@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from .common import text_bytes, tidy_after
 
 #: Words of texts that are refined together, about.
-TOGETHER = 1 << 18
+TOGETHER = 1 << 20
+#: Bytes of a word, about.
+WORD = 6
 #: Words of the shortest run.
 LEAST = 12
 
@@ -140,7 +142,8 @@ class Classes:
             mp, mc, mg = np.concatenate((mp, rp)), np.concatenate((mc, rc)), np.concatenate((mg, number))
         if not len(mp):
             return
-        kept = stays[part] & np.isin(c, mc)
+        split = parted | (np.diff(first, append=len(size)) > 1)
+        kept = (stays & split[of])[part]
         # take the moved ones out of their lists, a stretch of neighbours at a time
         self.gone[mp] = True
         before, behind = self.prev[mp], self.next[mp]
@@ -236,13 +239,12 @@ def repeat_tail(words: list, at: int, period: int) -> list:
     return words[:at] + (words[at : at + period] * times)[: len(words) - at]
 
 
-def _texts(batch: pa.RecordBatch, planted: bool) -> Iterator[list[bytes]]:
-    for text, seed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-        words = text.split()  # at the ASCII white space
-        if planted and words and seed is not None and seed % 10 == 0:
-            g, n = seed // 10, len(words)
-            words = repeat_tail(words, g % n, 1 + (n - g % n) // (3 + g % 8))
-        yield words
+def _words(text: bytes, seed: int | None, planted: bool) -> list[bytes]:
+    words = text.split()  # at the ASCII white space
+    if planted and words and seed is not None and seed % 10 == 0:
+        g, n = seed // 10, len(words)
+        words = repeat_tail(words, g % n, 1 + (n - g % n) // (3 + g % 8))
+    return words
 
 
 def report(texts: list[list[bytes]], least: int = LEAST) -> list[tuple]:
@@ -282,20 +284,20 @@ def _run(least: int, planted: bool, together: int):
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = list(_texts(batch, planted))
-            ids = batch.column(0).to_pylist()
+            ids, texts, seeds = (c.to_pylist() for c in batch.columns)
             # texts of like length together, as a chunk takes as many rounds as its longest repeat has words
             order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
             chunk: list[int] = []
             held = 0
             for i in [*order, -1]:
-                if chunk and (i < 0 or held + len(texts[i]) > together):
-                    rows = [(ids[j], *r) for j, r in zip(chunk, report([texts[j] for j in chunk], least), strict=True)]
+                if chunk and (i < 0 or held + len(texts[i]) > together * WORD):
+                    found = report([_words(texts[j], seeds[j], planted) for j in chunk], least)
+                    rows = [(ids[j], *r) for j, r in zip(chunk, found, strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), _RESULT, strict=True)], schema=_RESULT)
                     chunk, held = [], 0
                 if i >= 0:
                     chunk.append(i)
-                    held += len(texts[i]) + 1
+                    held += len(texts[i]) + WORD
 
     return run
 
