@@ -12,6 +12,7 @@ from .bpe_tree import encode_documents
 from .decontaminate import find_items
 from .jaccard_join import near_duplicates
 from .packing import pack_documents
+from .phrases import collocations
 from .quality_rules import judge
 from .runs import periodic_runs
 from .suffix_dedup import removal_report
@@ -85,6 +86,10 @@ def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_crf_quality": op1_crf_quality,
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontamination": op10_decontamination,
         "op11_periodic_runs": op11_periodic_runs,
         "op12_bpe_tree": op12_bpe_tree,
+        "op13_phrase_collocations": op13_phrase_collocations,
         "pipeline": pipeline,
     }
 
@@ -232,4 +238,36 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, coalesce(n, 0) AS n_shingles, min(reached) AS component_id FROM t LEFT JOIN n USING (doc_id) GROUP BY ALL
     """,
+    "op13_phrase_collocations": """
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+            FROM documents
+        ), w AS (
+            SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS words FROM p
+        ), g AS (
+            SELECT lang, m, unnest(list_transform(range(1, len(words) - m + 2), lambda i: array_to_string(words[i:i + m - 1], ' '))) AS phrase
+            FROM w, (VALUES (1), (2), (3), (4)) t(m) WHERE len(words) >= m
+        ), t AS (
+            SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang
+        ), f AS (
+            SELECT lang, m, phrase, count(*) AS f, string_split(phrase, ' ') AS words FROM g GROUP BY ALL HAVING count(*) >= 30
+        ), k AS (
+            SELECT lang, m, phrase, words, f, unnest(range(1, m)) AS k FROM f WHERE m >= 2
+        ), c AS (
+            SELECT k.lang, k.phrase, k.f AS a, k.k, x.f AS l, y.f AS r, (2000000::HUGEINT * k.f // (x.f + y.f))::BIGINT AS score
+            FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.words[1:k.k], ' ')
+            JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.words[k.k + 1:], ' ')
+        ), s AS (
+            SELECT lang, phrase, a, l, r, score FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+        ), o AS (
+            SELECT lang, array_to_string(words[i:i + z - 1], ' ') AS phrase, max(f) AS f
+            FROM (SELECT *, unnest(range(1, m - z + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS z FROM f WHERE m >= 3)) GROUP BY ALL
+        ), b AS (
+            SELECT s.lang, s.phrase, a, l, r, score FROM s LEFT JOIN o ON o.lang = s.lang AND o.phrase = s.phrase WHERE o.f IS NULL OR 100 * o.f < 80 * a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM b JOIN t USING (lang) QUALIFY rank <= 2000
+    """,
 }
