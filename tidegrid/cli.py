@@ -19,8 +19,7 @@ from .plans import media
 from .plans import merge as merges
 from .plans import validate as validations
 from .sinks.writers import copy_document, copy_files, prepare, publish, write_document, write_episode_files, write_wide
-from .sources import readers, schemas
-from .sources.arrays import ChunkedArraySource, describe
+from .sources import arrays, readers, schemas
 
 # fixed values: places of a dataset's parts
 INFO, EPISODE_LOG, IMAGES = "meta/info.json", "meta/episodes.jsonl", {"image": "image/front", "wrist_image": "image/wrist"}
@@ -30,21 +29,23 @@ EVENT_LOGS = ("raw/command_events.jsonl", "raw/robot_state_events.jsonl", "raw/v
 def open_store(spark: SparkSession, root: str, info: dict, side: str) -> tuple[DataFrame, str] | None:
     """A side's vectors and their type: a chunked array store, or a table with a side column; None if absent."""
     path = readers.storage_path(root, info, f"tactile_{side}_zarr", f"tactile/tactile_{side}/data.zarr")
-    if readers.exists(spark, f"{path}/.zarray"):
-        spark.dataSource.register(ChunkedArraySource)
-        kind = describe(path)["dtype"]
-        return spark.read.format("chunked_array").load(path), {"<f4": "float32", "|u1": "uint8"}.get(kind, kind)
-    if readers.exists(spark, path):
-        return spark.read.parquet(path).select("store_index", "data"), "float32"
-    return None
+    if not readers.exists(spark, path):
+        return None
+    if arrays.find_format(path) is not None:
+        return arrays.read_array(spark, path), arrays.describe(path).dtype.name
+    return spark.read.parquet(path).select("store_index", "data"), "float32"
 
 
-def _stores(spark: SparkSession, root: str, info: dict) -> dict[str, DataFrame]:
+def _kinds(spark: SparkSession, root: str, info: dict) -> dict[str, tuple[DataFrame, str]]:
     found = {s: open_store(spark, root, info, s) for s in schemas.SIDES}
     absent = [s for s, x in found.items() if x is None]
     if absent:
         raise FileNotFoundError(f"{root}: no store for {absent}")
-    return {s: x[0] for s, x in found.items()}
+    return found
+
+
+def _stores(spark: SparkSession, root: str, info: dict) -> dict[str, DataFrame]:
+    return {s: x[0] for s, x in _kinds(spark, root, info).items()}
 
 
 def check_dataset(spark: SparkSession, root: str, sample_images: int = 5) -> DataFrame:
@@ -80,7 +81,11 @@ def merge_datasets(spark: SparkSession, roots: list[str], out_root: str, overwri
     """Writes the merged dataset, with its images, stores, metadata and logs; returns totals and each source's part."""
     infos = [readers.read_json(spark, f"{r}/{INFO}") for r in roots]
     sources = [readers.read_episodes(spark, r, fallback=False).drop("row") for r in roots]
-    rows, stores = merges.merge(sources, [_stores(spark, r, i) for r, i in zip(roots, infos, strict=True)], infos)
+    found = [_kinds(spark, r, i) for r, i in zip(roots, infos, strict=True)]
+    types = {s: {f[s][1] for f in found} for s in schemas.SIDES}
+    if mixed := [s for s, t in types.items() if len(t) > 1]:
+        raise ValueError(f"stores of {mixed} differ in type: {types}")
+    rows, stores = merges.merge(sources, [{s: x[0] for s, x in f.items()} for f in found], infos)
     storage = infos[0].get("storage") or {}
     folders = {camera: storage.get(f"{camera}_dir", place) for camera, place in IMAGES.items()}
     sensors = {s: f"tactile/tactile_{s}" for s in schemas.SIDES}
@@ -96,7 +101,8 @@ def merge_datasets(spark: SparkSession, roots: list[str], out_root: str, overwri
             logs = [_log_by(spark, f"{r}/{folder}/index.jsonl", schemas.IMAGE_LOG, "path") for r in roots]
             merges.image_log(rows, logs, camera).write.option("ignoreNullFields", "false").json(f"{root}/{folder}/index.jsonl")
         for side, place in sensors.items():
-            stores[side].repartitionByRange("store_index").sortWithinPartitions("store_index").write.parquet(f"{root}/{place}/data.zarr")
+            first = found[0][side][0].first()
+            arrays.write_array(stores[side], f"{root}/{place}/data.zarr", len(first["data"]) if first else 1, *types[side])
             logs = [_log_by(spark, f"{r}/{place}/meta.jsonl", schemas.METADATA_LOG, "zarr_index") for r in roots]
             merges.sensor_log(rows, logs, side, f"{place}/data.zarr").write.option("ignoreNullFields", "false").json(f"{root}/{place}/meta.jsonl")
         named = F.element_at(F.array(*[F.lit(r) for r in roots]), F.col("source") + 1)

@@ -125,27 +125,6 @@ def write_task_file(spark: SparkSession, path: str, tasks: list[str]) -> None:
     _write_bytes(spark, path, made.getvalue())
 
 
-def append_store(df: DataFrame, path: str, dim: int) -> int:
-    """Appends vectors ``(side, n, data)`` after the store's last index of their side, in the order of n.
-
-    Returns the number of rows.  Vectors of another size are an error.
-    """
-    spark = df.sparkSession
-    if df.where(F.coalesce(F.size("data") != dim, F.lit(True))).limit(1).count():
-        raise ValueError(f"a vector does not have {dim} values")
-    start = spark.read.parquet(path).groupBy("side").agg((F.max("store_index") + 1).alias("start")) if exists(spark, path) else spark.createDataFrame([], "side string, start long")
-    # two sides at most, so the starts are broadcast
-    placed = df.join(F.broadcast(start), "side", "left").withColumn("store_index", F.coalesce("start", F.lit(0)) + F.col("n"))
-    placed.select("side", "store_index", "data").write.mode("append").parquet(path)
-    return df.count()
-
-
-def truncate_store(spark: SparkSession, path: str, rows: int) -> None:
-    """Keeps indices below ``rows``: the store is written anew and put in place at once."""
-    kept = spark.read.parquet(path).where(F.col("store_index") < rows)
-    publish(spark, path, lambda draft: kept.write.parquet(draft), overwrite=True)
-
-
 def write_episode_files(df: DataFrame, folder: str) -> int:
     """A file ``episode_<number>.parquet`` for each episode, written in one pass and then renamed; their number."""
     spark = df.sparkSession
