@@ -5,12 +5,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tests.images import PLAIN
 from tests.test_plans import raw_rows
 from tidegrid import cli
 from tidegrid.sources import readers, schemas
 
-HEAD = bytes.fromhex("89504E470D0A1A0A") + (13).to_bytes(4, "big") + b"IHDR" + (6).to_bytes(4, "big") + (4).to_bytes(4, "big") + bytes([8, 2, 0, 0, 0])
-
 
 def dataset(spark, root, episodes=((0, 4), (1, 3))):
     """A sound raw dataset on disk."""
@@ -32,7 +31,7 @@ def dataset(spark, root, episodes=((0, 4), (1, 3))):
     for camera, letter in (("front", "i"), ("wrist", "w")):
         (root / "image" / camera).mkdir(parents=True)
         for i in range(n):
-            (root / "image" / camera / f"{letter}{i}.png").write_bytes(HEAD)
+            (root / "image" / camera / f"{letter}{i}.png").write_bytes(PLAIN)
     return str(root)
 
 
@@ -56,7 +55,7 @@ def test_merge_export_validate_inspect_csv(spark, tmp_path, capsys):
         cli.merge_datasets(spark, [a, b], merged)
     assert cli.check_dataset(spark, merged).collect() == []
     assert sorted(p.name for p in (tmp_path / "m/data/episodes").glob("*.parquet")) == [f"episode_{i:06d}.parquet" for i in range(3)]
-    assert (tmp_path / "m/image/wrist/episode_000002/frame_000001.png").read_bytes() == HEAD and (tmp_path / "m/meta/config.yaml").exists()
+    assert (tmp_path / "m/image/wrist/episode_000002/frame_000001.png").read_bytes() == PLAIN and (tmp_path / "m/meta/config.yaml").exists()
     meta = readers.read_log_by(spark, f"{merged}/tactile/tactile_left/meta.jsonl", schemas.METADATA_LOG, "zarr_index").orderBy("zarr_index").collect()
     assert [(r["zarr_index"], r["episode_index"], r["frame_index"], r["sensor_id"]) for r in meta][-2:] == [(7, 2, 0, None), (8, 2, 1, "s1")]
     log = spark.read.schema(schemas.EPISODE_LOG).json(f"{merged}/meta/episodes.jsonl").orderBy("episode_index").collect()

@@ -31,6 +31,16 @@ def test_systematic_samples():
     assert sequences.systematic(10, 3) == [0, 4, 9] and sequences.systematic(0, 3) == []
 
 
+def test_sampled_rows_are_those_at_the_places(spark):
+    for n, parts in ((0, 2), (1, 3), (10, 4), (23, 5)):
+        df = spark.range(n).repartition(parts)
+        order = [r["id"] for r in df.collect()]
+        for k in (1, 3, 5):
+            for ends in (True, False):
+                got = [r["id"] for r in sequences.sampled_rows(df, k, ends).collect()]
+                assert got == [order[i] for i in sequences.systematic(n, k, ends)]
+
+
 def test_ranges_join_alike_for_any_block(spark):
     """Uneven, overlapping, empty, reversed and null ranges, against a plain loop."""
     ranges = [(i, i * 10, i * 10 + 7) for i in range(12)] + [(20, 5, 95), (21, 40, 40), (22, 60, 50), (23, None, 9), (24, 3, None), (25, -30, 4), (26, 117, 118)]

@@ -235,13 +235,6 @@ def test_logs_images_arrays_and_stores(spark, tmp_path):
     log.write_text('{"k": 1, "v": "a"}\n{"k": 2, "v": "c"}\n{"k": 1, "v": "b"}\n')
     assert sorted(tuple(r) for r in readers.read_log_by(spark, str(log), "k long, v string", "k").collect()) == [(1, "b"), (2, "c")]
 
-    head = bytes.fromhex("89504E470D0A1A0A") + (13).to_bytes(4, "big") + b"IHDR" + (640).to_bytes(4, "big") + (480).to_bytes(4, "big") + bytes([8, 2, 0, 0, 0])
-    (tmp_path / "img").mkdir()
-    (tmp_path / "img" / "a.png").write_bytes(head)
-    (tmp_path / "img" / "b.png").write_bytes(b"nothing")
-    images = {r["path"][-5:]: r for r in readers.read_images(spark, str(tmp_path / "img")).collect()}
-    assert (images["a.png"]["width"], images["a.png"]["height"], images["a.png"]["rgb8"]) == (640, 480, True) and not images["b.png"]["png"]
-
     path = str(tmp_path / "store")
     spark.range(4).write.parquet(path)
 

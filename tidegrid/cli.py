@@ -20,6 +20,7 @@ from .plans import merge as merges
 from .plans import validate as validations
 from .sinks.writers import copy_document, copy_files, prepare, publish, write_document, write_episode_files, write_wide
 from .sources import arrays, readers, schemas
+from .sources.images import list_images
 
 # fixed values: places of a dataset's parts
 INFO, EPISODE_LOG, IMAGES = "meta/info.json", "meta/episodes.jsonl", {"image": "image/front", "wrist_image": "image/wrist"}
@@ -64,7 +65,7 @@ def check_dataset(spark: SparkSession, root: str, sample_images: int = 5) -> Dat
         where = readers.storage_path(root, info, f"{camera}_dir", place)
         if readers.exists(spark, where) and not missing_columns(master, [f"{camera}.path", f"{camera}.height", f"{camera}.width"]):
             base = F.regexp_replace("path", "^file:/+", "/")
-            images[camera] = readers.read_images(spark, where).withColumn("path", base)
+            images[camera] = list_images(spark, where).withColumn("path", base)
             master = master.withColumn(f"{camera}.path", F.when(c(f"{camera}.path").startswith("/"), c(f"{camera}.path")).otherwise(F.concat(F.lit(f"{root.rstrip('/')}/"), c(f"{camera}.path"))))
     stores = {s: x for s in schemas.SIDES if (x := open_store(spark, root, info, s)) is not None}
     found = checks.check(master, info, entries, files, images, stores, sample_images)

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_finite
+from ..sources.durable import saved
 
 
 def _running(by: list[str], order: list) -> W:
@@ -60,19 +61,20 @@ def reindex(df: DataFrame, groups: list[str], order: list, names: tuple[str, str
     return joined.withColumn(index, F.col("start__") + F.col(frame)).drop("n__", "start__")
 
 
-def numbered(counts: DataFrame, order: list[str], size: str, number: str, start: str, buckets: int = 64) -> DataFrame:
+def numbered(counts: DataFrame, order: list[str], size: str, number: str, start: str, buckets: int | None = None) -> DataFrame:
     """``counts`` with each row's number and the sum of earlier sizes, in order.
 
-    The rows are range-partitioned; partitions' totals, one row each, give the offsets.
+    The rows are range-partitioned, and written, so that all who read them see one partitioning; partitions' totals,
+    one row each, give the offsets.
     """
-    part = counts.repartitionByRange(buckets, *order).withColumn("part__", F.spark_partition_id())
-    part = part.persist()
+    buckets = buckets or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = saved(counts.repartitionByRange(buckets, *order).withColumn("part__", F.spark_partition_id()), "numbered")
     run = W.partitionBy("part__").orderBy(*order)
     before = run.rowsBetween(W.unboundedPreceding, -1)
     local = part.withColumns({"i__": F.row_number().over(run).cast("long") - 1, "s__": F.coalesce(F.sum(size).over(before), F.lit(0))})
     totals = part.groupBy("part__").agg(F.count("*").alias("rows__"), F.sum(size).alias("sum__"))
     earlier = W.orderBy("part__").rowsBetween(W.unboundedPreceding, -1)
-    # a row for each of the partitions, of which there are ``buckets``
+    # a row for each of the partitions
     totals = totals.withColumns({"i0__": F.coalesce(F.sum("rows__").over(earlier), F.lit(0)), "s0__": F.coalesce(F.sum("sum__").over(earlier), F.lit(0))}).drop("rows__", "sum__")
     joined = local.join(F.broadcast(totals), "part__")
     return joined.withColumns({number: F.col("i0__") + F.col("i__"), start: F.col("s0__") + F.col("s__")}).drop("part__", "i__", "s__", "i0__", "s0__")
@@ -140,3 +142,16 @@ def systematic(n: int, k: int, ends: bool = True) -> list[int]:
         return []
     spread = {int(i * (n - 1) / (k - 1)) for i in range(k)} if k > 1 else {0} if k == 1 else set()
     return sorted(spread | ({0, n - 1} if ends else set()))
+
+
+def sampled_rows(df: DataFrame, k: int, ends: bool = True) -> DataFrame:
+    """The rows of ``df`` at the places of an even sample, in the order in which it is read.
+
+    A first pass counts each partition's rows, a second one keeps the chosen; nothing is shuffled.
+    """
+    counts = dict(df.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect())  # a row for each partition
+    wanted, ids, before = systematic(sum(counts.values()), k, ends), [], 0
+    for part in sorted(counts):
+        ids += [(part << 33) + i - before for i in wanted if before <= i < before + counts[part]]
+        before += counts[part]
+    return df.where(F.monotonically_increasing_id().isin(ids))

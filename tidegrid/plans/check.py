@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import profiles
 from ..functions.columns import c, to_number, vector_problem
 from ..operators.lookups import missing_columns, reconcile, unmatched
-from ..operators.sequences import contiguity, systematic
+from ..operators.sequences import contiguity, sampled_rows
+from ..sources.images import probe_images, read_pixels
 from ..sources.schemas import REQUIRED, SIDES, VECTORS
 
 _SCHEMA = "rule string, level string, count long, example string"
@@ -67,16 +68,27 @@ def check_log(master: DataFrame, log: DataFrame, files: DataFrame) -> list[DataF
 
 
 def check_images(master: DataFrame, images: DataFrame, camera: str, sample: int = 5) -> list[DataFrame]:
-    """Every image exists; sampled ones are 8-bit RGB of the recorded size."""
+    """Every image exists; sampled ones are 8-bit RGB of the recorded size and have all their pixels.
+
+    ``images`` lists paths, for which no file is opened; headers are read of the sampled ones, unless
+    the list has them.  Rows are sampled by their place, whatever ``index`` holds.
+    """
     paths = master.select(c(f"{camera}.path").alias("wanted"), c(f"{camera}.height").alias("h"), c(f"{camera}.width").alias("w"), "index")
     absent = unmatched(paths.where("wanted is not null"), images.select(F.col("path").alias("store_index")), "wanted")
-    chosen = systematic(master.count(), sample)
-    some = paths.where(F.col("index").isin(chosen)).join(images, F.col("wanted") == F.col("path"))
+    some = sampled_rows(paths, sample).select("wanted", "h", "w")
+    if "rgb8" in images.columns:
+        found, broken = some.join(images, F.col("wanted") == F.col("path")), []
+    else:
+        known = some.join(images.select("path"), F.col("wanted") == F.col("path")).select("wanted", "h", "w")
+        found = known.join(probe_images(known, "wanted"), F.col("wanted") == F.col("path"))
+        pixels = read_pixels(found.where("format = 'png' AND rgb8").select("wanted"), "wanted")
+        broken = [_found(pixels, f"{camera} pixels", F.col("problem").isNotNull(), F.concat_ws(": ", "path", "problem"))]
     return [
         _found(paths, f"{camera} path", F.col("wanted").isNull(), F.col("index")),
         _found(absent, f"{camera} missing", F.lit(True), F.col("wanted")),
-        _found(some, f"{camera} format", ~F.coalesce("rgb8", F.lit(False)), F.col("path")),
-        _found(some, f"{camera} size", (F.col("height") != F.col("h")) | (F.col("width") != F.col("w")), F.col("path")),
+        _found(found, f"{camera} format", ~F.coalesce("rgb8", F.lit(False)), F.col("path")),
+        _found(found, f"{camera} size", (F.col("height") != F.col("h")) | (F.col("width") != F.col("w")), F.col("path")),
+        *broken,
     ]
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lookups import keep_last
+from .lines import read_numbered
 
 
 def _path(spark: SparkSession, path: str):
@@ -83,28 +84,18 @@ def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_log_tolerant(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Lines of JSON as ``value``, with their ``line`` from 1 and ``error``, the text of a malformed one."""
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split("value", "\n")).alias("pos", "text")).where(F.trim("text") != "")
+    lines = read_numbered(spark, path).where(F.trim("text") != "")
     parsed = F.from_json("text", f"{schema}, `_bad` string", {"columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
-    out = lines.select((F.col("pos") + 1).alias("line"), "text", parsed.alias("value"))
+    out = lines.select("line", "text", parsed.alias("value"))
     bad = F.col("value").isNull() | F.col("value._bad").isNotNull()
     return out.select("line", F.when(~bad, F.col("value").dropFields("_bad")).alias("value"), F.when(bad, F.col("text")).alias("error"))
 
 
 def read_log_by(spark: SparkSession, path: str, schema: str, key: str) -> DataFrame:
-    """One row for each key of a log: the last."""
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "text")).where(F.trim("text") != "")
-    rows = whole.select("line", F.from_json("text", schema, {"mode": "FAILFAST"}).alias("v")).select("line", "v.*")
-    return keep_last(rows, [key], "line").drop("line")
-
-
-def read_images(spark: SparkSession, pattern: str) -> DataFrame:
-    """Path, size in bytes, and width, height and whether it is 8-bit RGB, from each PNG's header."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.png").load(pattern)
-    number = lambda at: F.conv(F.hex(F.substring("content", at, 4)), 16, 10).cast("long")
-    png = F.hex(F.substring("content", 1, 8)) == "89504E470D0A1A0A"
-    kind = F.hex(F.substring("content", 25, 2))
-    return files.select("path", "length", png.alias("png"), F.when(png, number(17)).alias("width"), F.when(png, number(21)).alias("height"), F.when(png, kind == "0802").alias("rgb8"))
+    """One row for each key of a log: the last, over all files in the order of their names if it is a folder."""
+    lines = read_numbered(spark, path).where(F.trim("text") != "")
+    rows = lines.select("place", F.from_json("text", schema, {"mode": "FAILFAST"}).alias("v")).select(F.col("place").alias("place__"), "v.*")
+    return keep_last(rows, [key], "place__").drop("place__")
 
 
 #: Older names of settings that stand in for newer ones.
