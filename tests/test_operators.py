@@ -53,6 +53,43 @@ def test_ranges_join_alike_for_any_block(spark):
         assert sorted((x["i"], x["e"]) for x in got) == want
 
 
+def test_exact_order_equals_sorting(spark):
+    rng = np.random.default_rng(4)
+    kinds = [rng.normal(size=3000), np.repeat([1.0, 2.0], [1500, 1500]), np.repeat([0.0, 5.0, 5.5], [2990, 5, 5]), rng.integers(0, 7, 3000) * 1.0, np.exp(rng.normal(size=3000) * 80), np.zeros(3000)]
+    df = spark.createDataFrame([[None if i == 7 else float(k[i]) for k in kinds] for i in range(3000)], ", ".join(f"x{j} double" for j in range(len(kinds))))
+    ordered = [np.sort(np.delete(k, 7)) for k in kinds]
+    asks = [(F.col(f"x{j}"), r) for j in range(len(kinds)) for r in (0, 1, 1498, 1499, 1500, 2988, 2998)]
+    want = [float(ordered[j][r]) for j in range(len(kinds)) for r in (0, 1, 1498, 1499, 1500, 2988, 2998)]
+    for few, accuracy in ((10_000, 1000), (40, 50), (1, 20)):
+        assert statistics.exact_order(df, asks, few, accuracy) == want
+
+
+def test_distinct_indices_in_and_out_of_range(spark):
+    values = [0.0, 0.0, 5.0, 5.5, 5.5, -1.0, 9.0, 32768.0, 32767.0, 40000.0, 1e15, 1e15, None]
+    df = spark.createDataFrame([(v,) for v in values], "n double")
+    for size in (0, 6, 32768, 10**16):
+        assert statistics.distinct_indices(df, F.col("n"), F.lit(size)).first()[0] == 9
+    for rows, good in (([], True), ([0, 1, 2], True), ([0, 1, 1], False), ([1, 2, 3], False), ([0, 2, None], False), (list(range(40_000)), True)):
+        got = sequences.globally_contiguous(spark.createDataFrame([(r,) for r in rows], "i long"), "i").first()
+        assert (got["rows"], got["indices"], got["contiguous"]) == (len(rows), len({r for r in rows if r is not None}), good)
+
+
+def test_a_cursor_over_spans_equals_a_plain_loop(spark):
+    rng = np.random.default_rng(2)
+    lengths = {s: [None if x == 0 and s == "b" else int(x) for x in rng.integers(0, 9, 12)] for s in "ab"}
+    segments = spark.createDataFrame([(s, i, n) for s, own in lengths.items() for i, n in enumerate(own)], "source string, part long, length long")
+    rows = spark.createDataFrame([(s, i, f"{s}{i}", 1) for s in "abc" for i in range(-1, 60) if i % 7], "source string, ordinal long, name string, part long")
+    want = []
+    for s, own in lengths.items():
+        at = 0
+        for i, n in enumerate(own):
+            want += [(s, i, n, k, f"{s}{at + k}") for k in range(n or 0) if (at + k) % 7 and at + k < 60]
+            at += n or 0
+    for span in (1, 4, 1 << 16):
+        got = lookups.by_cursor(segments, rows, "source", "part", "length", "ordinal", span).select("source", "part", "length", "position", "name").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_statistics_skip_null_and_nan(spark):
     df = spark.createDataFrame([(1.0,), (-3.0,), (float("nan"),), (None,)], "`sync.dt` double")
     r = statistics.column_stats(df, ["sync.dt", "absent"]).collect()

@@ -64,17 +64,32 @@ def by_position(left: DataFrame, right: DataFrame, by: list[str], order_left: li
     return place(left, order_left).join(place(right, order_right), [*by, "position"], "full")
 
 
-def by_cursor(segments: DataFrame, rows: DataFrame, source: str, order: str, length: str, ordinal: str) -> DataFrame:
-    """Rows of a source in the segments that use it up one after the other.
+#: Ordinals that one task merges.
+SPAN = 1 << 16
 
-    ``segments`` has the source, an order and a length; ``rows`` the source and an ordinal from 0.
+
+def by_cursor(segments: DataFrame, rows: DataFrame, source: str, order: str, length: str, ordinal: str, span: int = SPAN) -> DataFrame:
+    """Rows of a source in the segments that use it up one after the other, with their ``position`` in it.
+
+    ``segments`` has the source, an order and a length; ``rows`` the source and an ordinal from 0.  Segments are intervals
+    of ordinals, so both sides are merged in order: the latest segment that has begun is a row's, if it has not
+    ended.  They meet in spans of ordinals, so that a source with many rows spreads over tasks, and a segment
+    is listed once for each span that it touches.  Segments of no or null length hold nothing.
     """
     before = W.partitionBy(source).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    spans = segments.withColumn("first__", F.coalesce(F.sum(length).over(before), F.lit(0)))
-    spans = spans.withColumn("ordinals__", F.expr(f"if({length} > 0, sequence(first__, first__ + {length} - 1), array())"))
-    listed = spans.select("*", F.posexplode("ordinals__").alias("position", "ordinal__")).drop("ordinals__", "first__")
-    right = rows.withColumnRenamed(source, "source__")
-    return listed.join(right, (listed[source] == right["source__"]) & (listed["ordinal__"] == right[ordinal])).drop("source__", "ordinal__")
+    held = F.greatest(F.coalesce(F.col(length), F.lit(0)), F.lit(0)).cast("long")
+    begun = segments.withColumns({"held__": held}).withColumn("first__", F.coalesce(F.sum("held__").over(before), F.lit(0))).where("held__ > 0")
+    number = lambda x: F.floor(x / span).cast("long")
+    listed = begun.withColumn("span__", F.explode(F.sequence(number(F.col("first__")), number(F.col("first__") + F.col("held__") - 1))))
+    own = F.struct(F.col("first__").alias("first"), F.col("held__").alias("held"), F.struct(*[F.col(f"`{n}`") for n in segments.columns]).alias("s")).alias("segment__")
+    left = listed.select(F.col(source).alias("source__"), "span__", F.greatest(F.col("first__"), F.col("span__") * span).alias("at__"), own, F.lit(None).cast("boolean").alias("none__"))
+    others = [n for n in rows.columns if n != source]
+    right = rows.where(F.col(ordinal) >= 0).select(F.col(source).alias("source__"), number(F.col(ordinal)).alias("span__"), F.col(ordinal).cast("long").alias("at__"), F.struct(*[F.col(f"`{n}`") for n in others]).alias("row__"))
+    both = left.drop("none__").unionByName(right, allowMissingColumns=True)
+    latest = F.last("segment__", True).over(W.partitionBy("source__", "span__").orderBy("at__", F.col("row__").isNotNull()).rowsBetween(W.unboundedPreceding, 0))
+    met = both.withColumn("segment__", latest).where(F.col("row__").isNotNull() & (F.col("at__") < F.col("segment__.first") + F.col("segment__.held")))
+    position = (F.col("at__") - F.col("segment__.first")).cast("int").alias("position")
+    return met.select(*[F.col(f"segment__.s.`{n}`").alias(n) for n in segments.columns], position, *[F.col(f"row__.`{n}`").alias(n) for n in others if n not in segments.columns])
 
 
 def assemble(df: DataFrame, by: list[str], part: str, parts: list[str], value: str, order: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import is_finite
 from ..sources.durable import saved
+from .statistics import distinct_indices
 
 
 def _running(by: list[str], order: list) -> W:
@@ -41,10 +42,11 @@ def contiguity(df: DataFrame, by: list[str], index: str, order: list | None = No
 
 def globally_contiguous(df: DataFrame, index: str) -> DataFrame:
     """One row: rows, least, greatest and distinct indices, and whether they are 0 .. rows-1."""
-    n = F.count("*")
-    low, high, distinct = F.min(index), F.max(index), F.count_distinct(index)
-    good = F.when(n == 0, True).otherwise((low == 0) & (high == n - 1) & (distinct == n))
-    return df.agg(n.alias("rows"), low.alias("first"), high.alias("last"), distinct.alias("indices"), good.alias("contiguous"))
+    told = df.agg(F.count("*").alias("rows"), F.min(index).alias("first"), F.max(index).alias("last"))
+    sized = df.select(F.col(index).alias("n")).crossJoin(F.broadcast(told.select(F.col("rows").alias("size"))))  # by one row
+    both = told.crossJoin(distinct_indices(sized, F.col("n"), F.col("size")).withColumnRenamed("distinct", "indices"))  # one row by one row
+    good = F.when(F.col("rows") == 0, True).otherwise((F.col("first") == 0) & (F.col("last") == F.col("rows") - 1) & (F.col("indices") == F.col("rows")))
+    return both.select("rows", "first", "last", "indices", good.alias("contiguous"))
 
 
 def reindex(df: DataFrame, groups: list[str], order: list, names: tuple[str, str, str] = ("index", "episode_index", "frame_index")) -> DataFrame:
