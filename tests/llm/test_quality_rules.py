@@ -47,6 +47,26 @@ def test_fences_follow_the_group(spark):
     assert kept == {5000: False, 5001: True}
 
 
+def test_verdicts_follow_the_tails_of_two_groups(spark):
+    """One rate of marks, within the tail of one source and beyond that of the other; no cutoff is common to both."""
+    text = lambda marks, i: " ".join(f"word{j}" + "#" * (j < marks) for j in range(100)) + f" {i}"
+    rows = [(i, text(i % 6, i), "en", "low") for i in range(200)] + [(1000 + i, text(10 * (i % 6), i), "en", "high") for i in range(200)]
+    for k, marks in enumerate((4, 15, 30, 90)):
+        rows += [(5000 + k, text(marks, k), "en", "low"), (6000 + k, text(marks, k), "en", "high")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(df).where(F.col("doc_id") >= 5000).collect()}
+    assert [kept[5000 + k] for k in range(4)] == [True, True, False, False] and all(kept[6000 + k] for k in range(4))
+
+
+def test_few_events_and_groups_of_copies_do_not_reject(spark):
+    """A repeated line in a short text is no pattern; a source of copies does not reject what differs a little."""
+    plain = lambda i: " ".join(f"word{(i * 7 + j) % 90}" for j in range(60))
+    rows = [(i, plain(1), "en", "copies") for i in range(300)] + [(500 + i, plain(i), "en", "copies") for i in range(20)]
+    rows += [(900, "a line that comes again\n" * 2 + plain(3), "en", "copies"), (901, plain(4) + " #!", "en", "copies")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [r["doc_id"] for r in quality_rules.judge(df).collect() if not r["kept"]] == []
+
+
 def test_rows_that_share_an_id_are_judged_each(spark):
     good, rows = " ".join(f"word{i}" for i in range(60)), []
     rows = [(1, good), (1, "bad"), (None, "bad"), (None, good)]

@@ -6,8 +6,10 @@ bucket, a bucket being a value without its low bits, so that its error stays und
 ``2**(PRECISION-1)``.  Sketches merge by adding counts, give the same result in any order of
 merging, and stay small whatever the input; a group's sketches also merge into those
 of its language and of everything, which stand in where a group has few documents.  A rate's
-fences lie a multiple of the interquartile range, or of a least range where that is wider, beyond
-the quartiles.  They are joined to the documents to filter them.
+fences lie a multiple of the group's spread beyond the quartiles: of the interquartile range or, where the quartiles are
+one value, as in rates that are mostly 0, of the mean distance from it.  There are no fixed cutoffs: what is
+rejected in one group may be usual in another.  They are joined to the documents to filter them.  A rate above its fence fails a
+text only if it comes of ``EVENTS`` or more events, as one mark in a short text makes a high rate by chance.
 
 Only DataFrame and SQL functions are used.  Null text has no words, and so fails the
 base rule; null language or source is a group of its own.  Rows that repeat are
@@ -26,10 +28,12 @@ from .common import saved, small_side
 PRECISION = 7
 #: Documents that a group needs for fences of its own.
 LEAST_GROUP = 100
-#: Interquartile ranges between a quartile and its fence.
-REACH = 3
-#: Per rate: the least interquartile range that is assumed, and whether low values fail too.
-RATES = {"word_length": (600, True), "symbols": (300, False), "dup_lines": (200, False), "repeats": (80, False), "capitals": (400, False), "shouts": (300, False)}
+#: Spreads between a quartile and its fence.
+REACH = 5
+#: Events that a high rate takes to count.
+EVENTS = 10
+#: Per rate: what counts its events and how many of that are one, if it has any; and whether low values fail too.
+RATES = {"word_length": (None, 1, True), "symbols": ("n_symbols", 1, False), "dup_lines": ("n_dup_lines", 1, False), "repeats": ("n_repeat_words", 16, False), "capitals": ("n_capitals", 1, False), "shouts": ("n_shouts", 1, False)}
 
 _SPACE = r"[\\x20\\x09-\\x0D]"
 _WORD = r"[^\\x20\\x09-\\x0D]"
@@ -119,10 +123,14 @@ def fences(counted: DataFrame) -> DataFrame:
     run = W.partitionBy(*group).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
     merged = merged.withColumns({"upto": F.sum("n").over(run), "total": F.sum("n").over(W.partitionBy(*group))})
     at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("bucket")))
-    quartiles = merged.groupBy(*group).agg(at(1).alias("q1"), at(3).alias("q3"), F.max("total").alias("total"))
-    floor = F.create_map(*[x for r, (least, _) in RATES.items() for x in (F.lit(r), F.lit(least))])
-    both = F.create_map(*[x for r, (_, low) in RATES.items() for x in (F.lit(r), F.lit(low))])
-    gap = F.greatest(F.col("q3") - F.col("q1"), floor[F.col("rate")]) * REACH
+    whole = W.partitionBy(*group)
+    merged = merged.withColumns({"q1": at(1).over(whole), "q3": at(3).over(whole)})
+    apart = F.sum(F.col("n") * F.abs(F.col("bucket") - F.col("q1"))).alias("apart")
+    quartiles = merged.groupBy(*group).agg(F.max("q1").alias("q1"), F.max("q3").alias("q3"), F.max("total").alias("total"), apart)
+    both = F.create_map(*[x for r, (*_, low) in RATES.items() for x in (F.lit(r), F.lit(low))])
+    # in units of the sketch at least, which knows values to a bucket's width only
+    spread = F.when(F.col("q3") > F.col("q1"), REACH * (F.col("q3") - F.col("q1"))).otherwise(F.expr(f"{REACH} * apart div total"))
+    gap = F.greatest(spread, F.expr(f"{REACH} * shiftleft(1L, greatest(length(bin(q3)) - {PRECISION}, 0))"))
     fence = quartiles.select(*group, "total", F.when(both[F.col("rate")], F.col("q1") - gap).alias("low"), (F.col("q3") + gap).alias("high"))
     wide = fence.groupBy("level", "lang", "source").agg(
         F.max("total").alias("total"), *[F.max(F.when(F.col("rate") == r, F.col(b))).alias(f"{r}_{b}") for r in RATES for b in ("low", "high")]
@@ -141,8 +149,9 @@ def fences(counted: DataFrame) -> DataFrame:
 def _judged(counted: DataFrame, limits: DataFrame) -> DataFrame:
     """``counted`` with ``kept``, the verdict by the base rule and the fences of the row's group."""
     within = F.lit(True)
-    for r, (_, low) in RATES.items():
-        within = within & (F.col(r) <= F.col(f"fence.{r}_high"))
+    for r, (events, one, low) in RATES.items():
+        few = F.lit(False) if events is None else F.col(events) < EVENTS * one
+        within = within & (few | (F.col(r) <= F.col(f"fence.{r}_high")))
         if low:
             within = within & (F.col(r) >= F.col(f"fence.{r}_low"))
     joined = counted.join(limits, ["lang", "source"], "left")

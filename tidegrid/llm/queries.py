@@ -155,34 +155,38 @@ ORACLE: dict[str, str] = {
             FROM d JOIN w USING (doc_id) LEFT JOIN r USING (doc_id)
         ), b AS (
             SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-                   [{'rate': 'word_length', 'value': word_chars * 1000 // greatest(n_words, 1), 'least': 600, 'low': true},
-                    {'rate': 'symbols', 'value': n_symbols * 10000 // greatest(n_words, 1), 'least': 300, 'low': false},
-                    {'rate': 'dup_lines', 'value': n_dup_lines * 1000 // greatest(n_lines, 1), 'least': 200, 'low': false},
-                    {'rate': 'repeats', 'value': n_repeat_words * 1000 // greatest(n_words, 1), 'least': 80, 'low': false},
-                    {'rate': 'capitals', 'value': n_capitals * 10000 // greatest(word_chars, 1), 'least': 400, 'low': false},
-                    {'rate': 'shouts', 'value': n_shouts * 10000 // greatest(n_words, 1), 'least': 300, 'low': false}] AS rates
+                   [{'rate': 'word_length', 'value': word_chars * 1000 // greatest(n_words, 1), 'events': 10, 'low': true},
+                    {'rate': 'symbols', 'value': n_symbols * 10000 // greatest(n_words, 1), 'events': n_symbols, 'low': false},
+                    {'rate': 'dup_lines', 'value': n_dup_lines * 1000 // greatest(n_lines, 1), 'events': n_dup_lines, 'low': false},
+                    {'rate': 'repeats', 'value': n_repeat_words * 1000 // greatest(n_words, 1), 'events': n_repeat_words // 16, 'low': false},
+                    {'rate': 'capitals', 'value': n_capitals * 10000 // greatest(word_chars, 1), 'events': n_capitals, 'low': false},
+                    {'rate': 'shouts', 'value': n_shouts * 10000 // greatest(n_words, 1), 'events': n_shouts, 'low': false}] AS rates
             FROM c
         ), v AS (
             SELECT doc_id, lang, source, base_failed, unnest(rates, recursive := true) FROM b
         ), k AS (
             SELECT *, (value >> greatest(length(bin(value)) - 7, 0)) << greatest(length(bin(value)) - 7, 0) AS bucket FROM v WHERE NOT base_failed
         ), s AS (
-            SELECT rate, least, low, lang, source, bucket, count(*) AS n FROM k GROUP BY ALL
-            UNION ALL SELECT rate, least, low, lang, NULL, bucket, count(*) FROM k GROUP BY ALL
-            UNION ALL SELECT rate, least, low, NULL, NULL, bucket, count(*) FROM k GROUP BY ALL
+            SELECT rate, low, lang, source, bucket, count(*) AS n FROM k GROUP BY ALL
+            UNION ALL SELECT rate, low, lang, NULL, bucket, count(*) FROM k GROUP BY ALL
+            UNION ALL SELECT rate, low, NULL, NULL, bucket, count(*) FROM k GROUP BY ALL
         ), u AS (
             SELECT *, sum(n) OVER (PARTITION BY rate, lang, source ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY rate, lang, source) AS total FROM s
         ), q AS (
-            SELECT rate, least, low, lang, source, max(total) AS total,
+            SELECT rate, low, lang, source, max(total) AS total,
                    min(bucket) FILTER (WHERE upto * 4 >= total) AS q1, min(bucket) FILTER (WHERE upto * 4 >= total * 3) AS q3
             FROM u GROUP BY ALL
+        ), a AS (
+            SELECT q.*, (SELECT sum(u.n * abs(u.bucket - q.q1)) FROM u WHERE u.rate = q.rate AND u.lang IS NOT DISTINCT FROM q.lang AND u.source IS NOT DISTINCT FROM q.source) AS apart FROM q
+        ), z AS (
+            SELECT *, greatest(CASE WHEN q3 > q1 THEN 5 * (q3 - q1) ELSE 5 * apart // total END, 5 * (1::BIGINT << greatest(length(bin(q3)) - 7, 0))) AS gap FROM a
         ), f AS (
-            SELECT rate, lang, source, total, CASE WHEN low THEN q1 - 3 * greatest(q3 - q1, least) END AS lowest, q3 + 3 * greatest(q3 - q1, least) AS highest FROM q
+            SELECT rate, lang, source, total, CASE WHEN low THEN q1 - gap END AS lowest, q3 + gap AS highest FROM z
         ), j AS (
             SELECT v.doc_id, bool_and(coalesce(
-                CASE WHEN o.total >= 100 THEN v.value BETWEEN coalesce(o.lowest, 0) AND o.highest
-                     WHEN l.total >= 100 THEN v.value BETWEEN coalesce(l.lowest, 0) AND l.highest
-                     ELSE v.value BETWEEN coalesce(e.lowest, 0) AND e.highest END, true)) AS within
+                CASE WHEN o.total >= 100 THEN v.value >= coalesce(o.lowest, 0) AND (v.events < 10 OR v.value <= o.highest)
+                     WHEN l.total >= 100 THEN v.value >= coalesce(l.lowest, 0) AND (v.events < 10 OR v.value <= l.highest)
+                     ELSE v.value >= coalesce(e.lowest, 0) AND (v.events < 10 OR v.value <= e.highest) END, true)) AS within
             FROM v
             LEFT JOIN f o ON o.rate = v.rate AND o.lang = v.lang AND o.source = v.source
             LEFT JOIN f l ON l.rate = v.rate AND l.lang = v.lang AND l.source IS NULL
@@ -242,7 +246,8 @@ ORACLE: dict[str, str] = {
         WITH p AS (
             SELECT coalesce(lang, 'und') AS lang,
                    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
             FROM documents
         ), w AS (
             SELECT lang, list_filter(regexp_split_to_array(piece, '[ 	]+'), lambda x: x <> '') AS words FROM p
