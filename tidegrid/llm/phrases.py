@@ -4,8 +4,8 @@ Contiguous pattern growth in the manner of PrefixSpan.  A phrase is as frequent
 
 1. words are counted; the frequent ones are known to all tasks by a bitmap of fixed size (``BITS``), which may pass
    others too, but never holds one back;
-2. pairs of such words are counted by hash, for a second such bitmap;
-3. each occurrence of such a pair is a pointer to what follows: up to two more words, as long as pairs pass.  Equal
+2. pairs of such words are counted by hash, for a second such bitmap, and then triples of such pairs, for a third;
+3. each occurrence of such a pair is a pointer to what follows: up to two more words, as long as triples pass.  Equal
    pointers are counted together before they are shuffled, and once more after;
 4. the pointers of a prefix of two words make up its projection, which one task grows to the right, depth first:
    in sorted order the prefixes that are open at any time are one path, so that a projection need not fit in memory.
@@ -79,8 +79,14 @@ class Words:
 
     def pairs(self) -> np.ndarray:
         """Hash of each word with the one after it."""
+        return self._joined(self.code, 1)
+
+    def triples(self, pairs: np.ndarray) -> np.ndarray:
+        return self._joined(pairs, 2)
+
+    def _joined(self, first: np.ndarray, after: int) -> np.ndarray:
         out = np.zeros(len(self.code), dtype=np.uint64)
-        out[:-1] = mix(self.code[:-1] * _U(0xD6E8FEB86659FD93) + self.code[1:])
+        out[:-after] = mix(first[:-after] * _U(0xD6E8FEB86659FD93) + self.code[after:])
         return out
 
     def strings(self, at: np.ndarray) -> pa.Array:
@@ -141,44 +147,60 @@ def _bitmap(positions: DataFrame, bits: int) -> bytes:
     return bytes(out)
 
 
-def _pair_counts(frequent):
+def _passing(words: Words, bitmaps: list[Bitmap]) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """Hashes of pairs; of triples, if there is a bitmap of pairs; and where all bitmaps pass what they are of."""
+    goes = bitmaps[0].passes(words.code)
+    goes[:-1] &= goes[1:]
+    goes &= words.follows
+    pair = words.pairs()
+    if len(bitmaps) == 1:
+        return pair, None, goes
+    goes &= bitmaps[1].passes(pair)
+    return pair, words.triples(pair), goes
+
+
+def _counts(*known):
+    """Of pairs by the bitmap of words, or of triples by those of words and of pairs."""
+
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single = Bitmap(frequent.value)
+        bitmaps = [Bitmap(k.value) for k in known]
         for batch in batches:
             for _, words in _words(batch):
-                known = single.passes(words.code)
-                known[:-1] &= known[1:]
-                pair, n = np.unique(words.pairs()[known & words.follows], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(n.astype(np.int64))], schema=_PAIRS)
+                pair, triple, goes = _passing(words, bitmaps)
+                if triple is not None:
+                    goes[:-1] &= goes[1:]
+                    goes[-1] = False
+                code, n = np.unique((pair if triple is None else triple)[goes], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n.astype(np.int64))], schema=_PAIRS)
 
     return run
 
 
-def _pointers(frequent, pairs, hot, longest: int):
+def _pointers(known, hot, longest: int):
     """Counted pointers: a pair that may be frequent, and the words after it."""
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single, double, crowd = Bitmap(frequent.value), Bitmap(pairs.value), hot.value
+        bitmaps, crowd = [Bitmap(k.value) for k in known], hot.value
         for batch in batches:
             for lang, words in _words(batch):
-                known = single.passes(words.code)
-                known[:-1] &= known[1:]
-                pair = words.pairs()
-                goes = known & words.follows & double.passes(pair)
+                pair, triple, goes = _passing(words, bitmaps)
                 first = np.flatnonzero(goes)
                 if not len(first):
                     continue
+                more = goes & bitmaps[2].passes(triple)
+                more[:-1] &= goes[1:]
+                more[-1] = False
                 _, at, name = np.unique(words.code, return_index=True, return_inverse=True)
                 size = len(at)
                 spelled = words.strings(at)
-                goes = np.concatenate((goes, np.zeros(longest, dtype=bool)))
+                more = np.concatenate((more, np.zeros(longest, dtype=bool)))
                 name = np.concatenate((name, np.zeros(longest, dtype=np.int64)))
                 # the path of names from each pair on; 0 where it has ended
                 open_, path = np.ones(len(first), dtype=bool), [name[first] + 1, name[first + 1] + 1]
                 for k in range(2, longest):
-                    open_ = open_ & goes[first + k - 1]
+                    open_ = open_ & more[first + k - 2]
                     path.append(np.where(open_, name[first + k] + 1, 0))
                 packed = [reduce(lambda x, y: x * (size + 1) + y, path[k : k + 2]) for k in range(0, longest, 2)]
                 order = np.lexsort(packed[::-1])
@@ -253,14 +275,18 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     counted = saved(counted, "words")
     total = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     single = counted.where(F.col("n") >= least)
-    frequent = spark.sparkContext.broadcast(_bitmap(single.select("lang", "word").mapInArrow(_positions(bits), "position long"), bits))
-    pairs = plain.mapInArrow(_pair_counts(frequent), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    pairs = saved(pairs.where(F.col("n") >= least), "pairs")
-    every = pairs.agg(F.sum("n")).first()[0] or 0
-    crowded = pairs.where(F.col("n") * hot > every).select("pair").collect()  # fewer than ``hot`` rows
-    crowd = spark.sparkContext.broadcast(np.sort(np.array([r["pair"] for r in crowded], dtype=np.int64)))
-    double = spark.sparkContext.broadcast(_bitmap(pairs.select((F.col("pair").bitwiseAND(F.lit(bits - 1)) + 1).alias("position")), bits))
-    pointers = plain.mapInArrow(_pointers(frequent, double, crowd, longest), _POINTERS_SQL)
+    share = spark.sparkContext.broadcast
+    known = [share(_bitmap(single.select("lang", "word").mapInArrow(_positions(bits), "position long"), bits))]
+    every, crowd = 0, share(np.zeros(0, dtype=np.int64))
+    for name in ("pairs", "triples"):
+        counts = plain.mapInArrow(_counts(*known), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        counts = saved(counts.where(F.col("n") >= least), name)
+        if name == "pairs":
+            every = counts.agg(F.sum("n")).first()[0] or 0
+            crowded = counts.where(F.col("n") * hot > every).select("pair").collect()  # fewer than ``hot`` rows
+            crowd = share(np.sort(np.array([r["pair"] for r in crowded], dtype=np.int64)))
+        known.append(share(_bitmap(counts.select((F.col("pair").bitwiseAND(F.lit(bits - 1)) + 1).alias("position")), bits)))
+    pointers = plain.mapInArrow(_pointers(known, crowd, longest), _POINTERS_SQL)
     pointers = pointers.groupBy(*_POINTERS.names[:-1]).agg(F.sum("n").alias("n"))
     dealt = pointers.repartition(parts, F.col("lang"), F.col("w1"), F.col("w2"), F.when(F.col("hot"), F.col("w3"))).sortWithinPartitions("lang", "w1", "w2", "w3", "w4")
     grown = dealt.mapInArrow(_grown(least), _GROWN_SQL).groupBy("lang", "phrase", "m").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
