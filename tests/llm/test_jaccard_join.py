@@ -209,3 +209,12 @@ def test_a_column_named_as_the_join_names_its_own(spark):
     docs = table(spark, [(1, "a b c d e f"), (2, "a b c d e f"), (3, "g")]).withColumn("extra__", F.lit(1)).withColumn("extra", F.lit("x"))
     kept = jaccard_join.keep_first(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+
+
+def test_regions_of_many_shingles_are_cut_as_those_of_many_documents(spark, monkeypatch):
+    rows = clusters(5) + clusters(5)[:3]
+    want = brute(rows)
+    for limit in (1, 300, 2000):
+        monkeypatch.setattr(jaccard_join, "REGION_SHINGLES", limit)
+        got = jaccard_join.near_duplicates(table(spark, rows, False)).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want

@@ -4,64 +4,40 @@ from __future__ import annotations
 
 import ctypes
 import functools
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows of a side that may be broadcast, at most, and values in their arrays; beyond it the join shuffles.
-BROADCAST_ROWS, BROADCAST_VALUES = 200_000, 8_000_000
+from ..sources.durable import fresh_path, saved, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, ``spark.checkpoint.dir``.
-
-    Only where that is unset, as in tests on one machine, a temporary folder is chosen and set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    context = spark.sparkContext
-    own = context._jsc.sc().getCheckpointDir()
-    if own.isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidegrid-"))
-        own = context._jsc.sc().getCheckpointDir()
-    return own.get().rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the application ends."""
-    path = f"{shared_dir(spark)}/tidegrid-{name}-{uuid.uuid4().hex}"
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
+#: Rows of a side that may be broadcast, at most, and their bytes; beyond it the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 #: Options of tables of large values: compressed hard, over pages that are long enough to repeat themselves.
 DENSE = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.page.size": str(16 << 20), "parquet.enable.dictionary": "false"}
 
 
-def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """``df`` written to the shared folder and read again.
+def _size(column: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, about."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+            return F.coalesce(F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + _size(x, kind.elementType)), F.lit(0)) + 8
+        return 8 * F.greatest(F.size(column), F.lit(0)) + 8
+    if isinstance(kind, T.StructType):
+        return sum((_size(column[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    return F.lit(8)
 
-    Cuts the lineage with files that outlive any executor.
-    """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
 
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS, array: str | None = None) -> DataFrame:
-    """``df`` marked for broadcast if a count shows few rows, and few values in ``array``; else as it is."""
-    if df.limit(limit + 1).count() > limit:
-        return df
-    if array is not None and (df.agg(F.sum(F.size(array))).first()[0] or 0) > BROADCAST_VALUES:
-        return df
-    return F.broadcast(df)
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if a count shows few rows, of few bytes; else as it is."""
+    each = sum((_size(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(8))
+    rows, size = df.select(each.cast("long").alias("size")).limit(limit + 1).agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return F.broadcast(df) if rows <= limit and size <= BROADCAST_BYTES else df
 
 
 def fold(spark: SparkSession) -> int:
@@ -94,3 +70,6 @@ def tidy_after(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iter
                 pass
 
     return tidied
+
+
+__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "DENSE", "fold", "fresh_path", "saved", "shared_dir", "small_side", "text_bytes", "tidy_after"]

@@ -271,7 +271,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, bytes]]]:
     """Items, of a bounded number and bytes at a time; one empty block if there are none."""
-    wanted = benchmark.select(F.col(item_col).cast("long").alias("item"), text_bytes(text_col).alias("text")).where("item is not null")
+    wanted = benchmark.select(F.col(item_col).cast("long").alias("item"), text_bytes(text_col).alias("text")).where("item is not null").distinct()
     n, size = wanted.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = max(-(-n // ITEMS), -(-size // ITEM_BYTES), 1)
     for b in range(blocks):

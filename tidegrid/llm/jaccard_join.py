@@ -14,7 +14,7 @@ distances to it differ by more than the join's distance cannot link.
 3. A region is joined recursively and exactly.  Its documents go to the Voronoi cells of pivots; windows that follow
    from the triangle inequality copy boundary documents to the cells whose documents they may
    link to; and cells are joined in turn, the smallest by comparing what is not connected yet.
-   Regions of very many documents are cut into cells distributed, with pivots chosen by hash; one that pivots no
+   Regions of very many documents or shingles are cut into cells distributed, with pivots chosen by hash; one that pivots no
    longer shrink is joined exactly by pairs of blocks.
 
 What a link connects already is compared no more, so the result keeps every connection; no group's pairs
@@ -29,7 +29,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, saved, small_side, text_bytes, tidy_after
@@ -37,8 +37,8 @@ from .components import components
 from .groups import changes, key_runs, scan
 from .textbytes import mix, shingles
 
-#: Documents of a region, or of those that share a mark, that one task joins.
-REGION = 2000
+#: Documents of a region, or of those that share a mark, that one task joins, and shingles of all of them.
+REGION, REGION_SHINGLES = 2000, 4_000_000
 #: Documents of the sample that tells frequent shingles, about, and shingles it may name.
 SAMPLE, FREQUENT = 20_000, 100_000
 #: Pivots of a round on a larger region, and of a task's region; documents of a cell that is cut no further.
@@ -416,21 +416,32 @@ def _large_regions(rows: DataFrame, percent: int, region_docs: int) -> tuple[lis
         kept = near.join(small_side(saved(cells, "cells"), 10_000), "region").withColumn("c", F.explode(F.filter("cells", belongs)))
         side = F.when((F.col("side") == 0) & (F.col("home") == F.col("c.cell")), 0).otherwise(1).cast("int")
         after = saved(kept.select(F.xxhash64("region", "c.cell").alias("region"), "doc", side.alias("side"), "shingles"), "regions")
-        size = saved(after.groupBy("region").agg(F.count("*").alias("size")), "sizes")
-        large = size.agg(F.coalesce(F.sum(F.when(F.col("size") > region_docs, F.col("size"))), F.lit(0))).first()[0]
+        size = saved(_sizes(after), "sizes")
+        large = size.agg(F.coalesce(F.sum(F.when(_much(region_docs), F.col("size"))), F.lit(0))).first()[0]
         if large > 0.9 * before:
             # pivots tell nothing apart here
-            size = saved(rows.groupBy("region").agg(F.count("*").alias("size")), "sizes")
+            size = saved(_sizes(rows), "sizes")
             blocks = _blocks(rows, size, region_docs)
             return links, blocks if finish is None else finish.unionByName(blocks)
-        done = after.join(small_side(size.where(f"size <= {region_docs}").select("region")), "region", "left_semi")
+        done = after.join(small_side(size.where(~_much(region_docs)).select("region")), "region", "left_semi")
         finish = done if finish is None else finish.unionByName(done)
-        rows = after.join(small_side(size.where(f"size > {region_docs}").select("region"), 10_000), "region", "left_semi")
+        rows = after.join(small_side(size.where(_much(region_docs)).select("region"), 10_000), "region", "left_semi")
+
+
+def _sizes(rows: DataFrame) -> DataFrame:
+    """Documents and shingles of each region."""
+    return rows.groupBy("region").agg(F.count("*").alias("size"), F.sum(F.length("shingles") / 8).cast("long").alias("weight"))
+
+
+def _much(region_docs: int) -> Column:
+    """Whether a region is too much for one task; a lone document never is."""
+    return (F.col("size") > region_docs) | (F.col("size") > 1) & (F.col("weight") > REGION_SHINGLES)
 
 
 def _blocks(rows: DataFrame, size: DataFrame, region_docs: int) -> DataFrame:
     """Pairs of blocks as regions of their own; the second block of a pair has side 2."""
-    n = size.select("region", F.ceil(F.col("size") / (region_docs // 2)).cast("int").alias("blocks"))
+    by_docs, by_weight = F.ceil(F.col("size") / (region_docs // 2)), F.ceil(2 * F.col("weight") / REGION_SHINGLES)
+    n = size.select("region", F.least(F.greatest(by_docs, by_weight), F.col("size")).cast("int").alias("blocks"))
     dealt = rows.join(small_side(n, 10_000), "region").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = dealt.withColumn("other", other)
@@ -483,12 +494,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = pairs.repartition(parts, "meeting").sortWithinPartitions("meeting", "n", "doc").mapInArrow(_possible(percent), "a long, b long")
     related = components(reduce(DataFrame.unionByName, stars, pairs))
     regions = saved(related.select(F.col("node").alias("doc"), F.col("component").alias("region")), "regions")
-    size = saved(regions.groupBy("region").agg(F.count("*").alias("size")), "sizes")
-    large = small_side(size.where(f"size > {region_docs}").select("region"), 10_000)
+    weighed = regions.join(own.select("doc", "n"), "doc")
+    size = saved(weighed.groupBy("region").agg(F.count("*").alias("size"), F.sum("n").alias("weight")), "sizes")
+    large = small_side(size.where(_much(region_docs)).select("region"), 10_000)
     text = plain.join(small_side(regions), "doc")
     tasks = [_with_sets(text.join(large, "region", "left_anti"), width)]
     links: list[DataFrame] = []
-    if size.where(f"size > {region_docs}").limit(1).count():
+    if size.where(_much(region_docs)).limit(1).count():
         links, rest = _large_regions(saved(_with_sets(text.join(large, "region", "left_semi"), width), "regions"), percent, region_docs)
         tasks += [rest] if rest is not None else []
     for task in tasks:

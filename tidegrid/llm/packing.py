@@ -118,9 +118,10 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
     fields = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
     pieces = plain.mapInArrow(_tokenize(vocabulary, size, end, with_ids), fields)
     pieces = saved(pieces if with_ids else pieces.drop("ids"), "pieces")
+    # by row, as ids may be null or repeated
     packers = max(1, -(-pieces.count() // PIECES_PER_PACKER))
     names = pieces.columns
-    dealt = pieces.repartition(packers, F.xxhash64("doc_id", "piece")).withColumn("packer", F.spark_partition_id().cast("long"))
+    dealt = pieces.repartition(packers, F.xxhash64("doc_id", "piece", F.monotonically_increasing_id())).withColumn("packer", F.spark_partition_id().cast("long"))
     dealt = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece")
     schema = ", ".join(f"{n} {pieces.schema[n].dataType.simpleString()}" for n in names)
     return dealt.mapInArrow(_pack(size, open_bins), f"{schema}, sequence_id long, offset long")

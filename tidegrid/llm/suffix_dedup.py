@@ -191,7 +191,7 @@ def _windows(doc: np.ndarray, start: np.ndarray, pieces: list[bytes], length: in
 def _pieces(plain: DataFrame, runs: DataFrame, length: int, single: bool = False) -> DataFrame:
     """Pieces of runs, fetched from their documents, or windows as runs."""
     listed = runs.groupBy("doc").agg(F.flatten(F.collect_list(F.array("key", "at", "n"))).alias("runs"))
-    joined = plain.join(small_side(saved(listed, "open"), array="runs"), "doc").select("doc", "text", "base", "runs")
+    joined = plain.join(small_side(saved(listed, "open")), "doc").select("doc", "text", "base", "runs")
     return joined.mapInArrow(_fetch(length, single), _RUNS_SQL if single else "key long, doc long, at long, bytes binary")
 
 
@@ -475,7 +475,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, others: list[str]) -> DataFrame:
     plain = _plain(docs, id_col, text_col, others)
     ranges = covered_ranges(plain.select("doc", "text", "base"), length)
-    return plain.join(small_side(saved(ranges, "ranges"), array="ranges"), "doc", "left")
+    return plain.join(small_side(saved(ranges, "ranges")), "doc", "left")
 
 
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
