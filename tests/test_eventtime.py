@@ -3,9 +3,11 @@ from __future__ import annotations
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tests import state
 from tidegrid.operators.nearest import nearest_bundle
 from tidegrid.operators.sequences import grid
 from tidegrid.streaming import eventtime
@@ -20,12 +22,12 @@ def folder(spark, path, batches):
     return path
 
 
-def run(spark, source, state, build, name, stop_after=None):
+def run(spark, source, kept, build, name):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(source))
-    out = str(state) + "-out"
-    query = build(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(state)).trigger(availableNow=True).start()
+    out = str(kept) + "-out"
+    query = build(stream).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(kept)).trigger(availableNow=True).start()
     query.awaitTermination()
     dropped = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
     return spark.read.parquet(out), dropped
@@ -111,65 +113,16 @@ def test_a_silent_key_is_told_by_a_timer(spark, tmp_path):
 def test_a_batch_writes_what_is_new_not_what_is_kept():
     """Of a thousand items that wait, a batch with one more writes one."""
 
-    class Map:
-        def __init__(self):
-            self.held, self.writes = {}, 0
-
-        def updateValue(self, key, value):
-            self.held[key] = value
-            self.writes += 1
-
-        def removeKey(self, key):
-            del self.held[key]
-            self.writes += 1
-
-        def iterator(self):
-            return iter(list(self.held.items()))
-
-        def clear(self):
-            self.held = {}
-
-    class Value:
-        held = None
-        exists = lambda self: self.held is not None
-        get = lambda self: self.held
-
-        def update(self, value):
-            self.held = value
-
-        def clear(self):
-            self.held = None
-
-    class Handle:
-        def __init__(self):
-            self.timers = []
-
-        getMapState = lambda self, *_: Map()
-        getValueState = lambda self, *_: Value()
-        listTimers = lambda self: iter(self.timers)
-
-        def registerTimer(self, at):
-            self.timers = [*self.timers, at]
-
-        def deleteTimer(self, at):
-            self.timers = [t for t in self.timers if t != at]
-
-    class Now:
-        def __init__(self, now):
-            self.getCurrentWatermarkInMs = lambda: int(now * 1000)
-
-    import pandas as pd
-
     work = eventtime.TickProcessor(["x"], 1.0, 0.5, 30.0)
-    work.init(Handle())
+    work.init(state.Handle())
     frame = lambda rows: iter([pd.DataFrame(rows, columns=["stream", "t", "value", "seq"])])
-    list(work.handleInputRows(("k",), frame([(eventtime.START, 0.0, "", 0)] + [("x", i / 100, "v", i + 1) for i in range(1000)]), Now(0)))
+    list(work.handleInputRows(("k",), frame([(eventtime.START, 0.0, "", 0)] + [("x", i / 100, "v", i + 1) for i in range(1000)]), state.Now(0)))
     work.items.writes = 0
-    list(work.handleInputRows(("k",), frame([("x", 10.0, "w", 2000)]), Now(0)))
+    list(work.handleInputRows(("k",), frame([("x", 10.0, "w", 2000)]), state.Now(0)))
     assert work.items.writes == 1 and len(work.items.held) == 1001
-    out = next(work.handleExpiredTimer(("k",), Now(4.6), None))
+    out = next(work.handleExpiredTimer(("k",), state.Now(4.6), None))
     assert out["candidate_index"].tolist() == [0, 1, 2, 3, 4] and min(k[1] for k in work.items.held) == 4.5
-    out = next(work.handleExpiredTimer(("k",), Now(99.0), None))  # idle
+    out = next(work.handleExpiredTimer(("k",), state.Now(99.0), None))  # idle
     assert out["candidate_index"].tolist() == [5, 6, 7, 8, 9, 10] and not work.items.held and not work.grid.exists()
 
 

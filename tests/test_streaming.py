@@ -5,7 +5,8 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidegrid.streaming.stateful import Assembler, EpisodeCommitter, Ticks, TicksProcessor, assemble_stream, nearest_stream, stale
+from tests import state
+from tidegrid.streaming.stateful import Assembler, AssemblerProcessor, EpisodeCommitter, Ticks, TicksProcessor, assemble_stream, nearest_stream, stale
 
 PARTS = ("a", "b", "c")
 
@@ -98,37 +99,33 @@ def test_streams_end_by_a_mark_by_length_and_by_idleness(spark, tmp_path):
 
 
 def test_idle_keys_end():
-    class Kept:
-        value = None
-        timers: list = []
-
-        exists = lambda self: self.value is not None
-        get = lambda self: self.value
-
-        def update(self, value):
-            self.value = value
-
-        def clear(self):
-            self.value = None
-
-        getValueState = lambda self, *_: self
-        listTimers = lambda self: iter(list(self.timers))
-
-        def registerTimer(self, at):
-            self.timers = [*self.timers, at]
-
-        def deleteTimer(self, at):
-            self.timers = [t for t in self.timers if t != at]
-
-    class Now:
-        getCurrentProcessingTimeInMs = staticmethod(lambda: 1000)
-
-    work, kept = TicksProcessor(1.0, 10.0, 32, None, 50), Kept()
-    work.init(kept)
+    work, handle = TicksProcessor(1.0, 10.0, 32, None, 50), state.Handle()
+    work.init(handle)
     rows = pd.DataFrame({"t": [0.0, 1.0, 2.0], "value": ["a", "b", "c"], "seq": [0, 1, 2]})
-    assert len(next(work.handleInputRows(("k",), iter([rows]), Now()))) == 0 and kept.timers == [1050]
-    out = next(work.handleExpiredTimer(("k",), Now(), None))
-    assert out["value"].tolist() == ["a", "b", "c"] and kept.value is None
+    assert len(next(work.handleInputRows(("k",), iter([rows]), state.Now(1)))) == 0 and handle.timers == [1050]
+    out = next(work.handleExpiredTimer(("k",), state.Now(1), None))
+    assert out["value"].tolist() == ["a", "b", "c"] and not work.grid.exists() and not work.items.held
+
+
+def test_batches_write_what_comes_and_goes():
+    work = TicksProcessor(1.0, 1e6, 4096, None, None)
+    work.init(state.Handle())
+    frame = lambda lo, hi: iter([pd.DataFrame({"t": [float(i) for i in range(lo, hi)], "value": [f"v{i}" for i in range(lo, hi)], "seq": list(range(lo, hi))})])
+    list(work.handleInputRows(("k",), frame(0, 5000), state.Now(0)))
+    assert len(work.items.held) == 4096 and work.items.writes == 4096
+    work.items.writes = 0
+    list(work.handleInputRows(("k",), frame(5000, 5003), state.Now(0)))
+    assert work.items.writes == 6 and len(work.items.held) == 4096 and min(work.items.held) == (907,)
+
+    parts = AssemblerProcessor(PARTS, 8)
+    parts.init(state.Handle())
+    rows = lambda *r: iter([pd.DataFrame(r, columns=["stamp", "part", "value", "seq"])])
+    list(parts.handleInputRows(("left",), rows(*[(s, "a", "x", s) for s in range(8)]), state.Now(0)))
+    parts.waiting.writes = 0
+    list(parts.handleInputRows(("left",), rows((3, "b", "y", 9)), state.Now(0)))
+    assert parts.waiting.writes == 1
+    done = next(parts.handleInputRows(("left",), rows((3, "c", "z", 10)), state.Now(0)))
+    assert done.to_dict("records") == [{"side": "left", "stamp": 3, "a": "x", "b": "y", "c": "z"}] and min(parts.waiting.held)[0] == 4
 
 
 def test_stale_keys(spark):

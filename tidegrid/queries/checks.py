@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import nested
 from ..operators import lookups, sequences, statistics
+from ..plans import merge
 from .tables import events, table
 
 
@@ -62,7 +63,7 @@ def merge_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sources, one after the other, renumbered."""
     one = table(spark, sf_dir, "conversations").select(F.lit(0).alias("source"), F.col("conv_id").alias("episode"), F.col("turn").cast("long").alias("frame"))
     two = table(spark, sf_dir, "lineitem").select(F.lit(1).alias("source"), F.col("l_orderkey").alias("episode"), (F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("frame"))
-    return sequences.reindex(one.unionByName(two).dropDuplicates(), ["source", "episode"], ["frame"]).select("source", "episode", "frame", "index", "episode_index", "frame_index")
+    return sequences.reindex(one.unionByName(two), ["source", "episode"], ["frame"]).select("source", "episode", "frame", "index", "episode_index", "frame_index")
 
 
 def meta_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +93,7 @@ def by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.groupBy("event_type").agg(F.count("*").alias("frames"), F.count_distinct("user_id").alias("episodes"), F.min("event_id").alias("first"), (F.max("event_id") + 1).alias("end"))
+    return merge.source_totals(e.select(F.col("event_type").alias("source"), F.col("user_id").alias("episode_index"), F.col("event_id").alias("index")))
 
 
 def actual_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +137,7 @@ QUERIES = {
     ),
     "merge_union": (
         merge_union,
-        """WITH u AS (SELECT 0 AS source, conv_id AS episode, turn AS frame FROM conversations UNION SELECT 1, l_orderkey, l_partkey * 10 + l_linenumber FROM lineitem)
+        """WITH u AS (SELECT 0 AS source, conv_id AS episode, turn AS frame FROM conversations UNION ALL SELECT 1, l_orderkey, l_partkey * 10 + l_linenumber FROM lineitem)
         SELECT *, row_number() OVER (ORDER BY source, episode, frame) - 1 AS "index", dense_rank() OVER (ORDER BY source, episode) - 1 AS episode_index, row_number() OVER (PARTITION BY source, episode ORDER BY frame) - 1 AS frame_index FROM u""",
     ),
     "meta_left_join": (meta_left_join, f"SELECT c_custkey, event_id AS log_id, coalesce(props, '{{}}') AS props FROM customer LEFT JOIN ({_LAST}) ON user_id = c_custkey"),
@@ -149,7 +150,11 @@ QUERIES = {
         by_position,
         "WITH a AS (SELECT user_id, event_id AS click, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS position FROM events WHERE event_type = 'click'), b AS (SELECT user_id, event_id AS view, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS position FROM events WHERE event_type = 'view') SELECT user_id, position, click, view FROM a FULL JOIN b USING (user_id, position)",
     ),
-    "source_totals": (source_totals, 'SELECT event_type, count(*) AS frames, count(DISTINCT user_id) AS episodes, min(event_id) AS first, max(event_id) + 1 AS "end" FROM events GROUP BY event_type'),
+    "source_totals": (
+        source_totals,
+        """SELECT event_type AS source, count(*) AS frames, count(DISTINCT user_id) AS episodes, min(event_id) AS from_index, max(event_id) + 1 AS to_index,
+        min(user_id) AS from_episode, max(user_id) + 1 AS to_episode FROM events GROUP BY event_type""",
+    ),
     "actual_rate": (
         actual_rate,
         "SELECT event_type, epoch_us(ts) // 86400000000 AS span, count(*) AS frames, max(epoch_us(ts)) - min(epoch_us(ts)) AS elapsed, CASE WHEN count(*) > 1 THEN round((count(*) - 1) / ((max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6), 8) END AS fps FROM events GROUP BY ALL",

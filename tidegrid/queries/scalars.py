@@ -50,10 +50,9 @@ def first_present(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layout_contiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of a packed frame: each starts where the last ended, and is as long as its shape says."""
-    s = spark.createDataFrame([{"at": i, **x} for i, x in enumerate(profiles.segments(profiles.PACKED_V1))])
-    end = F.expr("coalesce(sum(length) OVER (ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)")  # a row for each of five segments
-    return s.select("segment", "start", "length", (F.col("start") == end).alias("contiguous"), (F.col("length") == F.col("height") * F.col("width") * F.col("channels") * F.col("itemsize")).alias("whole"))
+    """Segments of frames, one for each customer: each starts where the last ended, and is as long as its shape says."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", (F.col("o_orderkey") % 48 + 1).alias("height"), (F.col("o_custkey") % 64 + 1).alias("width"), F.lit(3).alias("channels"), F.lit(4).alias("itemsize"))
+    return profiles.placed_segments(o, ["o_custkey"], ["o_orderkey"], ["height", "width", "channels", "itemsize"]).select("o_orderkey", "o_custkey", "start", "length")
 
 
 def numeric_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +83,8 @@ QUERIES = {
     "first_present": (first_present, "SELECT event_id, CASE WHEN event_id % 3 = 1 THEN event_type END AS found FROM events"),
     "layout_contiguity": (
         layout_contiguity,
-        "SELECT segment, start, length, true AS contiguous, true AS whole FROM (VALUES ('raw_image', 0, 76800), ('deformation2d', 76800, 614400), ('normal', 691200, 307200), ('shear', 998400, 614400), ('depth', 1612800, 307200)) v(segment, start, length)",
+        """WITH s AS (SELECT o_orderkey, o_custkey, (o_orderkey % 48 + 1) * (o_custkey % 64 + 1) * 12 AS length FROM orders)
+        SELECT *, coalesce(sum(length) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM s""",
     ),
     "numeric_coercion": (numeric_coercion, "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN round(value, 4) END AS number, event_id % 3 = 0 AND value IS NOT NULL AS finite FROM events"),
     "clip_values": (clip_values, "SELECT event_id, round(least(greatest(value, 2.0), 15.0), 4) AS clipped, round((value + 3.0) / 2, 4) AS middle, coalesce(value > 5, false)::INTEGER AS truth FROM events"),

@@ -14,42 +14,7 @@ EXPORT_META = ["side", "global_index", "episode_index", "frame_index", "timestam
 
 SIDES = ("left", "right")
 
-
-def _typed(kinds: dict[str, str]) -> str:
-    return ", ".join(f"`{n}` {k}" for k, names in kinds.items() for n in names.split())
-
-
-def _camera(prefix: str) -> dict[str, str]:
-    return {f"{prefix}.path": "string", f"{prefix}.height": "long", f"{prefix}.width": "long", f"{prefix}.encoding": "string", f"{prefix}.step": "long", f"{prefix}.ros_stamp_sec": "long", f"{prefix}.ros_stamp_nanosec": "long", f"{prefix}.ros_stamp_float": "double", f"{prefix}.frame_id": "string"}
-
-
-def _tactile(prefix: str, layout: tuple[str, ...]) -> dict[str, str]:
-    whole = dict.fromkeys(("zarr_index", "sensor_index", "frame_idx", "ros_stamp_sec", "ros_stamp_nanosec", "data_len", *layout), "long")
-    text = dict.fromkeys(("zarr_path", "msg_package", "sensor_id", "frame_id", "data_dtype", "source_dtype"), "string")
-    real = dict.fromkeys(("capture_time", "ros_stamp_float", "recv_time", "sync_dt"), "double")
-    return {f"{prefix}.{n}": k for n, k in {**text, **whole, **real, "repeated": "boolean"}.items()}
-
-
-def raw_rows(layout: tuple[str, ...] = ()) -> str:
-    """Schema of raw episode rows; ``layout`` names the sensor profile's own columns."""
-    kinds = {"timestamp": "float", "wall_time": "double"} | dict.fromkeys(("frame_index", "candidate_index", "episode_index", "index", "task_index"), "long")
-    kinds |= {"observation.state": "array<float>", "observation.state_names": "array<string>", "action": "array<float>", "action.names": "array<string>", "action.sent_action8": "array<float>", "action.pose7": "array<float>"}
-    kinds |= {"action.target_gripper": "double", "action.target_gripper_width": "double", "action.command_type": "string"}
-    kinds |= dict.fromkeys(("action.pose_commanded", "action.gripper_commanded", "action.motion_enabled", "action.workspace_clipped", "action.http_ok"), "boolean")
-    kinds |= {"action.http_route": "string", "action.http_latency_ms": "double", "action.t_send_start": "double", "action.t_send_end": "double"}
-    kinds |= _camera("image") | _camera("wrist_image")
-    kinds |= {"robot.state_ok": "boolean", "robot.t_query_start": "double", "robot.t_query_end": "double", "robot.t_query_mid": "double", "robot.latency_ms": "double", "robot.raw_state_json": "string", "robot.ee_pose": "array<float>", "robot.gripper_pos": "double"}
-    kinds |= dict.fromkeys(("robot.q", "robot.dq", "robot.vel", "robot.force", "robot.torque"), "array<float>")
-    kinds |= {"vr.enabled": "boolean", "vr.joystick_y": "double", "vr.raw_target_pose7": "array<float>", "vr.raw_target_pose_ros_stamp": "double", "sync.valid": "boolean", "sync.reason_vr": "string"}
-    kinds |= dict.fromkeys(SYNC[:7], "double")
-    kinds |= {"wrist_camera_info.available": "boolean", "wrist_camera_info.dt": "double", "wrist_camera_info.ros_stamp_float": "double", "wrist_camera_info.frame_id": "string", "wrist_camera_info.height": "long", "wrist_camera_info.width": "long", "wrist_camera_info.k": "array<double>", "wrist_camera_info.d": "array<double>", "wrist_camera_info.distortion_model": "string"}
-    for side in SIDES:
-        kinds |= _tactile(f"tactile.{side}", layout)
-    return ", ".join(f"`{n}` {k}" for n, k in kinds.items())
-
-
-EXPORT_ROWS = _typed({"long": "index episode_index frame_index", "float": "timestamp"}) + ", `task_index` long, " + ", ".join(f"`{n}` array<float>" for n in EXPORT_VECTORS)
-STORE_ROWS = "side string, store_index long, data array<float>"
+# fixed values: fields of logs, in their order
 EPISODE_LOG = "episode_index long, num_frames long, data_path string, image_dir string, wrist_image_dir string, tactile_left_zarr string, tactile_right_zarr string, task_index long, task_description string, source_raw_root string, source_episode_path string"
 METADATA_LOG = "episode_index long, frame_index long, zarr_path string, zarr_index long, timestamp double, wall_time double, sensor_id string, sensor_index long, frame_idx long, capture_time double, repeated boolean, ros_stamp_sec long, ros_stamp_nanosec long, ros_stamp_float double, frame_id string, recv_time double, sync_dt double, data_len long, data_dtype string, source_dtype string, msg_package string, layout map<string,long>"
 IMAGE_LOG = "episode_index long, record_frame_index long, path string, height long, width long, encoding string, source_encoding string, step long, ros_stamp_sec long, ros_stamp_nanosec long, ros_stamp_float double, frame_id string, topic string"

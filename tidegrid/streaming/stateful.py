@@ -6,7 +6,6 @@ wrapper that keeps the class's state between micro-batches.  A replay through ei
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -15,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from ..sinks.writers import remove
 
@@ -91,41 +90,43 @@ class Ticks:
         return out
 
 
+def _fields(**kinds) -> StructType:
+    return StructType([StructField(n, k) for n, k in kinds.items()])
+
+
 def _rows(batches: Iterable[pd.DataFrame], order: str) -> Iterator[dict]:
     whole = pd.concat(list(batches), ignore_index=True)
     yield from whole.sort_values(order, kind="stable").to_dict("records")
 
 
-_STATE = StructType([StructField("state", StringType())])
-
-
-class _Kept(StatefulProcessor):
-    """State as one JSON text."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("kept", _STATE)
-
-    def load(self) -> dict | None:
-        return json.loads(self.state.get()[0]) if self.state.exists() else None
-
-    def save(self, value: dict) -> None:
-        self.state.update((json.dumps(value),))
-
-    def close(self) -> None:
-        pass
+class AssemblerProcessor(StatefulProcessor):
+    """An assembler for each side.  Waiting parts are kept one by one: a batch writes those that come and go."""
 
-
-class AssemblerProcessor(_Kept):
     def __init__(self, parts: tuple[str, ...], most: int) -> None:
         self.parts, self.most = parts, most
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", _fields(last=LongType()))
+        self.waiting = handle.getMapState("waiting", _fields(stamp=LongType(), part=StringType()), _fields(value=StringType()))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        old = self.load()
-        work = Assembler(self.parts, self.most, old["last"], {int(s): p for s, p in old["waiting"].items()}) if old else Assembler(self.parts, self.most)
+        before = {k: v[0] for k, v in self.waiting.iterator()}
+        work = Assembler(self.parts, self.most, self.last.get()[0] if self.last.exists() else -1)
+        for (stamp, part), value in before.items():
+            work.waiting.setdefault(stamp, {})[part] = value
         done = [found for r in _rows(rows, "seq") if (found := work.add(int(r["stamp"]), r["part"], r["value"]))]
-        self.save({"last": work.last, "waiting": work.waiting})
+        self.last.update((work.last,))
+        after = {(s, p): v for s, parts in work.waiting.items() for p, v in parts.items()}
+        for k in before.keys() - after.keys():
+            self.waiting.removeKey(k)
+        for k, v in after.items():
+            if before.get(k, after) != v:
+                self.waiting.updateValue(k, (v,))
         yield pd.DataFrame({"side": [key[0]] * len(done), "stamp": [s for s, _ in done], **{p: [whole[p] for _, whole in done] for p in self.parts}}).astype({"side": object, **dict.fromkeys(self.parts, object)})
 
+    def close(self) -> None:
+        pass
+
 
 def assemble_stream(stream: DataFrame, parts: tuple[str, ...], most: int = PENDING) -> DataFrame:
     """``stream``: side, stamp, part, value and seq, its arrival order.  One row for each complete stamp."""
@@ -133,23 +134,31 @@ def assemble_stream(stream: DataFrame, parts: tuple[str, ...], most: int = PENDI
     return stream.groupBy("side").transformWithStateInPandas(AssemblerProcessor(parts, most), outputStructType=_struct(schema), outputMode="append", timeMode="none")
 
 
-class TicksProcessor(_Kept):
+class TicksProcessor(StatefulProcessor):
     """A key's ticks.  A row without value ends its key: what is left is decided and the state goes.
 
     So does a key of which nothing came for ``idle`` milliseconds, and one whose longest span is decided; a
-    later row then starts the key anew.
+    later row then starts the key anew.  Items are kept by their number, so that a batch writes those that come
+    and removes those that go, however many stay.
     """
 
     def __init__(self, step: float, lateness: float, most: int, longest: float | None, idle: int | None) -> None:
         self.step, self.lateness, self.most, self.longest, self.idle = step, lateness, most, longest, idle
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
         self.handle = handle
+        self.grid = handle.getValueState("grid", _fields(start=DoubleType(), next=LongType(), seen=DoubleType(), count=LongType()))
+        self.items = handle.getMapState("items", _fields(number=LongType()), _fields(t=DoubleType(), value=StringType()))
+
+    def _load(self) -> tuple[Ticks | None, dict[int, tuple[float, str]], int]:
+        if not self.grid.exists():
+            return None, {}, 0
+        start, number, seen, count = self.grid.get()
+        held = {k[0]: tuple(v) for k, v in self.items.iterator()}
+        return Ticks(start, self.step, self.lateness, self.most, self.longest, number, [held[n] for n in sorted(held)], seen), held, count
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        old = self.load()
-        work = Ticks(**old | {"items": [tuple(i) for i in old["items"]]}) if old else None
+        work, held, count = self._load()
         out = []
         for r in _rows(rows, "seq"):
             if r["value"] is None:
@@ -158,26 +167,37 @@ class TicksProcessor(_Kept):
                 continue
             work = work or Ticks(float(r["t"]), self.step, self.lateness, self.most, self.longest)
             out += work.add(float(r["t"]), r["value"])
+            count += 1
             work = None if work.over else work
-        self._keep(work, timerValues)
+        self._keep(work, held, count, timerValues)
         yield self._table(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        old = self.load()
-        out = Ticks(**old | {"items": [tuple(i) for i in old["items"]]}).finish() if old else []
-        self.state.clear()
+        work, _, _ = self._load()
+        out = work.finish() if work else []
+        self.grid.clear()
+        self.items.clear()
         yield self._table(key, out)
 
-    def _keep(self, work: Ticks | None, timerValues) -> None:
+    def _keep(self, work: Ticks | None, held: dict[int, tuple[float, str]], count: int, timerValues) -> None:
         if self.idle is not None:
             for old in list(self.handle.listTimers()):
                 self.handle.deleteTimer(old)
             if work is not None:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle)
         if work is None:
-            self.state.clear()
-        else:
-            self.save(work.__dict__)
+            self.grid.clear()
+            self.items.clear()
+            return
+        self.grid.update((work.start, work.next, work.seen, count))
+        now = dict(enumerate(work.items, count - len(work.items)))
+        for n in held.keys() - now.keys():
+            self.items.removeKey((n,))
+        for n in now.keys() - held.keys():
+            self.items.updateValue((n,), now[n])
+
+    def close(self) -> None:
+        pass
 
     @staticmethod
     def _table(key, out: list[tuple]) -> pd.DataFrame:
