@@ -127,3 +127,11 @@ def test_the_sample_is_bounded_by_lines(spark, monkeypatch):
     assert 150 < lines <= 200 and max(bytes(r["text"]).count(b"\n") for r in taken) > 10
     monkeypatch.setattr(crf_quality, "SAMPLE_LINES", 10_000)
     assert len(crf_quality.sample(docs, labels, F.lit(True), "doc_id", "text", "quality").collect()) == 50
+
+
+def test_null_ids_are_scored_and_not_held_out(spark):
+    docs = table(spark, [(None, "some words here"), (None, None), (2, "some words here")])
+    labels = spark.createDataFrame([(2, 1), (None, 0)], "doc_id long, quality int")
+    got = crf_quality.classify(docs, labels, lambda column: F.crc32(F.col(column).cast("string").cast("binary")) % 4 == 2).collect()
+    assert len(got) == 3 and all(r["held_out"] is False for r in got if r["doc_id"] is None)
+    assert all(0 <= r["score"] <= 1 for r in got)

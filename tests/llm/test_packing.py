@@ -10,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.fixtures import pairs, table
+from tidegrid.llm import packing
 from tidegrid.llm.packing import BestFit, pack_documents
 from tidegrid.llm.wordtokens import WordTokens
 
@@ -80,3 +81,42 @@ def test_ids_and_empty_table(spark):
     rows = pack_documents(table(spark, [(1, "a b"), (2, None)]), PATH, with_ids=True).orderBy("doc_id").collect()
     assert np.frombuffer(rows[1]["ids"], "<u4").tolist() == [0] and len(rows[0]["ids"]) == 12
     assert pack_documents(table(spark, []), PATH).collect() == []
+
+
+def naive(lengths, size, most):
+    """The same rules, over a plain list of open bins."""
+    free, order, out, made = {}, {}, [], 0
+    for turn, n in enumerate(lengths):
+        fitting = [b for b in free if free[b] >= n]
+        if fitting:
+            # the tightest; of equally tight ones that which was filled last
+            at = min(fitting, key=lambda b: (free[b], -order[b]))
+        else:
+            at, made = made, made + 1
+            if len(free) >= most and n < size:
+                closed = min(free, key=lambda b: (free[b], -order[b]))
+                del free[closed]
+            free[at] = size
+        out.append((at, size - free[at]))
+        free[at] -= n
+        order[at] = turn
+        if not free[at]:
+            del free[at]
+    return out
+
+
+def test_best_fit_equals_a_naive_packer():
+    rng = random.Random(6)
+    for size, most in ((8, 1), (8, 3), (20, 2), (64, 5), (64, 1000)):
+        for _ in range(60):
+            lengths = [rng.randint(1, size) if rng.random() < 0.5 else rng.randint(1, max(1, size // 5)) for _ in range(rng.randint(1, 120))]
+            fit = packing.BestFit(size, most)
+            assert [fit.place(n) for n in lengths] == naive(lengths, size, most)
+
+
+def test_rows_of_one_id_spread_over_packers(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_PER_PACKER", 40)
+    for doc_id in (None, 7):
+        out = packing.pack_documents(table(spark, [(doc_id, "the same words")] * 400), PATH, size=64).collect()
+        each = Counter(r["sequence_id"] >> 33 for r in out)
+        assert len(out) == 400 and len(each) >= 8 and max(each.values()) < 150

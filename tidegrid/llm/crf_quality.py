@@ -11,6 +11,7 @@ word triples and lines.  Neither labels, language, source nor ids enter a score.
 
 A null or empty text is one empty line, and is scored.  Repeated rows are scored each, and are
 one text to learn from; labels that repeat count each once.  Without any labels all scores are one half.
+A row with a null id is scored as any other and is not held out, though there is no label for it to learn from.
 """
 
 from __future__ import annotations
@@ -281,4 +282,4 @@ def classify(docs: DataFrame, labels: DataFrame, held_out, threshold: float = 0.
     """
     field = train(docs, labels, ~held_out(id_col), id_col, text_col)
     scored = score_documents(docs, field, id_col, text_col)
-    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
