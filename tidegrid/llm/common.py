@@ -50,6 +50,19 @@ def text_bytes(column: str):
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))
 
 
+#: Bytes of rows that a task's Python looks at together, about.
+TOGETHER = 4 << 20
+
+
+def small_batches(batches: Iterator, size: int = TOGETHER) -> Iterator:
+    """The batches cut into parts of about ``size`` bytes, so that copies of long rows stay small."""
+    for batch in batches:
+        parts = max(1, min(batch.num_rows, -(-batch.nbytes // size)))
+        step = max(1, -(-batch.num_rows // parts))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def tidy_after(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``run``, a function for ``mapInArrow``, that gives freed memory back when its task ends.
 
@@ -72,4 +85,4 @@ def tidy_after(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iter
     return tidied
 
 
-__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "DENSE", "fold", "fresh_path", "saved", "shared_dir", "small_side", "text_bytes", "tidy_after"]
+__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "DENSE", "fold", "fresh_path", "saved", "shared_dir", "small_batches", "small_side", "text_bytes", "tidy_after"]

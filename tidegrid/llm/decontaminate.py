@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, text_bytes, tidy_after
+from .common import saved, small_batches, text_bytes, tidy_after
 from .groups import changes
 from .textbytes import Prefix, chunks, join
 
@@ -283,7 +283,7 @@ def _searcher(items: list[tuple[int, bytes]], edits: int):
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Items(items, edits)
-        for batch in batches:
+        for batch in small_batches(batches):
             docs = batch.column(0).to_pylist()
             rows = [(docs[d], table.ids[t], start, end, cost, len(table.texts[t])) for d, t, start, end, cost in search(table, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_FOUND)], schema=_FOUND)
@@ -297,7 +297,7 @@ def _filter(items: list[tuple[int, bytes]], edits: int, text: int):
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Items(items, edits)
-        for batch in batches:
+        for batch in small_batches(batches):
             clean = np.ones(batch.num_rows, dtype=bool)
             clean[[d for d, *_ in search(table, [(t or "").encode() for t in batch.column(text).to_pylist()])]] = False
             yield batch.filter(pa.array(clean))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, saved, small_side, text_bytes, tidy_after
+from .common import fold, saved, small_batches, small_side, text_bytes, tidy_after
 from .components import components
 from .groups import changes, key_runs, scan
 from .textbytes import mix, shingles
@@ -73,7 +73,7 @@ def _sets(width: int, percent: int, frequent: np.ndarray):
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = [t.lower() for t in batch.column(1).to_pylist()]
             n, digest, total, prefix, classes = [], [], [], [], []
             for _, s in shingles(texts, width):
@@ -104,7 +104,7 @@ def _frequent(plain: DataFrame, width: int) -> np.ndarray:
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [s for _, s in shingles([t.lower() for t in batch.column(1).to_pylist()], width)]
             value, times = np.unique(np.concatenate([*found, np.zeros(0, dtype=np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times.astype(np.int64))], names=["shingle", "n"])
@@ -356,7 +356,7 @@ def _with_sets(docs: DataFrame, width: int) -> DataFrame:
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             found = [s.tobytes() for _, s in shingles([t.lower() for t in batch.column(2).to_pylist()], width)]
             yield _table(schema, batch.column(0), batch.column(1), np.zeros(len(found), dtype=np.int32), found)
 

@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import induced, textbytes
-from .common import fold, saved, small_side, text_bytes, tidy_after
+from .common import fold, saved, small_batches, small_side, text_bytes, tidy_after
 from .groups import changes, key_runs, scan
 from .induced import Store, suffix_order
 from .textbytes import chunks
@@ -156,7 +156,7 @@ def _fetch(length: int, single: bool):
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             key, doc, at, piece, size = [], [], [], [], 0
             for d, text, base, runs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3), strict=True):
                 text = memoryview(text.as_buffer())
@@ -437,7 +437,7 @@ def _plain(docs: DataFrame, id_col: str, text_col: str, others: list[str]) -> Da
 
 
 def _remove(batches: Iterator[pa.RecordBatch], whole_characters: bool) -> Iterator[tuple[pa.RecordBatch, list]]:
-    for batch in batches:
+    for batch in small_batches(batches):
         rows = []
         for text, base, ranges in zip(batch.column("text"), batch.column("base").to_pylist(), batch.column("ranges"), strict=True):
             text = text.as_py()
