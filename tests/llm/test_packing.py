@@ -120,3 +120,17 @@ def test_rows_of_one_id_spread_over_packers(spark, monkeypatch):
         out = packing.pack_documents(table(spark, [(doc_id, "the same words")] * 400), PATH, size=64).collect()
         each = Counter(r["sequence_id"] >> 33 for r in out)
         assert len(out) == 400 and len(each) >= 8 and max(each.values()) < 150
+
+
+def test_a_worker_drops_what_another_operator_kept():
+    from tidegrid.llm import common, wordtokens
+
+    wordtokens.word_tokens(PATH)
+
+    def own(batches):
+        yield from batches
+
+    own.__module__ = packing.__name__
+    assert list(common.tidy_after(own)(iter([1]))) == [1] and wordtokens._loaded
+    own.__module__ = "tidegrid.llm.decontaminate"
+    assert list(common.tidy_after(own)(iter([1]))) == [1] and not wordtokens._loaded

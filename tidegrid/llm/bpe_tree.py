@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, saved, tidy_after
+from .common import fold, keeps, saved, tidy_after
 
 #: Characters of a text that is cut into leaves, from this many on, and of a leaf, about.
 LONG, LEAF = 1 << 16, 1 << 14
@@ -140,6 +140,12 @@ def byte_bpe(vocabulary: str) -> ByteBpe:
     return _loaded[vocabulary]
 
 
+@keeps("bpe_tree")
+def forget() -> None:
+    """Drops this process's vocabularies."""
+    _loaded.clear()
+
+
 def leaves(bpe: ByteBpe, text: str, leaf: int = LEAF) -> Iterator[tuple[str, int]]:
     """The text in order, in leaves: each with its number in a stretch that is unsplit, 0 if it starts anew."""
     at = 0

@@ -63,16 +63,34 @@ def small_batches(batches: Iterator, size: int = TOGETHER) -> Iterator:
             yield batch.slice(at, step)
 
 
+#: What a worker keeps between tasks, by the modules whose tasks use it: functions that drop it.
+_kept: list[tuple[frozenset[str], Callable[[], None]]] = []
+
+
+def keeps(*modules: str) -> Callable[[Callable[[], None]], Callable[[], None]]:
+    """Registers a function that drops what tasks of these modules of the package keep in their worker."""
+
+    def register(drop: Callable[[], None]) -> Callable[[], None]:
+        _kept.append((frozenset(f"{__package__}.{m}" for m in modules), drop))
+        return drop
+
+    return register
+
+
 def tidy_after(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``run``, a function for ``mapInArrow``, that gives freed memory back when its task ends.
 
-    Workers wait for their next task beside the executor, which needs the room meanwhile.
+    Workers wait for their next task beside the executor, which needs the room meanwhile.  What tasks of
+    other operators have left in the worker goes first.
     """
 
     @functools.wraps(run)
     def tidied(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        for modules, drop in _kept:
+            if run.__module__ not in modules:
+                drop()
         try:
             yield from run(batches)
         finally:
@@ -85,4 +103,4 @@ def tidy_after(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iter
     return tidied
 
 
-__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "DENSE", "fold", "fresh_path", "saved", "shared_dir", "small_batches", "small_side", "text_bytes", "tidy_after"]
+__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "DENSE", "fold", "fresh_path", "keeps", "saved", "shared_dir", "small_batches", "small_side", "text_bytes", "tidy_after"]

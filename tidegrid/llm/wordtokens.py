@@ -11,6 +11,8 @@ from array import array
 
 import numpy as np
 
+from .common import keeps
+
 #: Words that a worker remembers, at most; then it keeps those that recur, up to half as many.
 REMEMBERED = 1_000_000
 #: A character that stands between words which are tokenized together; words with it go alone.
@@ -141,6 +143,7 @@ def word_tokens(vocabulary: str) -> WordTokens:
     return _loaded[vocabulary]
 
 
+@keeps("packing", "training_order")
 def forget() -> None:
     """Drops this process's tokenizers, whose room later tasks of the same worker need."""
     _loaded.clear()
