@@ -136,3 +136,28 @@ def test_whole_scores_equal_brute_force(spark, monkeypatch, known):
             alpha = (model.start[:-1] if alpha is None else alpha @ model.step[:, :-1]) * emit
         chance = model.start[-1] if alpha is None else alpha @ model.step[:, -1]
         assert abs(found[i] - math.log10(chance)) < 1e-6
+
+
+def test_training_takes_all_texts_in_every_round(spark, monkeypatch):
+    """The model is that of plain rounds over every training text, ended by the gain in their log-probability."""
+    monkeypatch.setattr(hmm, "TOLERANCE", 0.02, raising=False)
+    monkeypatch.setattr(hmm, "SAMPLE_WORDS", 50, raising=False)
+    rng = np.random.default_rng(3)
+    texts = [rng.choice(12, n, p=rng.dirichlet(np.ones(12) / 3)).astype(np.uint16) for n in [*rng.integers(1, 60, 50), 0, 700]]
+    rows = [(i % 5 == 0, t.tobytes(), i) for i, t in enumerate(texts)]
+    training = [t for i, t in enumerate(texts) if i % 5]
+    unigram = np.bincount(np.concatenate(training), minlength=12) + 1.0
+    unigram /= unigram.sum()
+    words = sum(map(len, training))
+    found = hmm._train(spark.createDataFrame(rows, "held_out boolean, symbols binary, row long").repartition(3), unigram, words, len(training))
+    want, last, rounds = hmm.Model.begin(unigram, hmm.STATES, words / len(training)), -math.inf, 0
+    while True:
+        chance = hmm.log_likelihood(want, training).sum()
+        starts, steps, emits = hmm.expected(want, training)
+        want, rounds = hmm.Model.fit(starts, steps, emits.T, unigram), rounds + 1
+        if chance - last <= 0.02 * (words + len(training)):
+            break
+        last = chance
+    assert rounds > 3
+    for ours, theirs in ((found.start, want.start), (found.step, want.step), (found.emit, want.emit)):
+        assert np.allclose(ours, theirs, rtol=1e-8, atol=1e-12)

@@ -6,9 +6,9 @@ that class.  A share is (c + 1) over the sum of that over the class's known word
 word's training count, so that every word, known or not, has a probability and a text's
 score is one: a start state, transitions, emissions and an end.
 
-The states start from a few Baum-Welch rounds on a bounded sample of whole
-training texts; further rounds take their expected counts from every training text, summed
-across partitions.  Texts are scored by the scaled forward recursion, exactly, whatever their
+The states start at random preferences around the counts of all training texts.  Every Baum-Welch round takes its
+expected counts from every training text, summed across partitions; rounds go on until one raises the training texts'
+log-probability by less than ``TOLERANCE`` a token.  Texts are scored by the scaled forward recursion, exactly, whatever their
 length.  In training, a text of more than ``STRETCH`` words counts as several.
 
 Null texts are empty: only the end.  Null ids are kept, in training, as their remainder is
@@ -33,10 +33,12 @@ from .common import saved, small_side, text_bytes, tidy_after
 STATES, OWN_SYMBOLS, CLASSES = 8, 16_384, 256
 #: Frequent words whose counts every task knows, at most.
 KNOWN_WORDS = 200_000
-#: Words of the sample that starts the states, about, and its rounds; rounds over everything.
-SAMPLE_WORDS, SAMPLE_ROUNDS, ROUNDS = 300_000, 12, 2
+#: Training ends with the round that raises the natural log-probability of all training texts by no more than this a token.
+TOLERANCE = 0.01
 #: Words of a training stretch, and of a block of texts that are computed together.
 STRETCH, BLOCK = 1 << 17, 1 << 18
+#: Positions after which the recursions of training are scaled.
+SCALED = 16
 #: Pseudo-counts of the smoothing distribution in each state.
 PRIOR = 100.0
 
@@ -54,7 +56,8 @@ class Model:
     @classmethod
     def begin(cls, unigram: np.ndarray, states: int, mean_words: float) -> Model:
         rng = np.random.default_rng(7)
-        emit = unigram[:, None] * rng.uniform(0.3, 1.7, size=(len(unigram), states))
+        # few words with much weight in each state: from an even start the first rounds would hardly part the states
+        emit = unigram[:, None] * (rng.gamma(0.3, size=(len(unigram), states)) + 0.02)
         end = 1 / (mean_words + 1)
         step = np.full((states, states + 1), 0.3 * (1 - end) / max(states - 1, 1))
         np.fill_diagonal(step, (0.7 if states > 1 else 1.0) * (1 - end))
@@ -123,44 +126,67 @@ def log_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
 
 def expected(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, steps and emissions of texts: one round's counts."""
+    return _expected(model, texts)[:3]
+
+
+def _expected(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, steps and emissions, and the texts' natural log-probability."""
     states, symbols_n = model.step.shape[0], len(model.emit)
     step, end = np.ascontiguousarray(model.step[:, :states]), model.step[:, states]
-    back = np.ascontiguousarray(step.T)
+    back, one = np.ascontiguousarray(step.T), np.ones(states)
+    # emissions as multiples of their mean, so that the recursions need scaling but now and then
+    level = model.emit.mean(axis=1)
+    ratio, log_level = model.emit / level[:, None], np.log(level)
     starts, steps, emits = np.zeros(states + 1), np.zeros((states, states + 1)), np.zeros((states, symbols_n))
-    starts[states] += sum(len(t) == 0 for t in texts)
+    starts[states] = sum(len(t) == 0 for t in texts)
+    total = float(starts[states]) * math.log(model.start[states])
     texts = [t[i : i + STRETCH] for t in texts if len(t) for i in range(0, len(t), STRETCH)]
     for which in blocks(texts):
-        symbols, active = _padded(texts, which)
-        length, width = symbols.shape
-        alpha = np.zeros((length, width, states))
-        size = np.ones((length, width))
-        for t in range(length):
-            n = active[t]
-            now = (alpha[t - 1, :n] @ step if t else model.start[:states]) * model.emit[symbols[t, :n]]
-            size[t, :n] = now.sum(axis=1)
-            alpha[t, :n] = now / size[t, :n, None]
-        last = np.concatenate((active[1:], [0]))
-        beta = np.zeros((width, states))
-        gamma = np.zeros((length, width, states))
-        for t in range(length - 1, -1, -1):
-            n, going = active[t], last[t]
-            if going < n:  # texts that end here
-                final = alpha[t, going:n] * end
-                final /= final.sum(axis=1, keepdims=True)
-                steps[:, states] += final.sum(axis=0)
-                beta[going:n] = final / np.maximum(alpha[t, going:n], 1e-300)
-            if going:
-                ahead = beta[:going] * model.emit[symbols[t + 1, :going]] / size[t + 1, :going, None]
-                steps[:, :states] += step * (alpha[t, :going].T @ ahead)
-                beta[:going] = ahead @ back
-            gamma[t, :n] = alpha[t, :n] * beta[:n]
-        starts[:states] += gamma[0].sum(axis=0)
-        valid = np.arange(width) < active[:, None]
-        seen = symbols[valid]
-        weight = gamma[valid]
+        # cells by position, then text; longer texts come first, so that those that reach a position are a prefix
+        sizes = np.array([len(texts[i]) for i in which])
+        length, width = int(sizes[0]), len(which)
+        active = np.searchsorted(-sizes, -np.arange(length), side="left")
+        base = np.concatenate(([0], np.cumsum(active)))
+        seen = np.empty(base[-1], dtype=np.int64)
+        seen[np.concatenate([base[:n] + j for j, n in enumerate(sizes.tolist())])] = np.concatenate([texts[i] for i in which])
+        at, reach = base.tolist(), active.tolist()
+        ahead = ratio[seen]
+        alpha, beta, scale = np.empty_like(ahead), np.empty_like(ahead), np.ones(len(seen))
+        alpha[:width] = model.start[:states] * ahead[:width]
+        for t in range(1, length):
+            n, here, before = reach[t], at[t], at[t - 1]
+            now = alpha[here : here + n]
+            np.matmul(alpha[before : before + n], step, out=now)
+            now *= ahead[here : here + n]
+            if t % SCALED == 0:
+                size = now @ one
+                now /= size[:, None]
+                total += np.log(size).sum()
+        beta[at[length - 1] :] = end
+        for t in range(length - 2, -1, -1):
+            n, here, after = reach[t + 1], at[t], at[t + 1]
+            # from here on ``ahead`` is the emission times what follows
+            coming, now = ahead[after : after + n], beta[here : here + n]
+            coming *= beta[after : after + n]
+            np.matmul(coming, back, out=now)
+            beta[here + n : after] = end  # texts that end here
+            if t % SCALED == 0:
+                size = now @ one
+                now /= size[:, None]
+                scale[here : here + n] = size
+        gamma = np.multiply(beta, alpha, out=beta)
+        chance = gamma @ one
+        gamma /= chance[:, None]
+        final = base[sizes - 1] + np.arange(width)
+        total += np.log(chance[final]).sum() + log_level[seen].sum()
+        starts[:states] += gamma[:width].sum(axis=0)
+        steps[:, states] += gamma[final].sum(axis=0)
+        before = np.arange(width, len(seen)) - np.repeat(active[:-1], active[1:])
+        ahead[width:] /= (chance[before] * scale[before])[:, None]
+        steps[:, :states] += step * (alpha[before].T @ ahead[width:])
         for s in range(states):
-            emits[s] += np.bincount(seen, weights=weight[:, s], minlength=symbols_n)
-    return starts, steps, emits
+            emits[s] += np.bincount(seen, weights=gamma[:, s], minlength=symbols_n)
+    return starts, steps, emits, float(total)
 
 
 @tidy_after
@@ -230,49 +256,47 @@ def _class_mass(own_words: frozenset[bytes]):
 
 
 def _round(model: Model):
-    """Expected counts of a partition, a row for each symbol; starts and steps have rows below zero."""
+    """Expected counts of a partition, a row for each symbol; starts, steps and the log-probability have rows below zero."""
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states, symbols = model.step.shape[0], len(model.emit)
         starts, steps, emits = np.zeros(states + 1), np.zeros((states, states + 1)), np.zeros((states, symbols))
+        chance = 0.0
         for batch in batches:
             texts = [np.frombuffer(x, dtype=np.uint16) for x in batch.column(0).to_pylist()]
-            more = expected(model, texts)
-            starts, steps, emits = starts + more[0], steps + more[1], emits + more[2]
+            more = _expected(model, texts)
+            starts, steps, emits, chance = starts + more[0], steps + more[1], emits + more[2], chance + more[3]
         used = np.flatnonzero(emits.any(axis=0))
-        table = np.zeros((len(used) + states + 1, states + 1))
+        table = np.zeros((len(used) + states + 2, states + 1))
         table[: len(used), :states] = emits[:, used].T
         table[len(used) : len(used) + states] = steps
-        table[-1] = starts
-        key = np.concatenate((used, -1 - np.arange(states + 1)))
+        table[-2] = starts
+        table[-1, 0] = chance
+        key = np.concatenate((used, -1 - np.arange(states + 2)))
         yield pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(np.ascontiguousarray(table[:, s])) for s in range(states + 1)]], names=["row", *[f"s{s}" for s in range(states + 1)]])
 
     return run
 
 
 def _train(coded: DataFrame, unigram: np.ndarray, n_words: int, n_texts: int) -> Model:
+    """Baum-Welch over all training texts, until a round gains no more than ``TOLERANCE`` a token."""
     training = coded.where("not held_out").select("symbols")
-    parts = 1_000_000
-    share = max(1, min(parts, parts * SAMPLE_WORDS // max(n_words, 1)))
-    # by row, as one text may be there very many times; a text that is longer than the whole sample is left to the full rounds
-    chosen = ~F.col("held_out") & (F.pmod(F.xxhash64("row"), F.lit(parts)) < share) & (F.length("symbols") <= 2 * SAMPLE_WORDS)
-    sample = coded.where(chosen).select("symbols").orderBy(F.xxhash64("row")).collect()
-    texts = [np.frombuffer(bytes(r[0]), dtype=np.uint16) for r in sample]
-    model = Model.begin(unigram, STATES, n_words / max(n_texts, 1))
-    for _ in range(SAMPLE_ROUNDS if any(len(t) for t in texts) else 0):
-        starts, steps, emits = expected(model, texts)
-        model = Model.fit(starts, steps, emits.T, unigram)
-    for _ in range(ROUNDS):
-        names = [f"s{s}" for s in range(STATES + 1)]
+    model, previous = Model.begin(unigram, STATES, n_words / max(n_texts, 1)), -math.inf
+    names = [f"s{s}" for s in range(STATES + 1)]
+    below = [-1 - s for s in range(STATES + 2)]
+    while True:
         summed = training.mapInArrow(_round(model), ", ".join(["row long", *[f"{n} double" for n in names]]))
         counts = summed.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas().set_index("row")
         emit = np.zeros((len(unigram), STATES))
         own = counts[counts.index >= 0]
         emit[own.index.to_numpy()] = own[names[:STATES]].to_numpy()
-        steps = counts.loc[[-1 - s for s in range(STATES)], names].to_numpy()
-        model = Model.fit(counts.loc[-1 - STATES, names].to_numpy(), steps, emit, unigram)
-    return model
+        rest = counts.reindex(below, fill_value=0.0)[names].to_numpy()
+        model = Model.fit(rest[STATES], rest[:STATES], emit, unigram)
+        chance = float(rest[STATES + 1, 0])
+        if chance - previous <= TOLERANCE * (n_words + n_texts):
+            return model
+        previous = chance
 
 
 def _score(model: Model, class_logs: np.ndarray, own: int):
