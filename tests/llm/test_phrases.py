@@ -3,8 +3,10 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.fixtures import SCHEMA, raw, table
@@ -93,3 +95,25 @@ def test_a_bitmap_passes_what_it_was_made_of(spark):
     made = phrases.Bitmap(phrases._bitmap(positions, 1 << 16))
     every = np.arange(1 << 16, dtype=np.uint64)
     assert every[made.passes(every)].tolist() == code.tolist()
+
+
+@pytest.mark.parametrize("kept", [1 << 19, 60])
+def test_a_task_makes_each_pointer_once(monkeypatch, kept):
+    """Equal pointers of several chunks are one row, as long as the task can keep them; counts are right in any case."""
+    monkeypatch.setattr(phrases, "CHUNK", 200)
+    monkeypatch.setattr(phrases, "KEPT", kept, raising=False)
+    rows = [(lang, text) for lang, text in corpus(5, 60) if lang is not None and text] * 3
+    every = SimpleNamespace(value=b"\xff" * 4096)
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1].encode() for r in rows], pa.binary())], names=["lang", "text"])
+    run = phrases._pointers([every] * 3, SimpleNamespace(value=np.zeros(0, dtype=np.int64)), 4)
+    made = [tuple(r.values()) for b in run(iter([batch, batch])) for r in b.to_pylist()]
+    want = Counter()
+    for lang, text in rows * 2:
+        for piece in re.split(rb"[.,;:!?\x0A-\x0D]", raw(text).lower()):
+            words = [w.decode("utf-8", "replace") for w in re.findall(rb"[^ \t]+", piece)]
+            want.update((lang, *(words[i : i + 4] + [None] * 4)[:4], False) for i in range(len(words) - 1))
+    found = Counter()
+    for *pointer, n in made:
+        found[tuple(pointer)] += n
+    assert found == want
+    assert kept == 60 or len(made) == len(want)

@@ -6,7 +6,7 @@ Contiguous pattern growth in the manner of PrefixSpan.  A phrase is as frequent
    others too, but never holds one back;
 2. pairs of such words are counted by hash, for a second such bitmap, and then triples of such pairs, for a third;
 3. each occurrence of such a pair is a pointer to what follows: up to two more words, as long as triples pass.  Equal
-   pointers are counted together before they are shuffled, and once more after;
+   pointers are counted together within a chunk, over a task's chunks as far as ``KEPT`` rows hold them, and after the shuffle;
 4. the pointers of a prefix of two words make up its projection, which one task grows to the right, depth first:
    in sorted order the prefixes that are open at any time are one path, so that a projection need not fit in memory.
    One task per first word alone would be given a tenth of all text for the commonest; and a pair with more than one
@@ -42,6 +42,8 @@ BITS = 1 << 26
 HOT = 1000
 #: Bytes of text that are looked at together.
 CHUNK = 1 << 21
+#: Rows of counted pointers that a task keeps, about, to count equal ones of its chunks together.
+KEPT = 1 << 19
 _U = np.uint64
 _COUNTS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 _PAIRS = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
@@ -177,11 +179,29 @@ def _counts(*known):
     return run
 
 
+def _combined(parts: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """Equal pointers of all parts counted together, but that about ``limit`` rows are kept at most."""
+    kept: list[pa.RecordBatch] = []
+
+    def together() -> list[pa.RecordBatch]:
+        counted = pa.Table.from_batches(kept, schema=_POINTERS).group_by(_POINTERS.names[:-1], use_threads=False).aggregate([("n", "sum")])
+        return counted.rename_columns([*_POINTERS.names[:-1], "n"]).select(_POINTERS.names).cast(_POINTERS).to_batches(max_chunksize=50_000)
+
+    for part in parts:
+        kept.append(part)
+        if sum(k.num_rows for k in kept) > limit:
+            kept = together()
+            # few are equal: counting them over and over would save little
+            if sum(k.num_rows for k in kept) > limit // 2:
+                yield from kept
+                kept = []
+    yield from together()
+
+
 def _pointers(known, hot, longest: int):
     """Counted pointers: a pair that may be frequent, and the words after it."""
 
-    @tidy_after
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmaps, crowd = [Bitmap(k.value) for k in known], hot.value
         for batch in batches:
             for lang, words in _words(batch):
@@ -213,6 +233,10 @@ def _pointers(known, hot, longest: int):
                 crowded = np.isin(pair[first[chosen]].view(np.int64), crowd)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(chosen)), *columns, pa.array(crowded), pa.array(n.astype(np.int64))], schema=_POINTERS)
 
+    @tidy_after
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _combined(counted(batches), KEPT)
+
     return run
 
 
