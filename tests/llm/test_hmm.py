@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -161,3 +162,51 @@ def test_training_takes_all_texts_in_every_round(spark, monkeypatch):
     assert rounds > 3
     for ours, theirs in ((found.start, want.start), (found.step, want.step), (found.emit, want.emit)):
         assert np.allclose(ours, theirs, rtol=1e-8, atol=1e-12)
+
+
+def test_scaled_recursions_equal_plain_ones():
+    """Texts over several scalings, of many lengths, against forward and backward sums normalised at each word."""
+    texts = [RNG.integers(0, 5, n).astype(np.uint16) for n in (15, 16, 17, 18, 33, 33, 48, 70, 150, 0, 1)]
+    step, end = MODEL.step[:, :2], MODEL.step[:, 2]
+    starts, steps, emits, chances = np.zeros(3), np.zeros((2, 3)), np.zeros((2, 5)), []
+    for t in texts:
+        if not len(t):
+            starts[2] += 1
+            chances.append(math.log(MODEL.start[2]))
+            continue
+        alpha, sizes, beta = [], [], [end]
+        for i, s in enumerate(t.tolist()):
+            now = (alpha[-1] @ step if i else MODEL.start[:2]) * MODEL.emit[s]
+            sizes.append(now.sum())
+            alpha.append(now / now.sum())
+        chances.append(math.log(alpha[-1] @ end) + np.log(sizes).sum())
+        for s in t.tolist()[:0:-1]:
+            now = step @ (MODEL.emit[s] * beta[-1])
+            beta.append(now / now.sum())
+        beta.reverse()
+        for i, s in enumerate(t.tolist()):
+            gamma = alpha[i] * beta[i]
+            emits[:, s] += gamma / gamma.sum()
+            if i:
+                pair = alpha[i - 1][:, None] * step * (MODEL.emit[s] * beta[i])
+                steps[:, :2] += pair / pair.sum()
+            else:
+                starts[:2] += gamma / gamma.sum()
+        steps[:, 2] += gamma / gamma.sum()
+    for ours, want in zip(hmm._expected(MODEL, texts), (starts, steps, emits, sum(chances)), strict=True):
+        assert np.allclose(ours, want, rtol=1e-10)
+    assert np.allclose(hmm.log_likelihood(MODEL, texts), chances, rtol=1e-10)
+
+
+def test_a_round_and_scoring_hold_few_tables():
+    """A round works in three tables of a row for each word, and scoring in two, which serve all blocks."""
+    model = hmm.Model.begin(np.full(50, 0.02), 8, 300.0)
+    texts = [RNG.integers(0, 50, 300 - i % 40).astype(np.uint16) for i in range(512)]
+    cells = sum(map(len, texts))
+    for work, tables in ((hmm._expected, 3), (hmm.log_likelihood, 2)):
+        work(model, texts[:2])
+        tracemalloc.start()
+        work(model, texts)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < (tables + 0.5) * 64 * cells

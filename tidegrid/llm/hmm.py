@@ -17,6 +17,7 @@ none.  Repeated rows count and are scored each.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections import Counter
@@ -36,9 +37,11 @@ KNOWN_WORDS = 200_000
 #: Training ends with the round that raises the natural log-probability of all training texts by no more than this a token.
 TOLERANCE = 0.01
 #: Words of a training stretch, and of a block of texts that are computed together.
-STRETCH, BLOCK = 1 << 17, 1 << 18
+STRETCH, BLOCK = 1 << 17, 1 << 19
 #: Positions after which the recursions of training are scaled.
 SCALED = 16
+#: Cells whose transposition fits a processor's cache.
+NEAR = 1 << 11
 #: Pseudo-counts of the smoothing distribution in each state.
 PRIOR = 100.0
 
@@ -86,41 +89,75 @@ def blocks(texts: list[np.ndarray]) -> Iterator[np.ndarray]:
         at += n
 
 
-def _padded(texts: list[np.ndarray], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols by position and text, and how many texts reach each position."""
-    sizes = np.array([len(texts[i]) for i in which])
-    symbols = np.zeros((int(sizes[0]), len(which)), dtype=np.int64)
-    for j, i in enumerate(which.tolist()):
-        symbols[: sizes[j], j] = texts[i]
-    return symbols, np.searchsorted(-sizes, -np.arange(int(sizes[0])), side="left")
+class Cells:
+    """The words of a block of texts by position, then text.
+
+    Longer texts come first, so that those that reach a position are a prefix of the block.
+    """
+
+    def __init__(self, texts: list[np.ndarray], which: np.ndarray) -> None:
+        sizes = np.array([len(texts[i]) for i in which])
+        self.width, self.length = len(which), int(sizes[0])
+        padded = np.zeros((self.width, self.length), dtype=np.uint16)
+        for row, i, n in zip(padded, which.tolist(), sizes.tolist(), strict=True):
+            row[:n] = texts[i]
+        #: Symbols, texts that reach each position, and the first cell of each position.
+        self.seen = padded.T[np.arange(self.length)[:, None] < sizes].astype(np.intp)
+        reach = np.searchsorted(-sizes, -np.arange(self.length), side="left")
+        at = np.concatenate(([0], np.cumsum(reach)))
+        self.reach, self.at = reach.tolist(), at.tolist()
+        #: Each text's last cell.
+        self.final = at[sizes - 1] + np.arange(self.width)
+        #: Positions before which texts have ended.
+        self.turns = [0, *(np.flatnonzero(np.diff(reach)) + 1).tolist(), self.length]
+
+
+class _Ready:
+    """A model's tables for the recursions; emissions are multiples of their mean, so that scaling is due but now and then."""
+
+    def __init__(self, model: Model) -> None:
+        self.states = model.step.shape[0]
+        self.step, self.end = np.ascontiguousarray(model.step[:, : self.states]), model.step[:, self.states]
+        self.start, self.one = model.start[: self.states], np.ones(self.states)
+        level = model.emit.mean(axis=1)
+        self.ratio, self.log_level = model.emit / level[:, None], np.log(level)
+
+    def blocks(self, texts: list[np.ndarray], tables: int) -> Iterator[tuple[np.ndarray, Cells, list[np.ndarray]]]:
+        """Blocks of texts, none of them empty, with tables of a row for each cell, whose memory serves all blocks; the first holds the emissions."""
+        parts = list(blocks(texts))
+        most = max((sum(len(texts[i]) for i in which) for which in parts), default=0)
+        room = [np.empty((most, self.states)) for _ in range(tables)]
+        for which in parts:
+            cells = Cells(texts, which)
+            part = [r[: len(cells.seen)] for r in room]
+            yield which, cells, [np.take(self.ratio, cells.seen, axis=0, out=part[0], mode="clip"), *part[1:]]
+
+    def forward(self, cells: Cells, ahead: np.ndarray, alpha: np.ndarray) -> dict[int, np.ndarray]:
+        """Fills ``alpha``; the sums by which it was divided, by position."""
+        at, reach, sizes = cells.at, cells.reach, {}
+        np.multiply(self.start, ahead[: cells.width], out=alpha[: cells.width])
+        for t in range(1, cells.length):
+            here, past = at[t], at[t + 1]
+            now = alpha[here:past]
+            np.dot(alpha[at[t - 1] : at[t - 1] + reach[t]], self.step, now)
+            now *= ahead[here:past]
+            if t % SCALED == 0:
+                sizes[t] = now @ self.one
+                now /= sizes[t][:, None]
+        return sizes
 
 
 def log_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-probability of each text, by the scaled forward recursion."""
-    out = np.full(len(texts), math.log(model.start[-1]))
-    states = model.step.shape[0]
-    step, end = np.ascontiguousarray(model.step[:, :states]), model.step[:, states]
-    for which in blocks(texts):
-        which = which[[len(texts[i]) > 0 for i in which]]
-        if not len(which):
-            continue
-        symbols, active = _padded(texts, which)
-        total = np.zeros(len(which))
-        # positions' scales multiply up to a bound before their logarithm is taken
-        scale = np.ones(len(which))
-        alpha = model.start[:states] * model.emit[symbols[0]]
-        for t in range(len(symbols)):
-            n = active[t]
-            if t:
-                alpha[:n] = (alpha[:n] @ step) * model.emit[symbols[t, :n]]
-            size = alpha[:n].sum(axis=1)
-            alpha[:n] /= size[:, None]
-            scale[:n] *= size
-            if t % 16 == 15:
-                total += np.log(scale)
-                scale[:] = 1.0
-        total += np.log(scale) + np.log(alpha @ end)
-        out[which] = total
+    out, ready = np.full(len(texts), math.log(model.start[-1])), _Ready(model)
+    some = np.flatnonzero([len(t) > 0 for t in texts])
+    for which, cells, (ahead, alpha) in ready.blocks([texts[i] for i in some.tolist()], 2):
+        total = np.zeros(cells.width)
+        for size in ready.forward(cells, ahead, alpha).values():
+            total[: len(size)] += np.log(size)
+        total += np.log(alpha[cells.final] @ ready.end)
+        which = some[which]
+        out[which] = total + [ready.log_level[texts[i]].sum() for i in which.tolist()]
     return out
 
 
@@ -132,60 +169,44 @@ def expected(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndar
 def _expected(model: Model, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Expected starts, steps and emissions, and the texts' natural log-probability."""
     states, symbols_n = model.step.shape[0], len(model.emit)
-    step, end = np.ascontiguousarray(model.step[:, :states]), model.step[:, states]
-    back, one = np.ascontiguousarray(step.T), np.ones(states)
-    # emissions as multiples of their mean, so that the recursions need scaling but now and then
-    level = model.emit.mean(axis=1)
-    ratio, log_level = model.emit / level[:, None], np.log(level)
+    ready = _Ready(model)
+    back = np.ascontiguousarray(ready.step.T)
     starts, steps, emits = np.zeros(states + 1), np.zeros((states, states + 1)), np.zeros((states, symbols_n))
     starts[states] = sum(len(t) == 0 for t in texts)
     total = float(starts[states]) * math.log(model.start[states])
     texts = [t[i : i + STRETCH] for t in texts if len(t) for i in range(0, len(t), STRETCH)]
-    for which in blocks(texts):
-        # cells by position, then text; longer texts come first, so that those that reach a position are a prefix
-        sizes = np.array([len(texts[i]) for i in which])
-        length, width = int(sizes[0]), len(which)
-        active = np.searchsorted(-sizes, -np.arange(length), side="left")
-        base = np.concatenate(([0], np.cumsum(active)))
-        seen = np.empty(base[-1], dtype=np.int64)
-        seen[np.concatenate([base[:n] + j for j, n in enumerate(sizes.tolist())])] = np.concatenate([texts[i] for i in which])
-        at, reach = base.tolist(), active.tolist()
-        ahead = ratio[seen]
-        alpha, beta, scale = np.empty_like(ahead), np.empty_like(ahead), np.ones(len(seen))
-        alpha[:width] = model.start[:states] * ahead[:width]
-        for t in range(1, length):
-            n, here, before = reach[t], at[t], at[t - 1]
-            now = alpha[here : here + n]
-            np.matmul(alpha[before : before + n], step, out=now)
-            now *= ahead[here : here + n]
-            if t % SCALED == 0:
-                size = now @ one
-                now /= size[:, None]
-                total += np.log(size).sum()
-        beta[at[length - 1] :] = end
-        for t in range(length - 2, -1, -1):
-            n, here, after = reach[t + 1], at[t], at[t + 1]
+    for _, cells, (ahead, alpha, beta) in ready.blocks(texts, 3):
+        seen, at, reach, width = cells.seen, cells.at, cells.reach, cells.width
+        sizes = ready.forward(cells, ahead, alpha)
+        chance = alpha[cells.final] @ ready.end
+        total += np.log(chance).sum() + sum(np.log(size).sum() for size in sizes.values()) + ready.log_level[seen].sum()
+        # what follows is divided by the text's chance and by the sums of the way there: times alpha it is the states' probability
+        beta[cells.final] = ready.end / chance[:, None]
+        for t in range(cells.length - 1, 0, -1):
+            n, here, past, before = reach[t], at[t], at[t + 1], at[t - 1]
             # from here on ``ahead`` is the emission times what follows
-            coming, now = ahead[after : after + n], beta[here : here + n]
-            coming *= beta[after : after + n]
-            np.matmul(coming, back, out=now)
-            beta[here + n : after] = end  # texts that end here
+            coming = ahead[here:past]
+            coming *= beta[here:past]
             if t % SCALED == 0:
-                size = now @ one
-                now /= size[:, None]
-                scale[here : here + n] = size
-        gamma = np.multiply(beta, alpha, out=beta)
-        chance = gamma @ one
-        gamma /= chance[:, None]
-        final = base[sizes - 1] + np.arange(width)
-        total += np.log(chance[final]).sum() + log_level[seen].sum()
-        starts[:states] += gamma[:width].sum(axis=0)
-        steps[:, states] += gamma[final].sum(axis=0)
-        before = np.arange(width, len(seen)) - np.repeat(active[:-1], active[1:])
-        ahead[width:] /= (chance[before] * scale[before])[:, None]
-        steps[:, :states] += step * (alpha[before].T @ ahead[width:])
+                coming /= sizes[t][:, None]
+            np.dot(coming, back, beta[before : before + n])
+        # pairs of neighbours, in stretches that as many texts reach
+        both = np.zeros((states, states))
+        for first, past in itertools.pairwise(cells.turns):
+            n, here = reach[first], at[first]
+            if first:
+                both += alpha[at[first - 1] : at[first - 1] + n].T @ ahead[here : here + n]
+            both += alpha[here : at[past] - n].T @ ahead[here + n : at[past]]
+        steps[:, :states] += ready.step * both
+        gamma = ahead.reshape(states, -1)  # its memory serves again
+        for lo in range(0, len(seen), NEAR):
+            some = alpha[lo : lo + NEAR]
+            some *= beta[lo : lo + NEAR]
+            gamma[:, lo : lo + NEAR] = some.T
+        starts[:states] += gamma[:, :width].sum(axis=1)
+        steps[:, states] += gamma[:, cells.final].sum(axis=1)
         for s in range(states):
-            emits[s] += np.bincount(seen, weights=gamma[:, s], minlength=symbols_n)
+            emits[s] += np.bincount(seen, weights=gamma[s], minlength=symbols_n)
     return starts, steps, emits, float(total)
 
 
@@ -225,7 +246,7 @@ def _code(known: list[bytes], counts: np.ndarray, own: int):
             rows = []
             for doc, held, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 words = text.as_py().lower().split()
-                places = np.array([-1 if i is None else i for i in map(index.get, words)], dtype=np.int64)
+                places = np.fromiter(map(index.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
                 unknown = places < 0
                 symbols = symbol[places]
                 rare = [words[i] for i in np.flatnonzero(unknown).tolist()]
