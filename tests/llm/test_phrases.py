@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import uuid
 from collections import Counter
 from types import SimpleNamespace
 
@@ -117,3 +118,38 @@ def test_a_task_makes_each_pointer_once(monkeypatch, kept):
         found[tuple(pointer)] += n
     assert found == want
     assert kept == 60 or len(made) == len(want)
+
+
+def test_pointers_are_made_by_tasks_of_many_words(spark, monkeypatch, tmp_path):
+    """A table of many small partitions has no row for each of them and phrase; all of its words are counted."""
+    real = phrases._pointers
+
+    def watched(*args):
+        run = real(*args)
+
+        def told(batches):
+            made = list(run(batches))
+            (tmp_path / str(uuid.uuid4())).write_text(str(sum(b.num_rows for b in made)))
+            yield from made
+
+        return told
+
+    monkeypatch.setattr(phrases, "_pointers", watched)
+    rows = [(lang, text) for _ in range(3) for lang, text in corpus(6, 60) if lang is not None]
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.createDataFrame([r for r in rows for _ in range(6 * cores)], "lang string, text string").repartition(6 * cores)
+    got = phrases.collocations(df).collect()
+    made = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert sorted(map(tuple, got)) == brute(rows * 6 * cores)
+    assert 0 < len(made) <= cores
+
+
+def test_kept_pointers_tell_words_of_several_languages_apart():
+    kept = phrases.Kept(5)
+    one, none = np.ones(2, dtype=np.int64), np.zeros(2, dtype=bool)
+    made = list(kept.add("en", ["a", "b"], [np.array([1, 2]), np.array([2, 1]), np.array([1, 0])], none, one))
+    made += kept.add("de", ["b", "a"], [np.array([1, 2]), np.array([2, 1])], ~none, one)
+    made += kept.add("en", ["b", "a"], [np.array([1, 2]), np.array([2, 1]), np.array([0, 2])], none, 2 * one)
+    made += kept.told()
+    assert sorted((tuple(r.values()) for b in made for r in b.to_pylist()), key=str) == [("de", "a", "b", None, None, True, 1), ("de", "b", "a", None, None, True, 1), ("en", "a", "b", "a", None, False, 3), ("en", "b", "a", None, None, False, 3)]
+    assert list(kept.told()) == []

@@ -7,6 +7,7 @@ Contiguous pattern growth in the manner of PrefixSpan.  A phrase is as frequent
 2. pairs of such words are counted by hash, for a second such bitmap, and then triples of such pairs, for a third;
 3. each occurrence of such a pair is a pointer to what follows: up to two more words, as long as triples pass.  Equal
    pointers are counted together within a chunk, over a task's chunks as far as ``KEPT`` rows hold them, and after the shuffle;
+   tasks take ``TASK_WORDS`` words, as each of them makes a row of its own for a phrase that it meets;
 4. the pointers of a prefix of two words make up its projection, which one task grows to the right, depth first:
    in sorted order the prefixes that are open at any time are one path, so that a projection need not fit in memory.
    One task per first word alone would be given a tenth of all text for the commonest; and a pair with more than one
@@ -43,7 +44,9 @@ HOT = 1000
 #: Bytes of text that are looked at together.
 CHUNK = 1 << 21
 #: Rows of counted pointers that a task keeps, about, to count equal ones of its chunks together.
-KEPT = 1 << 19
+KEPT = 1 << 20
+#: Words of a task that makes pointers, about, unless that leaves cores without a task: the more, the more pointers are equal.
+TASK_WORDS = 1 << 24
 _U = np.uint64
 _COUNTS = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 _PAIRS = pa.schema([("pair", pa.int64()), ("n", pa.int64())])
@@ -179,30 +182,54 @@ def _counts(*known):
     return run
 
 
-def _combined(parts: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
-    """Equal pointers of all parts counted together, but that about ``limit`` rows are kept at most."""
-    kept: list[pa.RecordBatch] = []
+class Kept:
+    """Counted pointers of a task, equal ones together; words are numbers, by language and letters."""
 
-    def together() -> list[pa.RecordBatch]:
-        counted = pa.Table.from_batches(kept, schema=_POINTERS).group_by(_POINTERS.names[:-1], use_threads=False).aggregate([("n", "sum")])
-        return counted.rename_columns([*_POINTERS.names[:-1], "n"]).select(_POINTERS.names).cast(_POINTERS).to_batches(max_chunksize=50_000)
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.clear()
 
-    for part in parts:
-        kept.append(part)
-        if sum(k.num_rows for k in kept) > limit:
-            kept = together()
+    def clear(self) -> None:
+        self.numbers: dict[tuple[str, str], int] = {}
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, lang: str, words: list[str], paths: list[np.ndarray], crowded: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Takes paths of places in ``words``, from 1 on; about ``limit`` rows are kept at most, others are told."""
+        numbers = self.numbers
+        number = np.array([0, *(numbers.setdefault((lang, w), len(numbers) + 1) for w in words)], dtype=np.int64)
+        of = [number[p] for p in paths] + [np.zeros(len(n), dtype=np.int64)] * (4 - len(paths))
+        self.parts.append((crowded.astype(np.int64) << 62 | of[0] << 31 | of[1], of[2] << 31 | of[3], n))
+        if sum(len(p[0]) for p in self.parts) > self.limit:
+            self._together()
             # few are equal: counting them over and over would save little
-            if sum(k.num_rows for k in kept) > limit // 2:
-                yield from kept
-                kept = []
-    yield from together()
+            if len(self.parts[0][0]) > self.limit // 4 * 3:
+                yield from self.told()
+
+    def _together(self) -> None:
+        rows = pa.table([np.concatenate(c) for c in zip(*self.parts, strict=True)], names=["front", "back", "n"])
+        self.parts = []
+        rows = rows.group_by(["front", "back"], use_threads=False).aggregate([("n", "sum")])
+        self.parts = [tuple(rows[c].to_numpy() for c in ("front", "back", "n_sum"))]
+
+    def told(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            self._together()
+            (front, back, n), low = self.parts[0], (1 << 31) - 1
+            langs, words = (pa.array(c, pa.string()) for c in zip(*self.numbers, strict=True))
+            for lo in range(0, len(n), 50_000):
+                f, b = front[lo : lo + 50_000], back[lo : lo + 50_000]
+                of = [f >> 31 & low, f & low, b >> 31, b & low]
+                columns = [words.take(pa.array(o - 1, mask=o == 0)) for o in of]
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(of[0] - 1)), *columns, pa.array(f >> 62 == 1), pa.array(n[lo : lo + 50_000])], schema=_POINTERS)
+        self.clear()
 
 
 def _pointers(known, hot, longest: int):
     """Counted pointers: a pair that may be frequent, and the words after it."""
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps, crowd = [Bitmap(k.value) for k in known], hot.value
+    @tidy_after
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmaps, crowd, kept = [Bitmap(k.value) for k in known], hot.value, Kept(KEPT)
         for batch in batches:
             for lang, words in _words(batch):
                 pair, triple, goes = _passing(words, bitmaps)
@@ -214,7 +241,6 @@ def _pointers(known, hot, longest: int):
                 more[-1] = False
                 _, at, name = np.unique(words.code, return_index=True, return_inverse=True)
                 size = len(at)
-                spelled = words.strings(at)
                 more = np.concatenate((more, np.zeros(longest, dtype=bool)))
                 name = np.concatenate((name, np.zeros(longest, dtype=np.int64)))
                 # the path of names from each pair on; 0 where it has ended
@@ -228,14 +254,16 @@ def _pointers(known, hot, longest: int):
                 edge = np.flatnonzero(new)
                 n = np.diff(np.append(edge, len(order)))
                 chosen = order[edge]
-                columns = [spelled.take(pa.array(p[chosen] - 1, mask=p[chosen] == 0)) for p in path]
-                columns += [pa.nulls(len(chosen), pa.string())] * (4 - longest)
+                path = [p[chosen] for p in path]
+                named = np.zeros(size + 1, dtype=bool)
+                for p in path:
+                    named[p] = True
+                named[0] = False
+                place = np.cumsum(named) * named
                 crowded = np.isin(pair[first[chosen]].view(np.int64), crowd)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(chosen)), *columns, pa.array(crowded), pa.array(n.astype(np.int64))], schema=_POINTERS)
-
-    @tidy_after
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _combined(counted(batches), KEPT)
+                spelled = words.strings(at[np.flatnonzero(named) - 1]).to_pylist()
+                yield from kept.add(lang, spelled, [place[p] for p in path], crowded, n)
+        yield from kept.told()
 
     return run
 
@@ -310,7 +338,9 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
             crowded = counts.where(F.col("n") * hot > every).select("pair").collect()  # fewer than ``hot`` rows
             crowd = share(np.sort(np.array([r["pair"] for r in crowded], dtype=np.int64)))
         known.append(share(_bitmap(counts.select((F.col("pair").bitwiseAND(F.lit(bits - 1)) + 1).alias("position")), bits)))
-    pointers = plain.mapInArrow(_pointers(known, crowd, longest), _POINTERS_SQL)
+    words = total.agg(F.sum("n")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-words // TASK_WORDS))
+    pointers = plain.coalesce(tasks).mapInArrow(_pointers(known, crowd, longest), _POINTERS_SQL)
     pointers = pointers.groupBy(*_POINTERS.names[:-1]).agg(F.sum("n").alias("n"))
     dealt = pointers.repartition(parts, F.col("lang"), F.col("w1"), F.col("w2"), F.when(F.col("hot"), F.col("w3"))).sortWithinPartitions("lang", "w1", "w2", "w3", "w4")
     grown = dealt.mapInArrow(_grown(least), _GROWN_SQL).groupBy("lang", "phrase", "m").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
