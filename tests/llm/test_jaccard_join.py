@@ -113,6 +113,27 @@ def test_crowds_at_frequent_marks(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(rows)
 
 
+def test_a_passage_of_many_texts_is_no_meeting_however_large_the_table(spark, monkeypatch):
+    """The sample that tells frequent shingles is a share of all texts, not so many of them."""
+    rng = random.Random(4)
+    passage = prose(rng, 30)
+    rows = [(i, (passage + " " if i % 5 == 0 else "") + prose(rng, rng.randint(60, 90))) for i in range(400)]
+    rows += [(400 + i, rows[i][1] + " end") for i in range(0, 60, 4)]
+    met, saved = [], jaccard_join.saved
+
+    def watched(df, name, *more):
+        out = saved(df, name, *more)
+        if name == "meetings":
+            met.append(out.agg(F.max("n_docs")).first()[0])
+        return out
+
+    monkeypatch.setattr(jaccard_join, "saved", watched)
+    monkeypatch.setattr(jaccard_join, "SAMPLE", 4)
+    found = jaccard_join.near_duplicates(table(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(rows)
+    assert met[0] < 40
+
+
 def test_awkward_rows(spark):
     df = table(spark)
     rows = [p for p in pairs(df) if p[0] is not None]

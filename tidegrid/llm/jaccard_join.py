@@ -7,7 +7,7 @@ distances to it differ by more than the join's distance cannot link.
 2. Distances between unrelated texts gather at one, where no pivot tells them apart, so
    documents are cut into regions first.  Linked documents share one of their first
    shingles in a common order (as many as a link may leave unshared, and one more).  The order
-   is by hash, with shingles that are frequent in a bounded sample last; any order is exact.  Documents
+   is by hash, with shingles that are frequent in a sample last, by their number there; any order is exact.  Documents
    that share such a mark meet once, however many marks they share, as counts of
    their shingles by hash class.  These embed the sets so that distances only shrink: counts that are
    too far apart rule a link out, and what they leave connected forms a region.
@@ -39,8 +39,13 @@ from .textbytes import mix, shingles
 
 #: Documents of a region, or of those that share a mark, that one task joins, and shingles of all of them.
 REGION, REGION_SHINGLES = 2000, 4_000_000
-#: Documents of the sample that tells frequent shingles, about, and shingles it may name.
-SAMPLE, FREQUENT = 20_000, 100_000
+#: Documents of the sample that tells frequent shingles, about, or one in so many if these are more: a share of all,
+#: so that a mark of few documents stays one as the input grows.  A shingle is frequent that so many of them have.
+SAMPLE, ONE_IN, TIMES = 20_000, 8, 4
+#: Shingles that the sample may name.
+FREQUENT = 1_000_000
+#: Rows of a table of ids that may be broadcast, at most; beyond it all texts or sets are shuffled to meet it.
+IDS = 1_000_000
 #: Pivots of a round on a larger region, and of a task's region; documents of a cell that is cut no further.
 PIVOTS, CELL_PIVOTS, CELL = 16, 8, 48
 #: Groups of equal sets that hold more than one document in so many are broadcast, of which there are fewer.
@@ -68,7 +73,12 @@ def _levels(n: np.ndarray) -> np.ndarray:
     return 1 << np.ceil(np.log2(np.maximum(np.asarray(n), 32) / 4)).astype(np.int64)
 
 
-def _sets(width: int, percent: int, frequent: np.ndarray):
+def _keep(n: int, percent: int) -> int:
+    """Marks of a set: sharing at least percent/100 of the larger set leaves so many unshared, and one more."""
+    return n - -(-percent * n // 100) + 1
+
+
+def _sets(width: int, percent: int, frequent: np.ndarray, times: np.ndarray):
     """Size, digest, marks and class counts of each document's shingle set."""
 
     @tidy_after
@@ -83,36 +93,40 @@ def _sets(width: int, percent: int, frequent: np.ndarray):
                 total.append(second)
                 level = int(_levels(len(s)))
                 classes.append(np.minimum(np.bincount((s & np.uint64(level - 1)).astype(np.int64), minlength=level), 255).astype(np.uint8).tobytes())
-                # sharing at least percent/100 of the larger set leaves so many unshared
-                keep = len(s) - -(-percent * len(s) // 100) + 1
+                keep = _keep(len(s), percent)
                 if len(frequent) and len(s):
                     place = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                     common = frequent[place] == s
                     if common[: 2 * keep].any():
-                        s = np.concatenate((s[~common], s[common]))
+                        s = np.concatenate((s[~common], s[common][np.argsort(times[place[common]], kind="stable")]))
                 prefix.append(s[:keep].tobytes())
             yield _table(_SETS, batch.column(0), n, digest, total, prefix, classes)
 
     return run
 
 
-def _frequent(plain: DataFrame, width: int) -> np.ndarray:
-    """Shingles that many documents of a bounded sample have, sorted."""
+def _frequent(plain: DataFrame, width: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several documents of a sample have, sorted, and how many of them.
+
+    Of each text those three times as many that come first by hash as it has marks: later ones become
+    marks only where most of a text is frequent.
+    """
     total = max(plain.count(), 1)
     parts = 1_000_000
-    sample = plain.where(F.pmod(F.xxhash64("doc"), F.lit(parts)) < max(1, parts * SAMPLE // total))
+    sample = plain.where(F.pmod(F.xxhash64("doc"), F.lit(parts)) < max(parts // ONE_IN, parts * SAMPLE // total))
 
     @tidy_after
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            found = [s for _, s in shingles([t.lower() for t in batch.column(1).to_pylist()], width)]
+            found = [s[: 3 * _keep(len(s), percent)] for _, s in shingles([t.lower() for t in batch.column(1).to_pylist()], width)]
             value, times = np.unique(np.concatenate([*found, np.zeros(0, dtype=np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times.astype(np.int64))], names=["shingle", "n"])
 
     counted = sample.select("doc", "text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    least = max(4, min(SAMPLE, total) // 2000)
-    rows = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle").toPandas()
-    return np.sort(rows["shingle"].to_numpy(dtype=np.int64).view(np.uint64))
+    rows = counted.where(F.col("n") >= TIMES).orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
+    value, n = rows["shingle"].to_numpy(dtype=np.int64).view(np.uint64), rows["n"].to_numpy(dtype=np.int64)
+    order = np.argsort(value)
+    return value[order], n[order]
 
 
 def _marks(only: np.ndarray | None = None):
@@ -471,10 +485,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row: doc_id, n_shingles, and component_id, the least id reachable by links."""
     parts = fold(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), text_bytes(text_col).alias("text")).where("doc is not null")
-    frequent = _frequent(plain, width)
-    sets = saved(plain.mapInArrow(_sets(width, percent, frequent), "doc long, n long, digest long, total long, prefix binary, classes binary"), "sets")
+    frequent, times = _frequent(plain, width, percent)
+    sets = saved(plain.mapInArrow(_sets(width, percent, frequent, times), "doc long, n long, digest long, total long, prefix binary, classes binary"), "sets")
     members = saved(_folded(sets), "members")
-    folded = small_side(saved(members.where("doc <> first").select("doc").distinct(), "folded"))
+    folded = small_side(saved(members.where("doc <> first").select("doc").distinct(), "folded"), IDS)
     own = sets.where("n > 0").join(folded, "doc", "left_anti")
     marks = own.select("doc", "prefix").mapInArrow(_marks(), "mark long, doc long")
     crowds = _crowds(own, frequent, region_docs)
@@ -497,7 +511,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     weighed = regions.join(own.select("doc", "n"), "doc")
     size = saved(weighed.groupBy("region").agg(F.count("*").alias("size"), F.sum("n").alias("weight")), "sizes")
     large = small_side(size.where(_much(region_docs)).select("region"), 10_000)
-    text = plain.join(small_side(regions), "doc")
+    text = plain.join(small_side(regions, IDS), "doc")
     tasks = [_with_sets(text.join(large, "region", "left_anti"), width)]
     links: list[DataFrame] = []
     if size.where(_much(region_docs)).limit(1).count():
